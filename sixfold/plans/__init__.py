@@ -1,0 +1 @@
+"""The warehouse load, its seven views, and the queries registered for the driver."""

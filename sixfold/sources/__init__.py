@@ -1,0 +1 @@
+"""Reading raw session files and reading or writing warehouse tables."""
