@@ -14,7 +14,8 @@ from sixfold.operators.ordered import HOT_ROWS, stride_sample
 def within_distance(points: DataFrame, x: float, y: float, distance: float) -> DataFrame:
     """Points within a distance (in coordinate units, border included). The bounding box is pushed down to the scan."""
     box = F.col("x").between(x - distance, x + distance) & F.col("y").between(y - distance, y + distance)
-    return points.where(box).where(F.pow(F.col("x") - x, F.lit(2)) + F.pow(F.col("y") - y, F.lit(2)) <= distance * distance)
+    dx, dy = F.col("x") - x, F.col("y") - y
+    return points.where(box).where(dx * dx + dy * dy <= distance * distance)
 
 
 def region(rules: Sequence[tuple[str, Column]], otherwise: str) -> Column:
@@ -55,7 +56,8 @@ def proximity(points: DataFrame, moment: Sequence[str], car: str, distance: floa
     on = F.col(f"a.{car}") < F.col(f"b.{car}")
     for column in (*moment, "_cx", "_cy"):
         on = on & (F.col(f"a.{column}") == F.col(f"b.{column}"))
-    square = F.pow(F.col("a.x") - F.col("b.x"), F.lit(2)) + F.pow(F.col("a.y") - F.col("b.y"), F.lit(2))
+    dx, dy = F.col("a.x") - F.col("b.x"), F.col("a.y") - F.col("b.y")
+    square = dx * dx + dy * dy
     extra = [F.col(f"{s}.{time}").alias(f"{time}_{i}") for i, s in ((1, "a"), (2, "b"))] if time else []
     pairs = a.join(b, on).where(square <= distance * distance)
     return pairs.select(
