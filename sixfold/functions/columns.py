@@ -31,18 +31,16 @@ def session_id(year: Column | str, gp: Column | str, session: Column | str) -> C
 
 
 def number(value: Column | str, kind: T.DataType | str = "double") -> Column:
-    """A finite number or NULL (also for text that is no number). Decimals are rounded half up."""
-    written = F.trim(_col(value).cast("string"))
-    parsed = written.try_cast("double")
-    # No NaN, no infinity, and none of the type suffixes (1d, 1f) that the cast lets through.
-    parsed = F.when((F.abs(parsed) < float("inf")) & ~F.right(written, F.lit(1)).rlike("[dDfF]"), parsed)
+    """A finite number or NULL (also for text that is no number). Decimals are rounded half up, whole numbers cut off."""
+    written = _col(value).cast("string")
     kind = T._parse_datatype_string(kind) if isinstance(kind, str) else kind
-    if isinstance(kind, T.DoubleType):
-        return parsed
     if isinstance(kind, T.DecimalType):
-        # From the text itself: a detour over DOUBLE would lose digits.
-        return F.when(parsed.isNotNull(), written.try_cast(kind))
-    return parsed.try_cast(kind)
+        return written.try_cast(kind)
+    if isinstance(kind, T.IntegralType):
+        return written.try_cast("decimal(38,18)").try_cast(kind)
+    parsed = written.try_cast("double")
+    # No NaN, no infinity, and none of the type suffixes (1d, 1f) that the cast lets through.
+    return F.when((F.abs(parsed) < float("inf")) & ~F.rtrim(written).rlike("[dDfF]$"), parsed).cast(kind)
 
 
 def whole(value: Column | str) -> Column:

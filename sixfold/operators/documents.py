@@ -60,49 +60,59 @@ def flatten_tree(df: DataFrame, payload: str = "payload", keep: Sequence[str] =
     """Each JSON document as a tree: ``id``, ``parent``, ``label``, ``value`` per node, plus a root with value 0.
 
     Object members are ``parent/key``, array items ``parent[i]`` (the first five only). The label of a scalar member ends in its
-    first 25 characters. One lateral step per level, ``max_depth`` levels.
+    first 25 characters. Levels below ``max_depth`` are not opened. One scan: each level is an array built from the one above,
+    and all levels of a document are unfolded together.
     """
     keep = list(keep)
-    level = df.select(*keep, F.lit("").alias("id"), F.try_parse_json(payload).alias("_node")).where(F.col("_node").isNotNull())
-    columns = [*keep, "id", "parent", "label", "value"]
-    tree = level.select(*keep, "id", F.lit("").alias("parent"), F.lit(root).alias("label"), F.lit(0).alias("value"))
-    for _ in range(max_depth):
-        level = _children(level, keep)
-        tree = tree.unionByName(level.select(*columns))
-        level = level.where(_is_nested(F.col("_node"))).select(*keep, "id", "_node")
-    return tree
-
-
-def _is_nested(node: Column) -> Column:
-    kind = F.schema_of_variant(node)
-    return kind.startswith("OBJECT") | kind.startswith("ARRAY")
-
-
-def _children(level: DataFrame, keep: Sequence[str]) -> DataFrame:
-    spark = level.sparkSession
-    exploded = level.alias("l").lateralJoin(spark.tvf.variant_explode(F.col("l._node").outer()).alias("c"))
-    at, key, node, parent = F.col("c.pos"), F.col("c.key"), F.col("c.value"), F.col("l.id")
-    in_object = key.isNotNull()
-    name = F.when(in_object, F.when(parent == "", key).otherwise(F.concat(parent, F.lit("/"), key))).otherwise(
-        F.concat(parent, F.lit("["), at.cast("string"), F.lit("]"))
-    )
-    shown = F.concat(key, F.lit(": "), F.substring(scalar_text(node), 1, LABEL_CHARS))
-    label = F.when(~in_object, F.concat(F.lit("["), at.cast("string"), F.lit("]"))).when(_is_nested(node), key).otherwise(shown)
-    rows = exploded.where(in_object | (at < ARRAY_ITEMS))
-    return rows.select(
-        *[F.col(f"l.{c}") for c in keep], name.alias("id"), parent.alias("parent"), label.alias("label"), F.lit(1).alias("value"), node.alias("_node")
-    )
+    top = _node(F.lit(""), F.lit(""), F.lit(root), 0, F.try_parse_json(payload))
+    rows = df.select(*keep, top.alias("_top")).where(F.col("_top.open").isNotNull()).withColumn("_level_0", F.array("_top"))
+    for depth in range(max_depth):
+        below = F.flatten(F.transform(f"_level_{depth}", _children))
+        rows = rows.withColumn(f"_level_{depth + 1}", F.coalesce(below, F.array().cast(_NODES)))
+    nodes = rows.select(*keep, F.explode(F.concat(*[f"_level_{d}" for d in range(max_depth + 1)])).alias("_node"))
+    return nodes.select(*keep, "_node.id", "_node.parent", "_node.label", "_node.value")
+
+
+_NODES = "array<struct<id:string,parent:string,label:string,value:int,open:variant>>"
+
+
+def _node(name: Column, parent: Column, label: Column, value: int, node: Column) -> Column:
+    return F.struct(name.alias("id"), parent.alias("parent"), label.alias("label"), F.lit(value).alias("value"), node.alias("open"))
+
+
+def _members(node: Column) -> Column:
+    return F.map_entries(F.try_variant_get(node, "$", "map<string,variant>"))
+
+
+def _items(node: Column) -> Column:
+    return F.try_variant_get(node, "$", "array<variant>")
+
+
+def _children(row: Column) -> Column:
+    """The nodes right below one node; none below a scalar."""
+    parent, node = row["id"], row["open"]
+
+    def member(entry: Column) -> Column:
+        key, value = entry["key"], entry["value"]
+        name = F.when(parent == "", key).otherwise(F.concat(parent, F.lit("/"), key))
+        nested = F.try_variant_get(value, "$", "map<string,variant>").isNotNull() | _items(value).isNotNull()
+        shown = F.concat(key, F.lit(": "), F.substring(scalar_text(value), 1, LABEL_CHARS))
+        return _node(name, parent, F.when(nested, key).otherwise(shown), 1, value)
+
+    def item(value: Column, at: Column) -> Column:
+        place = F.concat(F.lit("["), at.cast("string"), F.lit("]"))
+        return _node(F.concat(parent, place), parent, place, 1, value)
+
+    members = F.transform(_members(node), member)
+    items = F.transform(F.slice(_items(node), 1, ARRAY_ITEMS), item)
+    return F.coalesce(members, items, F.array().cast(_NODES))
 
 
 def scalar_text(node: Column) -> Column:
     """A scalar as shown in labels: ``None``, ``True`` and ``False`` as words, texts without quotes."""
-    kind = F.schema_of_variant(node)
     written = F.try_variant_get(node, "$", "string")
-    return (
-        F.when(F.is_variant_null(node), F.lit("None"))
-        .when(kind == "BOOLEAN", F.when(written == "true", F.lit("True")).otherwise(F.lit("False")))
-        .otherwise(written)
-    )
+    is_flag = written.isin("true", "false") & (F.schema_of_variant(node) == "BOOLEAN")
+    return F.when(F.is_variant_null(node), F.lit("None")).when(is_flag, F.initcap(written)).otherwise(written)
 
 
 def message_feed(documents: DataFrame) -> DataFrame:

@@ -5,11 +5,13 @@ share of the rows is cut along the order column into chunks; the window runs per
 carries the value over each cut:
 
 * hot keys: more than ``max(hot_rows, total / MAX_HOT_KEYS)`` rows, so there are fewer than ``MAX_HOT_KEYS`` of them;
-* cuts: ``INTERVALS`` intervals of equal row count (``percentile_approx``), each cut again into equal widths;
-* carries: one row per chunk of a hot key, at most ``(INTERVALS + 1) * MAX_HOT_KEYS`` plus one per full share of rows.
+* cuts: ``INTERVALS`` intervals of about equal row count, found from a sample of the rows, each cut again into equal widths;
+* carries: one row per chunk of a hot key, some ``INTERVALS * MAX_HOT_KEYS`` at most.
 
-Both side tables are therefore bounded whatever the data holds and are safe to broadcast. Keys that are not hot keep the plain
-window, and with no hot key at all adaptive execution drops the extra branches as empty.
+Both side tables are therefore bounded whatever the data holds and are safe to broadcast. Everything that decides a row's chunk
+(counts, extremes, a sample chosen by hash) is the same however often and in whatever order tasks run, so the branches of the
+plan and repeated tasks agree. Keys that are not hot keep the plain window, and with no hot key at all adaptive execution drops
+the extra branches as empty.
 """
 
 from __future__ import annotations
@@ -23,6 +25,7 @@ from pyspark.sql import types as T
 HOT_ROWS = 1_000_000
 MAX_HOT_KEYS = 8192
 INTERVALS = 64
+SAMPLE = 100 * INTERVALS
 FLOOR = -1.0e300
 
 
@@ -51,30 +54,44 @@ def same_key(left: Iterable[Column], right: Iterable[Column]) -> Column:
     return condition
 
 
-def _hot_cuts(df: DataFrame, keys: list[str], place: Column, hot_rows: int) -> DataFrame:
+def _hot_cuts(df: DataFrame, keys: list[str], order: list[str], place: Column, hot_rows: int) -> DataFrame:
     """One row per hot key: its cut points and how often each interval is cut again."""
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    share = counts.agg(F.greatest(F.lit(float(hot_rows)), F.sum("_n") / F.lit(float(MAX_HOT_KEYS))).alias("_share"))
-    hot = counts.withColumn("_share", share.scalar()).where("_n > _share")
-    hot = hot.select(*[F.col(k).alias(f"_hot_{k}") for k in keys], F.ceil(F.col("_n") / (INTERVALS * F.col("_share"))).alias("_parts"))
-    fractions = [i / INTERVALS for i in range(INTERVALS + 1)]
-    on_key = same_key([F.col(k) for k in keys], [F.col(f"_hot_{k}") for k in keys])
-    return (
-        df.select(*keys, place.alias("_place"))
-        .join(F.broadcast(hot), on_key)
-        .groupBy(*[f"_hot_{k}" for k in keys])
-        .agg(F.percentile_approx("_place", fractions, 10_000).alias("_cuts"), F.max("_parts").alias("_parts"))
+    hot_keys = [f"_hot_{k}" for k in keys]
+    counts = df.groupBy(*[F.col(k).alias(h) for k, h in zip(keys, hot_keys)]).agg(
+        F.count(F.lit(1)).alias("_n"), F.min(place).alias("_low"), F.max(place).alias("_high")
+    )
+    # All columns are used in both places, so that the counts are shuffled once.
+    total = counts.agg(F.expr("struct(sum(_n) AS n, min(_low) AS low, max(_high) AS high)").alias("_total")).select("_total.n")
+    hot = counts.withColumn("_share", F.greatest(F.lit(float(hot_rows)), total.scalar() / float(MAX_HOT_KEYS))).where("_n > _share")
+    on_key = same_key([F.col(k) for k in keys], [F.col(h) for h in hot_keys])
+    # About SAMPLE rows per hot key, chosen by the hash of their place in the order. Equal places count once: they cannot be cut.
+    hashed = df.select(*keys, F.struct(place.alias("place"), F.xxhash64(*order).alias("hash")).alias("_at")).join(F.broadcast(hot), on_key)
+    sampled = hashed.groupBy(*hot_keys, "_n", "_share", "_low", "_high").agg(
+        F.expr(f"collect_set(if(pmod(_at.hash, greatest(floor(_n / {SAMPLE}), 1)) = 0, _at, null))").alias("_sample")
+    )
+    # With hardly any place sampled there is one wide interval, cut into more widths instead.
+    return sampled.selectExpr(
+        *[f"`{h}`" for h in hot_keys],
+        "concat(array(_low), transform(sort_array(_sample), s -> s.place), array(_high)) AS _line",
+        f"ceil(_n / ({INTERVALS} * _share)) * if(size(_sample) < {INTERVALS}, {INTERVALS}, 1) AS _parts",
+    ).selectExpr(
+        *[f"`{h}`" for h in hot_keys],
+        f"transform(sequence(0, {INTERVALS}), i -> get(_line, cast(floor(i * (size(_line) - 1) / {INTERVALS}) AS int))) AS _cuts",
+        "_parts",
     )
 
 
-def _chunk(place: Column) -> Column:
-    """Chunk number within a hot key (NULL for all other rows); rises with the place."""
-    cuts, parts = F.col("_cuts"), F.col("_parts")
-    interval = F.size(F.filter(F.slice(cuts, 2, INTERVALS - 1), lambda cut: cut <= place))
-    low, high = F.get(cuts, interval), F.get(cuts, interval + 1)
-    ratio = F.try_divide(place - low, high - low)
-    part = F.when(ratio >= 1, parts - 1).when(ratio > 0, F.floor(ratio * parts)).otherwise(F.lit(0))
-    return F.when(cuts.isNotNull(), interval * parts + F.least(part, parts - 1)).cast("bigint")
+def _with_chunk(df: DataFrame, keys: list[str], cuts: DataFrame, place: Column) -> DataFrame:
+    """Add the chunk number within a hot key (NULL for all other rows); it rises with the place."""
+    on_key = same_key([F.col(k) for k in keys], [F.col(f"_hot_{k}") for k in keys])
+    found = df.withColumn("_place", place).join(F.broadcast(cuts), on_key, "left")
+    interval = f"size(filter(slice(_cuts, 2, {INTERVALS - 1}), cut -> cut <= _place))"
+    found = found.selectExpr(*[f"`{c}`" for c in df.columns], "_cuts", "_parts", "_place", f"{interval} AS _interval")
+    ratio = "try_divide(_place - get(_cuts, _interval), get(_cuts, _interval + 1) - get(_cuts, _interval))"
+    found = found.selectExpr(*[f"`{c}`" for c in df.columns], "_cuts", "_parts", "_interval", f"{ratio} AS _ratio")
+    part = "CASE WHEN _ratio >= 1 THEN _parts - 1 WHEN _ratio > 0 THEN least(floor(_ratio * _parts), _parts - 1) ELSE 0 END"
+    chunk = f"CASE WHEN _cuts IS NOT NULL THEN _interval * _parts + {part} END AS _chunk"
+    return found.selectExpr(*[f"`{c}`" for c in df.columns], chunk)
 
 
 def with_ordered(
@@ -88,18 +105,19 @@ def with_ordered(
     last_seen: Mapping[str, str] | None = None,
     first: Mapping[str, str] | None = None,
     running_sum: Mapping[str, str] | None = None,
+    key_sum: Mapping[str, str] | None = None,
     hot_rows: int | None = HOT_ROWS,
 ) -> DataFrame:
     """Add ordered columns per key, ascending with NULLs first.
 
     ``row_number`` names the 1-based number. The mappings give ``{new column: source column}``: ``previous`` / ``following`` are
     LAG / LEAD by one, ``last_seen`` the latest non-null value up to and including the row, ``first`` the value of the first row,
-    ``running_sum`` the sum up to and including the row. ``order`` should end in a unique column, or ties are cut at random.
+    ``running_sum`` the sum up to and including the row, ``key_sum`` the sum over the whole key. ``order`` should end in a unique column, or ties are cut at random.
     ``hot_rows=None`` takes the plain window: only for groups whose size is bounded by construction.
     """
     keys, order = list(keys), list(order)
     previous, following, last_seen = dict(previous or {}), dict(following or {}), dict(last_seen or {})
-    first, running_sum = dict(first or {}), dict(running_sum or {})
+    first, running_sum, key_sum = dict(first or {}), dict(running_sum or {}), dict(key_sum or {})
     kept = df.columns
     if not keys:
         df, keys = df.withColumn("_all", F.lit(0)), ["_all"]
@@ -107,10 +125,7 @@ def with_ordered(
     split = hot_rows is not None
     if split:
         place = position(df, order[0])
-        cuts = _hot_cuts(df, keys, place, hot_rows)
-        on_key = same_key([F.col(k) for k in keys], [F.col(f"_hot_{k}") for k in keys])
-        df = df.join(F.broadcast(cuts), on_key, "left").withColumn("_chunk", _chunk(place))
-        df = df.drop("_cuts", "_parts", *[f"_hot_{k}" for k in keys])
+        df = _with_chunk(df, keys, _hot_cuts(df, keys, order, place, hot_rows), place)
         per_key = Window.partitionBy(*keys, "_chunk")
     else:
         per_key = Window.partitionBy(*keys)
@@ -131,19 +146,21 @@ def with_ordered(
         columns[out] = F.first(source).over(so_far)
     for out, source in running_sum.items():
         columns[out] = F.sum(source).over(so_far)
+    for out, source in key_sum.items():
+        columns[out] = F.sum(source).over(per_key)
     if split and following:
         columns["_is_last"] = F.lead(F.lit(1)).over(window).isNull()
     result = df.select("*", *[c.alias(out) for out, c in columns.items()])
     if split:
-        result = _stitch(result, df, keys, order, previous, following, last_seen, first, running_sum, row_number)
+        result = _stitch(result, df, keys, order, previous, following, last_seen, first, running_sum, key_sum, row_number)
     elif row_number:
         result = result.withColumn(row_number, F.col("_rn"))
     outputs = [row_number] if row_number else []
-    outputs += [*previous, *following, *last_seen, *first, *running_sum]
+    outputs += [*previous, *following, *last_seen, *first, *running_sum, *key_sum]
     return result.select(*[c for c in kept if c not in outputs], *outputs)
 
 
-def _stitch(result, df, keys, order, previous, following, last_seen, first, running_sum, row_number) -> DataFrame:
+def _stitch(result, df, keys, order, previous, following, last_seen, first, running_sum, key_sum, row_number) -> DataFrame:
     """Carry values over the cuts between the chunks of the hot keys."""
     at = F.struct(*order)
     ends = [F.count(F.lit(1)).alias("_n")]
@@ -153,7 +170,7 @@ def _stitch(result, df, keys, order, previous, following, last_seen, first, runn
         ends.append(F.min_by(F.struct(*sorted({*following.values(), *first.values()})), at).alias("_start"))
     for source in sorted(set(last_seen.values())):
         ends.append(F.max_by(source, F.when(F.col(source).isNotNull(), at)).alias(f"_seen_{source}"))
-    for source in sorted(set(running_sum.values())):
+    for source in sorted({*running_sum.values(), *key_sum.values()}):
         ends.append(F.sum(source).alias(f"_sum_{source}"))
     # One row per chunk of a hot key: a bounded table, so its windows per key are bounded too.
     chunks = df.where(F.col("_chunk").isNotNull()).groupBy(*keys, "_chunk").agg(*ends)
@@ -172,6 +189,8 @@ def _stitch(result, df, keys, order, previous, following, last_seen, first, runn
         carried.append(F.first(F.col("_start")[source]).over(line).alias(f"_c_{out}"))
     for out, source in running_sum.items():
         carried.append(F.sum(f"_sum_{source}").over(before).alias(f"_c_{out}"))
+    for out, source in key_sum.items():
+        carried.append(F.sum(f"_sum_{source}").over(Window.partitionBy(*keys)).alias(f"_c_{out}"))
     carry = chunks.select(*carried)
     on_chunk = same_key([F.col(k) for k in keys], [F.col(f"_carry_{k}") for k in keys]) & (F.col("_chunk") == F.col("_carry_chunk"))
     result = result.join(F.broadcast(carry), on_chunk, "left")
@@ -191,6 +210,8 @@ def _stitch(result, df, keys, order, previous, following, last_seen, first, runn
     for out in running_sum:
         carried_sum = F.col(f"_c_{out}")
         fixed[out] = F.when(carried_sum.isNull(), F.col(out)).otherwise(carried_sum + F.coalesce(F.col(out), carried_sum - carried_sum))
+    for out in key_sum:
+        fixed[out] = F.when(hot, F.col(f"_c_{out}")).otherwise(F.col(out))
     return result.withColumns(fixed)
 
 

@@ -30,7 +30,7 @@ def pace_delta(laps: DataFrame, keys: Sequence[str] = STINT, order: Sequence[str
     ).drop("_previous")
 
 
-def consistency_rank(laps: DataFrame, by: Sequence[str] = ("driver_id",), below: float = 120, k: int | None = 10) -> DataFrame:
+def consistency_rank(laps: DataFrame, by: Sequence[str] = ("driver_id",), below: float = 120, k: int = 10) -> DataFrame:
     """Drivers by spread of their lap times under ``below`` seconds, best ``k`` first; equal spreads share a rank.
 
     The k best are taken first and only they are ranked: the ranks of a sorted prefix equal the full ranking's.
@@ -49,14 +49,9 @@ def consistency_rank(laps: DataFrame, by: Sequence[str] = ("driver_id",), below:
     return ranked.select(*by, "valid_laps", "avg_lap_time", F.round("_spread", 4).alias("lap_time_stddev"), "consistency_rank")
 
 
-def top_ranked(df: DataFrame, order: Sequence[Column], ties: Sequence[str], k: int | None, out: str) -> DataFrame:
-    """The first ``k`` rows with their RANK; ``ties`` decides which of equal rows are kept.
-
-    ``k=None`` ranks all rows in one task and is meant for tables of dimension size.
-    """
-    if k is not None:
-        df = df.orderBy(*order, *ties).limit(k)
-    return df.withColumn(out, F.rank().over(Window.orderBy(*order)).cast("bigint"))
+def top_ranked(df: DataFrame, order: Sequence[Column], ties: Sequence[str], k: int, out: str) -> DataFrame:
+    """The first ``k`` rows with their RANK; ``ties`` decides which of equal rows are kept. Only the k rows meet in one task."""
+    return df.orderBy(*order, *ties).limit(k).withColumn(out, F.rank().over(Window.orderBy(*order)).cast("bigint"))
 
 
 def stint_summary(laps: DataFrame, by: Sequence[str] = (*STINT, "compound")) -> DataFrame:
@@ -165,9 +160,7 @@ def quantiles(df: DataFrame, by: Sequence[str], value: str, points: dict[str, fl
     """
     by = list(by)
     counted = df.where(F.col(value).isNotNull()).groupBy(*by, value).agg(F.count(F.lit(1)).alias("_n"))
-    summed = with_ordered(counted, by, [value], running_sum={"_upto": "_n"}, hot_rows=hot_rows)
-    totals = counted.groupBy(*by).agg(F.sum("_n").alias("_total"))
-    placed = summed.join(totals, by)
+    placed = with_ordered(counted, by, [value], running_sum={"_upto": "_n"}, key_sum={"_total": "_n"}, hot_rows=hot_rows)
     x = F.col(value).cast("double")
     picks = []
     for name, share in points.items():
@@ -244,7 +237,7 @@ def grid_gain(results: DataFrame) -> DataFrame:
     return results.withColumn("places_gained", F.col("grid_position") - F.col("final_position"))
 
 
-def team_ranking(results: DataFrame, by: Sequence[str] = ("team_name",), k: int | None = 10) -> DataFrame:
+def team_ranking(results: DataFrame, by: Sequence[str] = ("team_name",), k: int = 10) -> DataFrame:
     """Teams by points, with the mean finishing position; the best ``k``."""
     totals = results.groupBy(*by).agg(
         F.sum("points").alias("points"),

@@ -92,7 +92,7 @@ QUERIES = {
     "vector_several": (
         several,
         " UNION ALL ".join(
-            f"""(SELECT '{name}' AS query, *, row_number() OVER (ORDER BY d, msg_id) AS place FROM (
+            f"""(SELECT '{name}' AS query, * EXCLUDE (d), row_number() OVER (ORDER BY d, msg_id) AS place FROM (
                   SELECT {ROW}, round(1 - list_cosine_similarity(embedding::DOUBLE[], {axis}), 4) AS distance,
                          1 - list_cosine_similarity(embedding::DOUBLE[], {axis}) AS d FROM embeddings) QUALIFY place <= 8)"""
             for name, axis in _AXES.items()

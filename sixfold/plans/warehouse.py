@@ -45,14 +45,14 @@ def seed_statuses(spark: SparkSession) -> DataFrame:
 
 def compound_members(names: DataFrame, existing: DataFrame) -> DataFrame:
     """New compounds from a ``compound_name`` column (trimmed, upper case): SOFT, MEDIUM and HARD are DRY, the rest OTHER."""
-    cleaned = names.select(F.upper(text("compound_name")).alias("compound_name"))
+    cleaned = names.select(F.upper(text("compound_name")).alias("compound_name")).distinct()
     typed = cleaned.withColumn("compound_type", F.when(F.col("compound_name").isin("SOFT", "MEDIUM", "HARD"), "DRY").otherwise("OTHER"))
     return new_members(existing, typed, "compound_name", "compound_id")
 
 
 def status_members(names: DataFrame, existing: DataFrame) -> DataFrame:
     """New statuses from a ``status_name`` column: classified if the name holds ``Lap`` or is ``Finished``."""
-    cleaned = names.select(text("status_name").alias("status_name"))
+    cleaned = names.select(text("status_name").alias("status_name")).distinct()
     classified = F.col("status_name").contains("Lap") | (F.col("status_name") == "Finished")
     return new_members(existing, cleaned.withColumn("is_classified", classified.cast("int")), "status_name", "status_id")
 
@@ -171,7 +171,8 @@ def _telemetry(telemetry: DataFrame, stride: int, hot_rows: int | None) -> DataF
     ).dropna(subset=["session_time_sec"])
     if stride == 1:
         return timed
-    return stride_sample(timed, stride, ["event_id", "driver_number"], ["session_time_sec"], hot_rows)
+    place = [c for c in ("session_time_sec", "_row") if c in timed.columns]
+    return stride_sample(timed, stride, ["event_id", "driver_number"], place, hot_rows)
 
 
 def telemetry_facts(telemetry: DataFrame, drivers: DataFrame, stride: int = 10, hot_rows: int | None = HOT_ROWS) -> DataFrame:

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import SparkSession
 
 SETTINGS = {
@@ -13,6 +11,8 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # Split a skewed join partition even where the plan above it then needs one more shuffle.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # No Python call sites in error messages: recording them doubles the time to build a large plan.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
     # One pass over the messages per Arrow batch of this many rows.
     "spark.sql.execution.arrow.maxRecordsPerBatch": "10000",
 }
@@ -32,13 +32,3 @@ def session(master: str = "local[8]", app: str = "sixfold", shuffle_partitions:
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark
-
-
-def checkpoint_folder(spark: SparkSession) -> str:
-    """The shared folder named by the cluster; a temporary one only where none is set and Spark runs locally."""
-    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if folder:
-        return folder
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-    return tempfile.mkdtemp(prefix="sixfold-checkpoint-")

@@ -15,6 +15,7 @@ ASKED = dict(
     last_seen={"seen": "v"},
     first={"start": "v"},
     running_sum={"total": "n"},
+    key_sum={"all": "n"},
 )
 
 
@@ -46,6 +47,25 @@ def test_split_equals_plain_window(spark, kind):
     assert list(map(str, sorted(split.collect(), key=key))) == list(map(str, sorted(plain.collect(), key=key)))
 
 
+@pytest.mark.parametrize("kind", ["plain", "outlier", "burst"])
+def test_split_from_a_small_sample(spark, monkeypatch, kind):
+    from sixfold.operators import ordered
+
+    monkeypatch.setattr(ordered, "SAMPLE", 70)
+    df = spark.createDataFrame(rows(4, kind), "k string, t double, id int, v int, n bigint")
+    split = with_ordered(df, ["k"], ["t", "id"], hot_rows=30, **ASKED)
+    plain = with_ordered(df, ["k"], ["t", "id"], hot_rows=None, **ASKED)
+    key = lambda r: r["id"]
+    assert list(map(str, sorted(split.collect(), key=key))) == list(map(str, sorted(plain.collect(), key=key)))
+
+
+def test_few_places_with_many_copies(spark):
+    df = spark.range(3000).select(F.lit("hot").alias("k"), (F.col("id") % 4).alias("t"), F.lit(1).alias("v"))
+    out = with_ordered(df, ["k"], ["t"], row_number="rn", running_sum={"s": "v"}, hot_rows=100)
+    assert sorted(r.rn for r in out.collect()) == list(range(1, 3001))
+    assert out.groupBy("t").agg(F.min("rn")).orderBy("t").collect()[3][1] == 2251
+
+
 def test_global_order(spark):
     df = spark.createDataFrame(rows(5, "plain"), "k string, t double, id int, v int, n bigint")
     out = with_ordered(df, [], ["t", "id"], row_number="rn", hot_rows=50)
@@ -57,8 +77,8 @@ def test_hot_key_is_cut_into_bounded_groups(spark):
     from sixfold.operators import ordered
 
     place = ordered.position(df, "t")
-    cuts = ordered._hot_cuts(df, ["k"], place, 1000)
-    sizes = df.join(cuts, F.col("k") == F.col("_hot_k")).withColumn("c", ordered._chunk(place)).groupBy("c").count()
+    cuts = ordered._hot_cuts(df, ["k"], ["t", "id"], place, 1000)
+    sizes = ordered._with_chunk(df, ["k"], cuts, place).groupBy("_chunk").count()
     assert sizes.agg(F.max("count")).first()[0] <= 1000
 
 
