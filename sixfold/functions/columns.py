@@ -6,23 +6,30 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# White space as the source files' writer sees it (Unicode white space and the four separators 1C-1F).
-SPACE = r"(?U)[\s\x1c-\x1f]"
+# The characters that count as white space where the files are written (Unicode white space and 1C-1F).
+SPACES = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
+    "\u2028\u2029\u202f\u205f\u3000"
+)
 
 
 def _col(value: Column | str) -> Column:
     return F.col(value) if isinstance(value, str) else value
 
 
+def trimmed(value: Column | str) -> Column:
+    """Text without white space at its ends."""
+    return F.btrim(_col(value).cast("string"), F.lit(SPACES))
+
+
 def text(value: Column | str) -> Column:
     """Trimmed text; empty is NULL."""
-    return F.nullif(F.regexp_replace(_col(value).cast("string"), rf"{SPACE}+$|^{SPACE}+", ""), F.lit(""))
+    return F.nullif(trimmed(value), F.lit(""))
 
 
 def slug(value: Column | str) -> Column:
     """Trim, runs of white space to one underscore, then drop all but ASCII letters, digits, ``_`` and ``-``."""
-    trimmed = F.regexp_replace(_col(value).cast("string"), rf"{SPACE}+$|^{SPACE}+", "")
-    return F.regexp_replace(F.regexp_replace(trimmed, rf"{SPACE}+", "_"), r"[^A-Za-z0-9_\-]", "")
+    return F.regexp_replace(F.regexp_replace(trimmed(value), f"[{SPACES}]+", "_"), r"[^A-Za-z0-9_\-]", "")
 
 
 def session_id(year: Column | str, gp: Column | str, session: Column | str) -> Column:
@@ -36,11 +43,10 @@ def number(value: Column | str, kind: T.DataType | str = "double") -> Column:
     kind = T._parse_datatype_string(kind) if isinstance(kind, str) else kind
     if isinstance(kind, T.DecimalType):
         return written.try_cast(kind)
-    if isinstance(kind, T.IntegralType):
-        return written.try_cast("decimal(38,18)").try_cast(kind)
     parsed = written.try_cast("double")
     # No NaN, no infinity, and none of the type suffixes (1d, 1f) that the cast lets through.
-    return F.when((F.abs(parsed) < float("inf")) & ~F.rtrim(written).rlike("[dDfF]$"), parsed).cast(kind)
+    is_number = (F.abs(parsed) < float("inf")) & ~F.lower(F.right(F.rtrim(written), F.lit(1))).isin("d", "f")
+    return F.when(is_number, parsed).try_cast(kind)
 
 
 def whole(value: Column | str) -> Column:

@@ -57,17 +57,16 @@ def same_key(left: Iterable[Column], right: Iterable[Column]) -> Column:
 def _hot_cuts(df: DataFrame, keys: list[str], order: list[str], place: Column, hot_rows: int) -> DataFrame:
     """One row per hot key: its cut points and how often each interval is cut again."""
     hot_keys = [f"_hot_{k}" for k in keys]
-    counts = df.groupBy(*[F.col(k).alias(h) for k, h in zip(keys, hot_keys)]).agg(
-        F.count(F.lit(1)).alias("_n"), F.min(place).alias("_low"), F.max(place).alias("_high")
-    )
-    # All columns are used in both places, so that the counts are shuffled once.
-    total = counts.agg(F.expr("struct(sum(_n) AS n, min(_low) AS low, max(_high) AS high)").alias("_total")).select("_total.n")
+    counts = df.groupBy(*[F.col(k).alias(h) for k, h in zip(keys, hot_keys)]).agg(F.count(F.lit(1)).alias("_n"))
+    total = counts.agg(F.sum("_n").alias("_total"))
     hot = counts.withColumn("_share", F.greatest(F.lit(float(hot_rows)), total.scalar() / float(MAX_HOT_KEYS))).where("_n > _share")
     on_key = same_key([F.col(k) for k in keys], [F.col(h) for h in hot_keys])
     # About SAMPLE rows per hot key, chosen by the hash of their place in the order. Equal places count once: they cannot be cut.
     hashed = df.select(*keys, F.struct(place.alias("place"), F.xxhash64(*order).alias("hash")).alias("_at")).join(F.broadcast(hot), on_key)
-    sampled = hashed.groupBy(*hot_keys, "_n", "_share", "_low", "_high").agg(
-        F.expr(f"collect_set(if(pmod(_at.hash, greatest(floor(_n / {SAMPLE}), 1)) = 0, _at, null))").alias("_sample")
+    sampled = hashed.groupBy(*hot_keys, "_n", "_share").agg(
+        F.expr("min(_at.place) AS _low"),
+        F.expr("max(_at.place) AS _high"),
+        F.expr(f"collect_set(if(pmod(_at.hash, greatest(floor(_n / {SAMPLE}), 1)) = 0, _at, null)) AS _sample"),
     )
     # With hardly any place sampled there is one wide interval, cut into more widths instead.
     return sampled.selectExpr(
@@ -81,10 +80,10 @@ def _hot_cuts(df: DataFrame, keys: list[str], order: list[str], place: Column, h
     )
 
 
-def _with_chunk(df: DataFrame, keys: list[str], cuts: DataFrame, place: Column) -> DataFrame:
-    """Add the chunk number within a hot key (NULL for all other rows); it rises with the place."""
+def _with_chunk(df: DataFrame, keys: list[str], cuts: DataFrame, place: Column, how: str) -> DataFrame:
+    """Add the chunk number within a hot key; it rises with the place. Other rows get NULL (left) or are dropped (inner)."""
     on_key = same_key([F.col(k) for k in keys], [F.col(f"_hot_{k}") for k in keys])
-    found = df.withColumn("_place", place).join(F.broadcast(cuts), on_key, "left")
+    found = df.withColumn("_place", place).join(F.broadcast(cuts), on_key, how)
     interval = f"size(filter(slice(_cuts, 2, {INTERVALS - 1}), cut -> cut <= _place))"
     found = found.selectExpr(*[f"`{c}`" for c in df.columns], "_cuts", "_parts", "_place", f"{interval} AS _interval")
     ratio = "try_divide(_place - get(_cuts, _interval), get(_cuts, _interval + 1) - get(_cuts, _interval))"
@@ -125,7 +124,9 @@ def with_ordered(
     split = hot_rows is not None
     if split:
         place = position(df, order[0])
-        df = _with_chunk(df, keys, _hot_cuts(df, keys, order, place, hot_rows), place)
+        cuts = _hot_cuts(df, keys, order, place, hot_rows)
+        hot = _with_chunk(df, keys, cuts, place, "inner")
+        df = _with_chunk(df, keys, cuts, place, "left")
         per_key = Window.partitionBy(*keys, "_chunk")
     else:
         per_key = Window.partitionBy(*keys)
@@ -152,7 +153,7 @@ def with_ordered(
         columns["_is_last"] = F.lead(F.lit(1)).over(window).isNull()
     result = df.select("*", *[c.alias(out) for out, c in columns.items()])
     if split:
-        result = _stitch(result, df, keys, order, previous, following, last_seen, first, running_sum, key_sum, row_number)
+        result = _stitch(result, hot, keys, order, previous, following, last_seen, first, running_sum, key_sum, row_number)
     elif row_number:
         result = result.withColumn(row_number, F.col("_rn"))
     outputs = [row_number] if row_number else []
@@ -160,7 +161,7 @@ def with_ordered(
     return result.select(*[c for c in kept if c not in outputs], *outputs)
 
 
-def _stitch(result, df, keys, order, previous, following, last_seen, first, running_sum, key_sum, row_number) -> DataFrame:
+def _stitch(result, hot_rows, keys, order, previous, following, last_seen, first, running_sum, key_sum, row_number) -> DataFrame:
     """Carry values over the cuts between the chunks of the hot keys."""
     at = F.struct(*order)
     ends = [F.count(F.lit(1)).alias("_n")]
@@ -173,7 +174,7 @@ def _stitch(result, df, keys, order, previous, following, last_seen, first, runn
     for source in sorted({*running_sum.values(), *key_sum.values()}):
         ends.append(F.sum(source).alias(f"_sum_{source}"))
     # One row per chunk of a hot key: a bounded table, so its windows per key are bounded too.
-    chunks = df.where(F.col("_chunk").isNotNull()).groupBy(*keys, "_chunk").agg(*ends)
+    chunks = hot_rows.groupBy(*keys, "_chunk").agg(*ends)
     line = Window.partitionBy(*keys).orderBy("_chunk")
     before = line.rowsBetween(Window.unboundedPreceding, -1)
     carried = [*[F.col(k).alias(f"_carry_{k}") for k in keys], F.col("_chunk").alias("_carry_chunk")]

@@ -78,7 +78,7 @@ def test_hot_key_is_cut_into_bounded_groups(spark):
 
     place = ordered.position(df, "t")
     cuts = ordered._hot_cuts(df, ["k"], ["t", "id"], place, 1000)
-    sizes = ordered._with_chunk(df, ["k"], cuts, place).groupBy("_chunk").count()
+    sizes = ordered._with_chunk(df, ["k"], cuts, place, "inner").groupBy("_chunk").count()
     assert sizes.agg(F.max("count")).first()[0] <= 1000
 
 
