@@ -83,14 +83,18 @@ def _hot_cuts(df: DataFrame, keys: list[str], order: list[str], place: Column, h
 def _with_chunk(df: DataFrame, keys: list[str], cuts: DataFrame, place: Column, how: str) -> DataFrame:
     """Add the chunk number within a hot key; it rises with the place. Other rows get NULL (left) or are dropped (inner)."""
     on_key = same_key([F.col(k) for k in keys], [F.col(f"_hot_{k}") for k in keys])
-    found = df.withColumn("_place", place).join(F.broadcast(cuts), on_key, how)
-    interval = f"size(filter(slice(_cuts, 2, {INTERVALS - 1}), cut -> cut <= _place))"
-    found = found.selectExpr(*[f"`{c}`" for c in df.columns], "_cuts", "_parts", "_place", f"{interval} AS _interval")
+    kept = [f"`{c}`" for c in df.columns]
+    found = df.withColumn("_place", place).join(F.broadcast(cuts), on_key, how).selectExpr(*kept, "_cuts", "_parts", "_place", "0 AS _interval")
+    # The last cut at or before the place, by halving.
+    step = INTERVALS // 2
+    while step:
+        move = f"_interval + if(get(_cuts, _interval + {step}) <= _place, {step}, 0) AS _interval"
+        found, step = found.selectExpr(*kept, "_cuts", "_parts", "_place", move), step // 2
     ratio = "try_divide(_place - get(_cuts, _interval), get(_cuts, _interval + 1) - get(_cuts, _interval))"
-    found = found.selectExpr(*[f"`{c}`" for c in df.columns], "_cuts", "_parts", "_interval", f"{ratio} AS _ratio")
+    found = found.selectExpr(*kept, "_cuts", "_parts", "_interval", f"{ratio} AS _ratio")
     part = "CASE WHEN _ratio >= 1 THEN _parts - 1 WHEN _ratio > 0 THEN least(floor(_ratio * _parts), _parts - 1) ELSE 0 END"
     chunk = f"CASE WHEN _cuts IS NOT NULL THEN _interval * _parts + {part} END AS _chunk"
-    return found.selectExpr(*[f"`{c}`" for c in df.columns], chunk)
+    return found.selectExpr(*kept, chunk)
 
 
 def with_ordered(
@@ -119,7 +123,8 @@ def with_ordered(
     first, running_sum, key_sum = dict(first or {}), dict(running_sum or {}), dict(key_sum or {})
     kept = df.columns
     if not keys:
-        df, keys = df.withColumn("_all", F.lit(0)), ["_all"]
+        # Always 0, but no constant: the joins below keep a key to join on.
+        df, keys = df.withColumn("_all", F.pmod(F.xxhash64(order[0]), F.lit(1))), ["_all"]
 
     split = hot_rows is not None
     if split:
