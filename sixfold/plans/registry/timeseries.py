@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from sixfold.operators import timeseries as ts
 from sixfold.operators.ordered import stride_sample
 from sixfold.plans import views
-from sixfold.plans.inputs import LAPS, TELEMETRY, WEATHER, laps, table, telemetry, weather
+from sixfold.plans.inputs import LAPS, TELEMETRY, WEATHER, table, telemetry, weather
 
 HOUR = 3600
 
@@ -45,15 +45,14 @@ def forward_fill(spark, sf):
 
 
 def weather_correlation(spark, sf):
-    lapped = laps(spark, sf).select(
-        "event_id", "lap_time_sec", (F.col("ts") - F.lit("2024-01-01").cast("timestamp_ntz")).cast("decimal(14,6)").alias("lap_start_time_sec")
-    )
-    events = table(spark, sf, "events").where("event_type = 'error'")
-    air = events.select(
+    events = table(spark, sf, "events").select(
         (F.floor(F.datediff("ts", F.lit("2024-01-01").cast("date")) / 7) + 1).alias("event_id"),
         (F.col("ts") - F.lit("2024-01-01").cast("timestamp_ntz")).cast("decimal(14,6)").alias("time_sec"),
-        F.col("value").alias("air_temp"),
+        "event_type",
+        "value",
     )
+    lapped = events.select("event_id", F.col("time_sec").alias("lap_start_time_sec"), F.col("value").cast("decimal(12,6)").alias("lap_time_sec"))
+    air = events.where("event_type = 'error'").select("event_id", "time_sec", F.col("value").alias("air_temp"))
     found = ts.weather_correlation(lapped, air, ["air_temp"])
     return found.withColumn("corr_air_temp", F.round("corr_air_temp", 6))
 

@@ -318,7 +318,9 @@ def build_warehouse(
         write_table(bridge_rows(entry, stored("dim_driver"), stored("dim_team"), stored("bridge_driver_team")), out, "bridge_driver_team")
         statuses = raw["results"].select(_cell(raw["results"], "Status").alias("status_name"))
         write_table(status_members(statuses, stored("dim_result_status")), out, "dim_result_status")
-        drivers = event_drivers(entry, stored("dim_driver"))
+        # Written and read back: its size is then known, and a small one reaches the large facts without shuffling them.
+        event_drivers(entry, stored("dim_driver")).write.mode("overwrite").parquet(f"{out}/_event_drivers")
+        drivers = spark.read.parquet(f"{out}/_event_drivers")
     if raw["laps"] is not None:
         compounds = raw["laps"].select(_cell(raw["laps"], "Compound").alias("compound_name"))
         write_table(compound_members(compounds, stored("dim_compound")), out, "dim_compound")
