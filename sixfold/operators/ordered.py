@@ -84,17 +84,18 @@ def _with_chunk(df: DataFrame, keys: list[str], cuts: DataFrame, place: Column,
     """Add the chunk number within a hot key; it rises with the place. Other rows get NULL (left) or are dropped (inner)."""
     on_key = same_key([F.col(k) for k in keys], [F.col(f"_hot_{k}") for k in keys])
     kept = [f"`{c}`" for c in df.columns]
-    found = df.withColumn("_place", place).join(F.broadcast(cuts), on_key, how).selectExpr(*kept, "_cuts", "_parts", "_place", "0 AS _interval")
+    found = df.withColumn("_place", place).join(F.broadcast(cuts), on_key, how)
     # The last cut at or before the place, by halving.
-    step = INTERVALS // 2
+    steps, at, step = ["0 AS _interval_0"], 0, INTERVALS // 2
     while step:
-        move = f"_interval + if(get(_cuts, _interval + {step}) <= _place, {step}, 0) AS _interval"
-        found, step = found.selectExpr(*kept, "_cuts", "_parts", "_place", move), step // 2
-    ratio = "try_divide(_place - get(_cuts, _interval), get(_cuts, _interval + 1) - get(_cuts, _interval))"
-    found = found.selectExpr(*kept, "_cuts", "_parts", "_interval", f"{ratio} AS _ratio")
+        before, at = at, at + 1
+        steps.append(f"_interval_{before} + if(get(_cuts, _interval_{before} + {step}) <= _place, {step}, 0) AS _interval_{at}")
+        step //= 2
+    interval = f"_interval_{at}"
+    ratio = f"try_divide(_place - get(_cuts, {interval}), get(_cuts, {interval} + 1) - get(_cuts, {interval})) AS _ratio"
     part = "CASE WHEN _ratio >= 1 THEN _parts - 1 WHEN _ratio > 0 THEN least(floor(_ratio * _parts), _parts - 1) ELSE 0 END"
-    chunk = f"CASE WHEN _cuts IS NOT NULL THEN _interval * _parts + {part} END AS _chunk"
-    return found.selectExpr(*kept, chunk)
+    chunk = f"CASE WHEN _cuts IS NOT NULL THEN {interval} * _parts + {part} END AS _chunk"
+    return found.selectExpr(*kept, *steps, ratio, chunk).select(*df.columns, "_chunk")
 
 
 def with_ordered(
