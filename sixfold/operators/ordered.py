@@ -6,9 +6,10 @@ carries the value over each cut:
 
 * hot keys: more than ``max(hot_rows, total / MAX_HOT_KEYS)`` rows, so there are fewer than ``MAX_HOT_KEYS`` of them;
 * cuts: ``INTERVALS`` intervals of about equal row count, found from a sample of the rows, each cut again into equal widths;
-* carries: one row per chunk of a hot key, some ``INTERVALS * MAX_HOT_KEYS`` at most.
+* carries: one row per chunk of a hot key, about ``INTERVALS`` per hot key (at most eight times that where few places exist).
 
-Both side tables are therefore bounded whatever the data holds and are safe to broadcast. Everything that decides a row's chunk
+Both side tables are therefore bounded whatever the data holds and are safe to broadcast. Rows that are equal in the first order
+column stay in one chunk: give a column with many values first. Everything that decides a row's chunk
 (counts, extremes, a sample chosen by hash) is the same however often and in whatever order tasks run, so the branches of the
 plan and repeated tasks agree. Keys that are not hot keep the plain window, and with no hot key at all adaptive execution drops
 the extra branches as empty.
@@ -68,11 +69,11 @@ def _hot_cuts(df: DataFrame, keys: list[str], order: list[str], place: Column, h
         F.expr("max(_at.place) AS _high"),
         F.expr(f"collect_set(if(pmod(_at.hash, greatest(floor(_n / {SAMPLE}), 1)) = 0, _at, null)) AS _sample"),
     )
-    # With hardly any place sampled there is one wide interval, cut into more widths instead.
+    # With hardly any place sampled the intervals are wide: cut them into more widths instead.
     return sampled.selectExpr(
         *[f"`{h}`" for h in hot_keys],
         "concat(array(_low), transform(sort_array(_sample), s -> s.place), array(_high)) AS _line",
-        f"ceil(_n / ({INTERVALS} * _share)) * if(size(_sample) < {INTERVALS}, {INTERVALS}, 1) AS _parts",
+        f"ceil(_n / ({INTERVALS} * _share)) * if(size(_sample) < {INTERVALS}, 8, 1) AS _parts",
     ).selectExpr(
         *[f"`{h}`" for h in hot_keys],
         f"transform(sequence(0, {INTERVALS}), i -> get(_line, cast(floor(i * (size(_line) - 1) / {INTERVALS}) AS int))) AS _cuts",
@@ -116,8 +117,8 @@ def with_ordered(
 
     ``row_number`` names the 1-based number. The mappings give ``{new column: source column}``: ``previous`` / ``following`` are
     LAG / LEAD by one, ``last_seen`` the latest non-null value up to and including the row, ``first`` the value of the first row,
-    ``running_sum`` the sum up to and including the row, ``key_sum`` the sum over the whole key. ``order`` should end in a unique column, or ties are cut at random.
-    ``hot_rows=None`` takes the plain window: only for groups whose size is bounded by construction.
+    ``running_sum`` the sum up to and including the row, ``key_sum`` the sum over the whole key. ``order`` should end in a unique
+    column, or ties are cut at random. ``hot_rows=None`` takes the plain window: only for groups whose size is bounded by construction.
     """
     keys, order = list(keys), list(order)
     previous, following, last_seen = dict(previous or {}), dict(following or {}), dict(last_seen or {})

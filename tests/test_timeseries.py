@@ -32,9 +32,7 @@ def test_as_of_edges(spark):
 
 def minutes(spark, per_event):
     rows = [(e, 60.0 * m + 5, v, v + 10) for e, ms in per_event.items() for m, v in ms.items()]
-    return spark.createDataFrame(rows, "event_id int, time_sec double, air decimal(5,2), track decimal(5,2)") if False else spark.createDataFrame(
-        rows, "event_id int, time_sec double, air double, track double"
-    )
+    return spark.createDataFrame(rows, "event_id int, time_sec double, air double, track double")
 
 
 def test_neighbour_fill(spark):
