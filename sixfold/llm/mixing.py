@@ -11,7 +11,7 @@ from pyspark.sql.window import Window
 from sixfold.llm.store import cut
 
 #: Documents that one task puts in order.
-BLOCK = 20_000
+BLOCK = 2_000
 #: Copies of the small table of sources, so that one source's rows go to so many tasks.
 SALTS = 32
 

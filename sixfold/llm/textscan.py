@@ -141,14 +141,22 @@ def pieces(batch: pa.RecordBatch, column: str, limit: int = PIECE) -> Iterator[t
         yield part, Texts(part.column(place))
 
 
-def over(work: Callable[[pa.RecordBatch, Texts], dict], schema: pa.Schema, column: str = "text"):
-    """A function for ``mapInArrow``: ``work`` gets a few rows and their texts and returns columns by name."""
+def extend(docs, work: Callable[[pa.RecordBatch, Texts], dict], new: dict[str, tuple[str, pa.DataType]], column: str = "text", without: tuple[str, ...] = ()):
+    """The rows of ``docs`` without the columns ``without`` and with those of ``work``: name -> (Spark type, Arrow type).
+
+    ``work`` gets some rows and their texts and returns a sequence of values for every new column.
+    """
+    from pyspark.sql import types as T
+
+    kept = [f for f in docs.schema if f.name not in without and f.name not in new]
+    schema = T.StructType(kept + [T.StructField(name, T._parse_datatype_string(kind)) for name, (kind, _) in new.items()])
+    names = [f.name for f in kept]
 
     def run(batches):
         for batch in batches:
             for part, texts in pieces(batch, column):
                 made = work(part, texts)
-                if made is not None:
-                    yield pa.RecordBatch.from_arrays([pa.array(made[f.name], f.type) if not isinstance(made[f.name], pa.Array) else made[f.name].cast(f.type) for f in schema], schema=schema)
+                columns = [part.column(part.schema.get_field_index(n)) for n in names] + [pa.array(made[n], kind) for n, (_, kind) in new.items()]
+                yield pa.RecordBatch.from_arrays(columns, names=[*names, *new])
 
-    return run
+    return docs.mapInArrow(run, schema)
