@@ -1,7 +1,7 @@
 """The queries of this package: name -> (build DataFrame from a session and a data folder, the same result as SQL or None)."""
 
-from sixfold.llm import decontaminate, lines, mixing, urls
+from sixfold.llm import decontaminate, lines, mixing, quality, toxicity, urls
 
 QUERIES = {}
-for _part in (mixing, decontaminate, lines, urls):
+for _part in (toxicity, quality, mixing, decontaminate, lines, urls):
     QUERIES |= _part.QUERIES
