@@ -98,21 +98,24 @@ class Chain:
         return out
 
 
-def fit_chain(labelled: DataFrame, categories: Sequence[str], max_train: int = MAX_TRAIN, folds: int = FOLDS) -> Chain:
-    """Fit one classifier per category, in order, on a bounded sample of ``labelled`` (``doc_id, text`` and a 0/1 column per category).
+def fit_chain(docs: DataFrame, labels: DataFrame, categories: Sequence[str], max_train: int = MAX_TRAIN, folds: int = FOLDS) -> Chain:
+    """Fit one classifier per category, in order, on a bounded sample of the labelled ``docs`` (``doc_id, text``);
+    ``labels`` has one row per ``doc_id`` with a 0/1 column per category.
 
     The later classifiers also see the logits of the earlier categories. What they see in training comes from models that did not have
     that row (out of fold), so it is as uncertain as it will be on new texts. Of about ``max_train`` rows, every category's rarer and
     commoner value get equal shares, chosen by a hash of the id; weights undo this. Every model is fitted in a task of its own.
     Rows with a null text or a null label are left out.
     """
-    known = labelled.dropna(subset=["text", *categories]).select("doc_id", "text", *[F.col(c).cast("int").alias(c) for c in categories])
+    there = docs.where("text IS NOT NULL").select("doc_id")
+    known = cut(labels.dropna(subset=["doc_id", *categories]).select("doc_id", *[F.col(c).cast("int").alias(c) for c in categories]).join(there, "doc_id", "left_semi"))
     sizes = {(c, v): n for c in categories for v, n in known.groupBy(c).count().collect()}
     share = max_train / (2 * len(categories))
     # Each row's chance is the largest that one of its labels gives it.
     chance = F.greatest(*[F.coalesce(*[F.when(F.col(c) == v, F.lit(min(1.0, share / n))) for (d, v), n in sizes.items() if d == c], F.lit(0.0)) for c in categories], F.lit(0.0))
     unit = F.shiftrightunsigned(F.xxhash64(F.lit(5), "doc_id"), 11) / F.lit(float(1 << 53))
-    sample = known.withColumn("chance", chance).where(unit < F.col("chance"))
+    chosen = known.withColumn("chance", chance).where(unit < F.col("chance"))  # about max_train rows of a few numbers
+    sample = docs.select("doc_id", "text").where("text IS NOT NULL").join(F.broadcast(chosen), "doc_id")
 
     def encode(_, texts: Texts) -> dict:
         text, feature = features(texts)
@@ -166,7 +169,7 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, categories: Sequence[str]
     Repeated rows are scored each. Texts are read twice and never shuffled whole; the model is one array of ``2**BITS`` per category.
     """
     known = labels.where("doc_id IS NOT NULL").groupBy("doc_id").agg(*[F.max(c).alias(c) for c in categories])
-    chain = fit_chain(docs.select("doc_id", "text").join(known, "doc_id"), categories, max_train)
+    chain = fit_chain(docs.select("doc_id", "text"), known, categories, max_train)
     shared = docs.sparkSession.sparkContext.broadcast(chain)
 
     def work(_, texts: Texts) -> dict:
