@@ -206,7 +206,8 @@ def _joined_groups(num: int, den: int):
                 if row[0] != group:
                     out += links(rows)
                     group, rows = row[0], []
-                rows.append(row)
+                if not rows or rows[-1][1] != row[1]:  # copies of a row
+                    rows.append(row)
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array([a for a, _ in out], pa.int64()), pa.array([b for _, b in out], pa.int64())], names=["a", "b"])
         out = links(rows)
@@ -235,7 +236,7 @@ def similar_documents(docs: DataFrame, words: int = 5, num: int = 80, den: int =
     4. Components of the links.
 
     Nothing is capped and no pair of linked sets is missed, but for hash collisions (2**-64 for a pair). Null and empty texts and
-    texts without words have an empty set and are linked with nothing; a null id is never a component's id unless all ids are null;
+    texts without words have an empty set and are linked with nothing, and neither are rows with a null id (component: null);
     repeated rows are equal sets; an empty table gives no rows.
     """
     spark = docs.sparkSession
@@ -262,41 +263,38 @@ def similar_documents(docs: DataFrame, words: int = 5, num: int = 80, den: int =
                 if key:
                     yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(key).view(np.int64)), pa.array(np.concatenate(node))], names=["key", "node"])
 
-    keyed = narrow.select("text").mapInArrow(send_keys, "key bigint, node bigint")
+    keyed = narrow.where("doc_id IS NOT NULL").select("text").mapInArrow(send_keys, "key bigint, node bigint")
     pairs = keyed.repartition("key").sortWithinPartitions("key", "node").mapInArrow(_first_of_runs, "a bigint, b bigint").distinct()
-    families = cut(components(cut(pairs)).withColumnRenamed("component", "family"))
+    families = cut(components(pairs).withColumnRenamed("component", "family"))
 
-    classes = sets.where("node IS NOT NULL").groupBy("node").agg(F.min("doc_id").alias("least"))
-    # One text of each candidate set; the id finds the text again.
-    wanted = sets.join(families, "node").groupBy("node", "family").agg(F.min("doc_id").alias("doc_id"))
-    texts = narrow.join(wanted, narrow["doc_id"].eqNullSafe(wanted["doc_id"])).select("node", "family", "text")
+    classes = sets.where("node IS NOT NULL AND doc_id IS NOT NULL").groupBy("node").agg(F.min("doc_id").alias("least"))
+    blocks = families.groupBy("family").agg(F.ceil(F.count("*") / BLOCK).alias("blocks"))
+    placed = families.join(blocks, "family").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")))
+    # One text of each candidate set. An id that stands for several texts brings them all; the hash tells which is meant.
+    wanted = placed.join(classes, "node").withColumnRenamed("least", "doc_id")
 
-    def encode(_, batch: Texts) -> dict:
-        found = shingle_sets(batch, words)
+    def encode(_, texts: Texts) -> dict:
+        found = shingle_sets(texts, words)
         return {"shingles": [s.tobytes() for s in found], "is": [set_hash(s) if len(s) else 0 for s in found]}
 
-    encoded = extend(texts, encode, {"shingles": ("binary", pa.binary()), "is": ("bigint", pa.int64())}, without=("text",))
-    # An id that stands for several texts brings them all; the hash tells which is meant.
-    members = cut(encoded.where(F.col("is") == F.col("node")).dropDuplicates(["node"]).select("node", "family", "shingles"))
+    new = {"shingles": ("binary", pa.binary()), "is": ("bigint", pa.int64())}
+    members = cut(extend(wanted.join(narrow, "doc_id").drop("doc_id"), encode, new, without=("text",)).where(F.col("is") == F.col("node")).drop("is"))
 
-    blocks = members.groupBy("family").agg(F.ceil(F.count("*") / BLOCK).alias("blocks"), F.min("node").alias("first"))
-    placed = members.join(blocks, "family").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")))
-    mine = F.when(F.col("node") == F.col("first"), F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1)).otherwise(F.array("block"))
-    stars = placed.withColumn("with", F.explode(mine)).select(
+    # The smallest node of a family is its name.
+    with_all = F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1)
+    stars = members.withColumn("with", F.explode(F.when(F.col("node") == F.col("family"), with_all).otherwise(F.array("block")))).select(
         F.xxhash64("family", "with").alias("group"), "node", F.col("node").alias("known"), "shingles", F.lit(0).alias("side"), F.lit(False).alias("across")
     )
     near = cut(_links(stars, num, den))
-    found = cut(components(near))
+    linked = cut(components(near))
 
-    # Families of several blocks that are several components: all pairs of blocks.
-    tied = placed.where("blocks > 1").join(found, "node", "left").withColumn("known", F.coalesce("component", "node"))
+    # Families of several blocks that are not one component yet: all pairs of blocks, across components.
+    tied = placed.where("blocks > 1").join(linked, "node", "left").select("family", "node", F.coalesce("component", "node").alias("known"))
     split = tied.groupBy("family").agg(F.count_distinct("known").alias("parts")).where("parts > 1").select("family")
-    open_ = tied.join(split, "family", "left_semi")
-    other = F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1))
-    across = (
-        open_.withColumn("other", other)
-        .where("other <> block")
-        .select(
+    open_ = cut(tied.join(split, "family", "left_semi").drop("family"))
+    if not open_.isEmpty():
+        other = members.join(open_, "node").withColumn("other", F.explode(with_all)).where("other <> block")
+        across = other.select(
             F.xxhash64("family", F.least("block", "other"), F.greatest("block", "other")).alias("group"),
             "node",
             "known",
@@ -304,21 +302,20 @@ def similar_documents(docs: DataFrame, words: int = 5, num: int = 80, den: int =
             (F.col("block") > F.col("other")).cast("int").alias("side"),
             F.lit(True).alias("across"),
         )
-    )
-    more = cut(_links(across, num, den))
-    linked = cut(components(near.union(more)))
+        linked = cut(components(near.union(_links(across, num, den))))
 
     named = linked.join(classes, "node")
     least = named.groupBy("component").agg(F.min("least").alias("component_id"))
     of_node = named.select("node", "component").join(least, "component").select("node", "component_id")
     known = classes.join(of_node, "node", "left").select("node", F.coalesce("component_id", "least").alias("component_id"))
-    return sets.join(known, "node", "left").select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
+    component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id"))
+    return sets.join(known, "node", "left").select("doc_id", "n_shingles", component.alias("component_id"))
 
 
 def keep_one(docs: DataFrame, words: int = 5, num: int = 80, den: int = 100) -> DataFrame:
     """The rows of ``docs`` that are the first of their component (smallest id); of equal rows one. See ``similar_documents``.
 
-    Rows with a null id stay only where no other document is linked with them.
+    Rows with a null id are linked with nothing and stay, but for copies of one text.
     """
     found = similar_documents(docs, words, num, den).where("doc_id <=> component_id").select(F.col("doc_id").alias("__id")).distinct()
     kept = docs.join(found, F.col("doc_id").eqNullSafe(F.col("__id")), "left_semi")
