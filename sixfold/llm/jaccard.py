@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-import functools
 import math
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -17,8 +17,12 @@ from sixfold.llm.textscan import SPACED, Texts, Words, extend, mix, pieces, run_
 
 #: Sets in one block; a task joins one or two blocks.
 BLOCK = 256
-#: Sets that a task remembers, so that it sends the keys of equal sets once.
+#: Elements times sets that are compared at once.
+CELLS = 4_000_000
+#: Sets that a task remembers, so that it sends the first shingles of equal sets once.
 SEEN = 500_000
+#: Counters of the sketch of shingle counts, and the rows in which they travel.
+BITS, CHUNKS = 22, 16
 
 
 def shingle_sets(texts: Texts, size: int) -> list[np.ndarray]:
@@ -43,50 +47,51 @@ def set_hash(s: np.ndarray) -> int:
     return int(mix(np.array([mix(s ^ np.uint64(0x51)).sum(dtype=np.uint64)], np.uint64) + np.uint64(len(s))).view(np.int64)[0])
 
 
-class Cuts:
-    """How sets are cut into parts so that linked sets have an equal part.
+class Counts:
+    """How often shingles occur, in ``2**BITS`` counters however many shingles there are: a sketch, exact only in being the same everywhere.
 
-    Sizes fall into classes; linked sets are in the same class or in neighbouring ones. The hashes are cut into equal ranges, more of
-    them than two linked sets of a class have elements that are not in both, so one range holds the same elements of both. Empty
-    ranges tell nothing, so there are ``spare`` more ranges; a set with more empty ones than that also sends keys for those.
+    It gives the global order of shingles: by level, then by hash. Any order is right for the join; one that puts frequent shingles
+    last keeps the groups of the first ones small. A shingle has a level above 0 if its counter stands out from what chance puts there.
     """
 
-    def __init__(self, num: int, den: int):
-        self.num, self.den = num, den
-        self.starts = [1]
-
-    def class_of(self, n: int) -> int:
-        while self.starts[-1] <= n:
-            self.starts.append(self.starts[-1] * self.den // self.num + 1)
-        return int(np.searchsorted(self.starts, n, "right")) - 1
-
-    @functools.lru_cache(maxsize=None)  # noqa: B019
-    def plan(self, group: int) -> tuple[int, int, np.ndarray]:
-        while len(self.starts) < group + 2:
-            self.starts.append(self.starts[-1] * self.den // self.num + 1)
-        low, high = self.starts[group], self.starts[group + 1] - 1
-        apart = 2 * high * (self.den - self.num) // (self.den + self.num)
-        if apart == 0:  # only equal sets are linked
-            return 0, 0, np.zeros(0, np.uint64)
-        spare = 1 + math.ceil(3 * (apart + 1) * math.exp(-low / (apart + 2)))
-        parts = apart + 1 + spare
-        edges = np.array([(k << 64) // parts for k in range(1, parts)], np.uint64)
-        return parts, spare, edges
-
-    def keys(self, s: np.ndarray) -> np.ndarray:
-        found = []
-        group = self.class_of(len(s))
-        for g in (group, group + 1):
-            parts, spare, edges = self.plan(g)
-            if not parts:
-                continue
-            bounds = np.concatenate([[0], np.searchsorted(s, edges), [len(s)]])
-            total = np.zeros(len(s) + 1, np.uint64)
-            np.cumsum(mix(s + np.uint64(0xA5)), out=total[1:])
-            full = bounds[1:] > bounds[:-1]
-            key = mix(total[bounds[1:]] - total[bounds[:-1]] + mix(np.arange(parts, dtype=np.uint64) + np.uint64(g << 32)))
-            found.append(key if (~full).sum() > spare else key[full])
-        return np.concatenate(found) if found else np.zeros(0, np.uint64)
+    def __init__(self):
+        self.counts = np.zeros(1 << BITS, np.int32)
+
+    def add(self, s: np.ndarray) -> None:
+        np.add.at(self.counts, (s >> np.uint64(64 - BITS)).astype(np.int64), 1)
+
+    def rows(self) -> list[tuple[int, bytes]]:
+        return [(k, zlib.compress(part.tobytes(), 1)) for k, part in enumerate(np.split(self.counts, CHUNKS))]
+
+    @staticmethod
+    def summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """From rows sorted by chunk: the sum of each chunk, holding one chunk at a time."""
+        chunk, total = None, np.zeros(0, np.int64)
+        for batch in batches:
+            for k, raw in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                part = np.frombuffer(zlib.decompress(raw), np.int32)
+                if k != chunk:
+                    if chunk is not None:
+                        yield pa.RecordBatch.from_arrays([pa.array([chunk], pa.int32()), pa.array([zlib.compress(total.tobytes(), 1)], pa.binary())], names=["chunk", "counts"])
+                    chunk, total = k, np.zeros(len(part), np.int64)
+                total = total + part
+        if chunk is not None:
+            yield pa.RecordBatch.from_arrays([pa.array([chunk], pa.int32()), pa.array([zlib.compress(total.tobytes(), 1)], pa.binary())], names=["chunk", "counts"])
+
+    @staticmethod
+    def levels(sums: dict[int, bytes]) -> np.ndarray:
+        """One byte per counter: 0 up to four standard deviations above the mean, one more for each doubling beyond."""
+        counts = np.concatenate([np.frombuffer(zlib.decompress(sums[k]), np.int64) for k in range(CHUNKS)]) if sums else np.zeros(1 << BITS, np.int64)
+        mean = counts.mean()
+        beyond = (counts - mean) / (4 * math.sqrt(mean) + 1)
+        return np.where(beyond <= 1, 0, 1 + np.floor(np.log2(np.maximum(beyond, 1)))).astype(np.uint8)
+
+
+def first_shingles(s: np.ndarray, levels: np.ndarray, num: int, den: int) -> np.ndarray:
+    """The first elements of a set in the global order, as many as it takes for linked sets to share one of them."""
+    size = len(s) + num * len(s) // -den + 1  # n - ceil(n * num / den) + 1
+    order = np.argsort(levels[(s >> np.uint64(64 - BITS)).astype(np.int64)], kind="stable")
+    return s[order[:size]]
 
 
 def _first_of_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -108,18 +113,18 @@ def _first_of_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
 
 
 class Trie:
-    """Sets as sorted sequences in a prefix tree. An edge holds a run of elements; every node knows the least and greatest set size below."""
+    """Sets as sorted sequences in a prefix tree. An edge holds a run of elements; every node knows the bounds of the sizes below it."""
 
-    __slots__ = ("edge", "children", "members", "least", "most", "depth")
+    __slots__ = ("edge", "children", "members", "depth", "longest", "least", "most")
 
-    def __init__(self, sets: list[np.ndarray], members: list[int], depth: int):
-        """``members`` are in lexicographic order and share their first ``depth`` elements."""
+    def __init__(self, sets: list[np.ndarray], sizes: np.ndarray, members: list[int], depth: int):
+        """``members`` are in lexicographic order and share their first ``depth`` elements; ``sizes`` are those of the whole sets."""
         first, final = sets[members[0]], sets[members[-1]]
         room = min(len(first), len(final))
         same = first[depth:room] == final[depth:room]
         end = depth + (len(same) if same.all() else int(np.argmin(same)))
-        self.edge, self.depth = first[depth:end], end
-        self.least, self.most = min(len(sets[m]) for m in members), max(len(sets[m]) for m in members)
+        self.edge, self.depth, self.longest = first[depth:end], end, max(len(sets[m]) for m in members)
+        self.least, self.most = sizes[members].min(), sizes[members].max()
         self.members = [m for m in members if len(sets[m]) == end]
         self.children = []
         group: list[int] = []
@@ -127,65 +132,71 @@ class Trie:
             if len(sets[m]) == end:
                 continue
             if group and sets[group[-1]][end] != sets[m][end]:
-                self.children.append(Trie(sets, group, end))
+                self.children.append(Trie(sets, sizes, group, end))
                 group = []
             group.append(m)
         if group:
-            self.children.append(Trie(sets, group, end))
-
-
-class Union:
-    def __init__(self, start: list):
-        self.parent = list(range(len(start)))
-        first: dict = {}
-        for i, s in enumerate(start):
-            self.parent[i] = first.setdefault(s, i)
-
-    def find(self, i: int) -> int:
-        while self.parent[i] != i:
-            self.parent[i] = self.parent[self.parent[i]]
-            i = self.parent[i]
-        return i
-
-    def join(self, i: int, j: int) -> None:
-        self.parent[self.find(i)] = self.find(j)
+            self.children.append(Trie(sets, sizes, group, end))
 
 
 def trie_links(sets: list[np.ndarray], known: list, num: int, den: int, sides: list[int] | None = None) -> list[tuple[int, int]]:
     """Links between sets that connect the same sets as all links do; sets that are equal in ``known`` are connected already.
 
-    With ``sides``, only sets of different sides are compared. Every set walks down the trie of all sets; the overlap with a shared
-    path is counted once, and a subtree goes when even all that is left of both could not reach the share of the union.
+    With ``sides``, only sets of different sides are compared. Elements that only one set has are left out first: they add nothing to
+    an overlap. All sets walk down the trie of all sets together: the overlap with a shared path is counted once for each, and a set
+    leaves a subtree when all that is left of both could not reach the share of the union any more.
     """
-    order = sorted(range(len(sets)), key=lambda i: sets[i].tolist())
-    if not order:
+    if len(sets) < 2:
         return []
-    root, linked, out = Trie(sets, order, 0), Union(known), []
-
-    def walk(node: Trie, x: int, overlap: int) -> None:
-        probe, edge = sets[x], node.edge
-        n, before = len(probe), node.depth - len(edge)
-        # 100 * overlap >= 85 * union  <=>  185 * overlap >= 85 * (both sizes)
-        need = -(-num * (n + max(node.least, -(-num * n // den))) // (num + den))
-        for a in range(0, len(edge), 64):
-            part = edge[a : a + 64]
-            at = np.searchsorted(probe, part)
-            overlap += int(np.count_nonzero(probe[np.minimum(at, n - 1)] == part))
-            left = min(n - int(np.searchsorted(probe, part[-1], "right")), node.most - before - a - len(part))
-            if overlap + left < need:
+    sizes = np.array([len(s) for s in sets], np.int64)
+    value, times = np.unique(np.concatenate(sets), return_counts=True)
+    value = value[times > 1]
+    if not len(value):
+        return []
+    short = []
+    for s in sets:
+        at = np.minimum(np.searchsorted(value, s), len(value) - 1)
+        short.append(at[value[at] == s])
+    order = sorted(range(len(sets)), key=lambda i: short[i].tolist())
+    root = Trie(short, sizes, order, 0)
+    side = np.array(sides if sides is not None else range(len(sets)))
+    _, label = np.unique(np.array(known), return_inverse=True)
+    out: list[tuple[int, int]] = []
+
+    def walk(node: Trie, active: np.ndarray, overlap: np.ndarray) -> None:
+        n = sizes[active]
+        # den * overlap >= num * union  <=>  (num + den) * overlap >= num * (both sizes)
+        need = -(-num * (n + np.maximum(node.least, -(-num * n // den))) // (num + den))
+        keep = (den * node.most >= num * n) & (den * n >= num * node.least)
+        for a in range(0, len(node.edge), 64):
+            if not keep.all():
+                active, overlap, need, keep = active[keep], overlap[keep], need[keep], keep[keep]
+            if not len(active):
                 return
+            part = node.edge[a : a + 64]
+            overlap = overlap + has[np.ix_(part, active - start)].sum(0)
+            left = np.minimum(after[part[-1] + 1, active - start], node.longest - (node.depth - len(node.edge)) - a - len(part))
+            keep = overlap + left >= need
+        active, overlap = active[keep], overlap[keep]
         for y in node.members:
-            if y != x and (sides is None or sides[x] != sides[y]) and linked.find(x) != linked.find(y) and (num + den) * overlap >= num * (n + len(sets[y])):
-                linked.join(x, y)
-                out.append((x, y))
-        for child in node.children:
-            if den * child.most >= num * n and den * n >= num * child.least:
-                if not child.children and len(child.members) == 1 and linked.find(child.members[0]) == linked.find(x):
-                    continue
-                walk(child, x, overlap)
-
-    for x in order:
-        walk(root, x, 0)
+            hit = active[((num + den) * overlap >= num * (sizes[active] + sizes[y])) & (side[active] != side[y]) & (label[active] != label[y])]
+            for x in hit:
+                if label[x] != label[y]:
+                    label[label == label[x]] = label[y]
+                    out.append((int(x), y))
+        if len(active):
+            for child in node.children:
+                walk(child, active, overlap)
+
+    step = max(1, CELLS // len(value))
+    for start in range(0, len(sets), step):
+        probes = np.arange(start, min(start + step, len(sets)))
+        has = np.zeros((len(value), len(probes)), np.int32)
+        for k in probes:
+            has[short[k], k - start] = 1
+        after = np.zeros((len(value) + 1, len(probes)), np.int32)  # elements from here on
+        after[:-1] = has[::-1].cumsum(0)[::-1]
+        walk(root, probes, np.zeros(len(probes), np.int64))
     return out
 
 
@@ -229,8 +240,9 @@ def similar_documents(docs: DataFrame, words: int = 5, num: int = 80, den: int =
     shingle. Documents are linked when ``den * intersection >= num * union``; ``component_id`` is the smallest id reachable by links.
 
     1. Equal sets become one node, known by a hash; everything after works on nodes, however many copies a text has.
-    2. Nodes that share a part (``Cuts``) are candidates. Each part ties its nodes to the smallest one only, so a large group of
-       near copies gives as many rows as it has members, and a passage that many documents share makes no group at all.
+    2. Shingles have a global order, rare ones first (``Counts``). Linked nodes share one of their first shingles, so nodes that do
+       are candidates. Each shingle ties its nodes to the smallest one only: a large group of near copies gives as many rows as it
+       has members, and a passage that many documents share is last in order and so makes no group.
     3. The sets of each family of candidates are joined by a prefix tree (``trie_links``) in blocks of about ``BLOCK`` sets: first each
        block with the family's first set; then, for families that are not yet one component, each pair of blocks across components.
     4. Components of the links.
@@ -242,14 +254,37 @@ def similar_documents(docs: DataFrame, words: int = 5, num: int = 80, den: int =
     spark = docs.sparkSession
     narrow = docs.select("doc_id", "text")
 
-    def describe(_, texts: Texts) -> dict:
-        sets = shingle_sets(texts, words)
-        return {"n_shingles": [len(s) for s in sets], "node": [set_hash(s) if len(s) else None for s in sets]}
+    def describe(batches):
+        counts, seen = Counts(), set()
+        for batch in batches:
+            for part, texts in pieces(batch, "text"):
+                sets = shingle_sets(texts, words)
+                names = [set_hash(s) if len(s) else None for s in sets]
+                for s, name in zip(sets, names):
+                    if len(s) and name not in seen:
+                        counts.add(s)
+                        if len(seen) < SEEN:
+                            seen.add(name)
+                n = texts.n
+                yield pa.RecordBatch.from_arrays(
+                    [part.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array(names, pa.int64()), pa.nulls(n, pa.int32()), pa.nulls(n, pa.binary())],
+                    names=["doc_id", "n_shingles", "node", "chunk", "counts"],
+                )
+        rows = counts.rows()
+        yield pa.RecordBatch.from_arrays(
+            [*(pa.nulls(len(rows), pa.int64()) for _ in range(3)), pa.array([k for k, _ in rows], pa.int32()), pa.array([raw for _, raw in rows], pa.binary())],
+            names=["doc_id", "n_shingles", "node", "chunk", "counts"],
+        )
 
-    sets = cut(extend(narrow, describe, {"n_shingles": ("bigint", pa.int64()), "node": ("bigint", pa.int64())}, without=("text",)))
+    narrow = narrow.withColumn("doc_id", F.col("doc_id").cast("bigint"))
+    described = cut(narrow.mapInArrow(describe, "doc_id bigint, n_shingles bigint, node bigint, chunk int, counts binary"))
+    sets = described.where("chunk IS NULL").select("doc_id", "n_shingles", "node")
+    sketch = described.where("chunk IS NOT NULL").select("chunk", "counts").repartition(CHUNKS, "chunk").sortWithinPartitions("chunk")
+    sums = {r.chunk: bytes(r.counts) for r in sketch.mapInArrow(Counts.summed, "chunk int, counts binary").collect()}  # of fixed size
+    levels = spark.sparkContext.broadcast(Counts.levels(sums))
 
     def send_keys(batches):
-        cuts, seen = Cuts(num, den), set()
+        seen = set()
         for batch in batches:
             for _, texts in pieces(batch, "text"):
                 key, node = [], []
@@ -258,7 +293,7 @@ def similar_documents(docs: DataFrame, words: int = 5, num: int = 80, den: int =
                         continue
                     if len(seen) < SEEN:
                         seen.add(name)
-                    key.append(cuts.keys(s))
+                    key.append(first_shingles(s, levels.value, num, den))
                     node.append(np.full(len(key[-1]), name, np.int64))
                 if key:
                     yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(key).view(np.int64)), pa.array(np.concatenate(node))], names=["key", "node"])
