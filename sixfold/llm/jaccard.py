@@ -23,6 +23,8 @@ CELLS = 4_000_000
 SEEN = 500_000
 #: Counters of the sketch of shingle counts, and the rows in which they travel.
 BITS, CHUNKS = 22, 16
+#: How often sets with too few shared shingles are taken out before families are made.
+PRUNINGS = 2
 
 
 def shingle_sets(texts: Texts, size: int) -> list[np.ndarray]:
@@ -87,13 +89,46 @@ class Counts:
         return np.where(beyond <= 1, 0, 1 + np.floor(np.log2(np.maximum(beyond, 1)))).astype(np.uint8)
 
 
+def common(n: int) -> int:
+    """How many of their first shingles linked sets share at least, the smaller of which has ``n`` elements."""
+    return 1 + n // 20
+
+
 def first_shingles(s: np.ndarray, levels: np.ndarray, num: int, den: int) -> np.ndarray:
-    """The first elements of a set in the global order, as many as it takes for linked sets to share one of them."""
-    size = len(s) + num * len(s) // -den + 1  # n - ceil(n * num / den) + 1
+    """The first elements of a set in the global order: so many that linked sets share ``common`` (of the smaller size) of them.
+
+    A linked set has at least ceil(n * num / den) elements of this one; all but ceil(n * num / den) - common(n) elements are taken, so
+    the first ``common(n)`` shared ones are among them.
+    """
+    size = len(s) - -(-num * len(s) // den) + common(len(s))
     order = np.argsort(levels[(s >> np.uint64(64 - BITS)).astype(np.int64)], kind="stable")
     return s[order[:size]]
 
 
+def _held_by_several(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of rows sorted by (key, node), those whose key has several nodes; copies of a row go. One row is held back between batches."""
+    held, shown = None, False  # the last row, and whether its key has had another node
+    for batch in batches:
+        key, node, need = (np.asarray(batch.column(k)) for k in range(3))
+        if held is not None:
+            key, node, need = (np.append(h, x) for h, x in zip(held, (key, node, need)))
+        new = np.append(True, (key[1:] != key[:-1]) | (node[1:] != node[:-1]))
+        key, node, need = key[new], node[new], need[new]
+        if not len(key):
+            continue
+        alike = key[1:] == key[:-1]
+        several = np.append(False, alike) | np.append(alike, False)
+        if shown:
+            several[0] = True
+        out = several.copy()
+        out[-1] = False
+        held, shown = (key[-1:], node[-1:], need[-1:]), bool(several[-1])
+        if out.any():
+            yield pa.RecordBatch.from_arrays([pa.array(x[out]) for x in (key, node, need)], names=["key", "node", "need"])
+    if held is not None and shown:
+        yield pa.RecordBatch.from_arrays([pa.array(x) for x in held], names=["key", "node", "need"])
+
+
 def _first_of_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """From rows sorted by (key, node): each key's smallest node with each other node of the key."""
     last = lead = None
@@ -240,9 +275,9 @@ def similar_documents(docs: DataFrame, words: int = 5, num: int = 80, den: int =
     shingle. Documents are linked when ``den * intersection >= num * union``; ``component_id`` is the smallest id reachable by links.
 
     1. Equal sets become one node, known by a hash; everything after works on nodes, however many copies a text has.
-    2. Shingles have a global order, rare ones first (``Counts``). Linked nodes share one of their first shingles, so nodes that do
-       are candidates. Each shingle ties its nodes to the smallest one only: a large group of near copies gives as many rows as it
-       has members, and a passage that many documents share is last in order and so makes no group.
+    2. Shingles have a global order, rare ones first (``Counts``). Linked nodes share several of their first shingles (``common``), so
+       nodes that hold too few shared ones drop out. Each shingle ties its other nodes to the smallest one only: a large group of near
+       copies gives as many rows as it has members, and a passage that many documents share is last in order and so makes no group.
     3. The sets of each family of candidates are joined by a prefix tree (``trie_links``) in blocks of about ``BLOCK`` sets: first each
        block with the family's first set; then, for families that are not yet one component, each pair of blocks across components.
     4. Components of the links.
@@ -287,7 +322,7 @@ def similar_documents(docs: DataFrame, words: int = 5, num: int = 80, den: int =
         seen = set()
         for batch in batches:
             for _, texts in pieces(batch, "text"):
-                key, node = [], []
+                key, node, need = [], [], []
                 for s in shingle_sets(texts, words):
                     if not len(s) or (name := set_hash(s)) in seen:
                         continue
@@ -295,11 +330,20 @@ def similar_documents(docs: DataFrame, words: int = 5, num: int = 80, den: int =
                         seen.add(name)
                     key.append(first_shingles(s, levels.value, num, den))
                     node.append(np.full(len(key[-1]), name, np.int64))
+                    need.append(np.full(len(key[-1]), common(-(-num * len(s) // den)), np.int32))
                 if key:
-                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(key).view(np.int64)), pa.array(np.concatenate(node))], names=["key", "node"])
-
-    keyed = narrow.where("doc_id IS NOT NULL").select("text").mapInArrow(send_keys, "key bigint, node bigint")
-    pairs = keyed.repartition("key").sortWithinPartitions("key", "node").mapInArrow(_first_of_runs, "a bigint, b bigint").distinct()
+                    columns = (np.concatenate(key).view(np.int64), np.concatenate(node), np.concatenate(need))
+                    yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["key", "node", "need"])
+
+    triple = "key bigint, node bigint, need int"
+    keyed = narrow.where("doc_id IS NOT NULL").select("text").mapInArrow(send_keys, triple)
+    sort = lambda df: df.select("key", "node", "need").repartition("key").sortWithinPartitions("key", "node")
+    shared = cut(sort(keyed).mapInArrow(_held_by_several, triple))
+    # A set that has too few of its first shingles in common with any others has no link. When it goes, others may have too few.
+    for _ in range(PRUNINGS):
+        enough = shared.groupBy("node").agg(F.count("*").alias("n"), F.max("need").alias("need")).where("n >= need").select("node")
+        shared = sort(shared.join(enough, "node", "left_semi")).mapInArrow(_held_by_several, triple)
+    pairs = sort(shared).select("key", "node").mapInArrow(_first_of_runs, "a bigint, b bigint").distinct()
     families = cut(components(pairs).withColumnRenamed("component", "family"))
 
     classes = sets.where("node IS NOT NULL AND doc_id IS NOT NULL").groupBy("node").agg(F.min("doc_id").alias("least"))

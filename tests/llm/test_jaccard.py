@@ -74,7 +74,8 @@ def test_linked_sets_share_a_first_shingle():
             for _ in range(int(rng.integers(0, 1 + len(a) // 4))):
                 b = np.delete(b, rng.integers(len(b))) if rng.random() < 0.5 and len(b) > 1 else np.unique(np.append(b, rng.integers(0, 1 << 63, 1, dtype=np.uint64)))
             if den * len(np.intersect1d(a, b)) >= num * len(np.union1d(a, b)):
-                assert set(first_shingles(a, levels, num, den).tolist()) & set(first_shingles(b, levels, num, den).tolist())
+                shared = set(first_shingles(a, levels, num, den).tolist()) & set(first_shingles(b, levels, num, den).tolist())
+                assert len(shared) >= jaccard.common(min(len(a), len(b))) >= max(jaccard.common(-(-num * len(x) // den)) for x in (a, b))
 
 
 def test_trie_links_connect_what_all_pairs_connect():
