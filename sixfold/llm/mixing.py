@@ -55,7 +55,8 @@ def source_targets(sized: DataFrame, weights: Sequence[float] = (5, 2, 1), max_e
 
 
 def mix(docs: DataFrame, weights: Sequence[float] = (5, 2, 1), max_epochs: int = 3, total: int | None = None, seed: int = 17) -> DataFrame:
-    """Decide how often each document is repeated: ``doc_id, source, size, source_size, target, repeats, taken``, a row per input row.
+    """Decide how often each document is repeated: ``doc_id, row, source, size, source_size, target, repeats, taken``,
+    a row per input row; ``row`` is a hash of the text.
 
     ``docs`` has ``doc_id, text, source``; other columns are ignored. A source is repeated ``target / source_size`` times: every
     document the whole number of times, and for the fraction the documents that come first in a seeded random order of the source,
@@ -66,18 +67,18 @@ def mix(docs: DataFrame, weights: Sequence[float] = (5, 2, 1), max_epochs: int =
     are separate documents of the same id; a source of size 0 has target 0; an empty table gives no rows.
     """
     order = F.xxhash64(F.lit(seed), "doc_id")
-    sized = cut(docs.select("doc_id", "source", word_count(F.col("text")).alias("size"), order.alias("place")))
+    sized = cut(docs.select("doc_id", "source", word_count(F.col("text")).alias("size"), order.alias("place"), F.xxhash64("text").alias("row")))
     targets = source_targets(sized, weights, max_epochs, total).withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))).withColumnRenamed("source", "s")
     salted = sized.withColumn("salt", F.pmod(F.col("place"), F.lit(SALTS)).cast("int"))
     known = salted.join(targets, salted["source"].eqNullSafe(targets["s"]) & (salted["salt"] == targets["salt"])).select(
-        "doc_id", "source", "size", "place", "n_docs", "source_size", "target"
+        "doc_id", "source", "size", "place", "row", "n_docs", "source_size", "target"
     )
     unit = F.shiftrightunsigned("place", 11) / F.lit(float(1 << 53))
     blocked = known.withColumn("block", F.floor(unit * F.ceil(F.col("n_docs") / BLOCK)))
     blocks = blocked.groupBy("source", "block").agg(F.sum("size").alias("block_size"))
     before = Window.partitionBy("source").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     starts = blocks.select(F.col("source").alias("s"), F.col("block").alias("b"), F.coalesce(F.sum("block_size").over(before), F.lit(0)).alias("start"))
-    inside = Window.partitionBy("source", "block").orderBy("unsigned", "doc_id", "size").rowsBetween(Window.unboundedPreceding, 0)
+    inside = Window.partitionBy("source", "block").orderBy("unsigned", "doc_id", "row", "size").rowsBetween(Window.unboundedPreceding, 0)
     placed = (
         blocked.withColumn("unsigned", unit)
         .withColumn("upto", F.sum("size").over(inside))
@@ -91,10 +92,20 @@ def mix(docs: DataFrame, weights: Sequence[float] = (5, 2, 1), max_epochs: int =
     return (
         placed.withColumn("repeats", (whole + again).cast("long"))
         .withColumn("taken", F.col("repeats") * F.col("size"))
-        .select("doc_id", "source", "size", "source_size", "target", "repeats", "taken")
+        .select("doc_id", "row", "source", "size", "source_size", "target", "repeats", "taken")
     )
 
 
+def mixed(docs: DataFrame, **how) -> DataFrame:
+    """The documents that the mix takes, each row once, with ``repeats`` and ``taken``; ``docs`` as for ``mix``.
+
+    Rows of the same id and text must be unique.
+    """
+    plan = mix(docs, **how).where("repeats > 0").select(F.col("doc_id").alias("__id"), F.col("row").alias("__row"), "repeats", "taken")
+    same = F.col("doc_id").eqNullSafe(F.col("__id")) & (F.xxhash64("text") == F.col("__row"))
+    return docs.drop("repeats", "taken").join(plan, same).drop("__id", "__row")
+
+
 def op5(spark, sf):
     docs = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "source", "text")
     return mix(docs).select("doc_id", "size", "source_size", "target", "taken", "source", "repeats")

@@ -4,15 +4,18 @@ from __future__ import annotations
 
 import tempfile
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """Compute ``df`` once and read it back from the shared checkpoint folder, so that later jobs and lost executors do not redo it.
-
-    The folder is the session's own (``spark.checkpoint.dir``); only where none is set, as in tests, a temporary one is taken.
-    """
-    context = df.sparkSession.sparkContext
+def shared_folder(spark: SparkSession) -> str:
+    """The session's own checkpoint folder (``spark.checkpoint.dir``); only where none is set, as in tests, a temporary one."""
+    context = spark.sparkContext
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(context.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="sixfold-checkpoint-"))
+    return context.getCheckpointDir()
+
+
+def cut(df: DataFrame) -> DataFrame:
+    """Compute ``df`` once and read it back from the shared folder, so that later jobs and lost executors do not redo it."""
+    shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)
