@@ -1,7 +1,7 @@
 """The queries of this package: name -> (build DataFrame from a session and a data folder, the same result as SQL or None)."""
 
-from sixfold.llm import decontaminate, jaccard, language, lines, mixing, quality, toxicity, urls
+from sixfold.llm import decontaminate, html, jaccard, language, lines, mixing, quality, toxicity, urls
 
 QUERIES = {}
-for _part in (toxicity, quality, jaccard, mixing, decontaminate, lines, language, urls):
+for _part in (toxicity, html, quality, jaccard, mixing, decontaminate, lines, language, urls):
     QUERIES |= _part.QUERIES
