@@ -23,6 +23,8 @@ CELLS = 4_000_000
 SEEN = 500_000
 #: Counters of the sketch of shingle counts, and the rows in which they travel.
 BITS, CHUNKS = 22, 16
+#: A shingle that up to so many sets share gives all their pairs, to be counted.
+FEW = 32
 #: How often sets with too few shared shingles are taken out before families are made.
 PRUNINGS = 2
 
@@ -129,22 +131,68 @@ def _held_by_several(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
         yield pa.RecordBatch.from_arrays([pa.array(x) for x in held], names=["key", "node", "need"])
 
 
-def _first_of_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """From rows sorted by (key, node): each key's smallest node with each other node of the key."""
-    last = lead = None
+def _ties(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of rows sorted by (key, node): all pairs of a key with up to ``FEW`` nodes; for other keys each node with the key's first one.
+
+    At most ``FEW`` rows of an unfinished key are held between batches.
+    """
+    held = [np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int32)]
+    many = None  # key, first node and need of a key with more than FEW nodes that may go on
+
+    def rows(a, b, need_a, need_b, large):
+        columns = [a, b, need_a, need_b, np.full(len(a), large)]
+        return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["a", "b", "need_a", "need_b", "large"])
+
+    def star(node, need, first, first_need):
+        return rows(np.full(len(node), first), node, np.full(len(node), first_need, np.int32), need, True)
+
+    def finished(node, need, start, size):
+        for m in np.unique(size):
+            at = start[size == m]
+            if m <= FEW:
+                i, j = np.triu_indices(m, 1)
+                a, b = (at[:, None] + i).ravel(), (at[:, None] + j).ravel()
+                if len(a):
+                    yield rows(node[a], node[b], need[a], need[b], False)
+            else:
+                for k in at:
+                    yield star(node[k : k + m], need[k : k + m], node[k], need[k])
+
     for batch in batches:
-        key, node = (np.asarray(batch.column(k)) for k in (0, 1))
+        key, node, need = (np.concatenate([h, np.asarray(batch.column(k))]) for k, h in enumerate(held))
+        if many is not None:
+            n = int(np.searchsorted(key, many[0], "right"))
+            if n:
+                yield star(node[:n], need[:n], many[1], many[2])
+                key, node, need = key[n:], node[n:], need[n:]
         if not len(key):
+            held = [key, node, need]
             continue
-        start = np.append(True, key[1:] != key[:-1])
-        leader = node[np.flatnonzero(start)][np.cumsum(start) - 1]
-        if key[0] == last:
-            leader[: int(np.argmax(start[1:])) + 1 if start[1:].any() else len(key)] = lead
-        last, lead = key[-1], leader[-1]
-        other = leader != node
-        if other.any():
-            pairs = np.unique(np.stack([leader[other], node[other]]), axis=1)
-            yield pa.RecordBatch.from_arrays([pa.array(pairs[0]), pa.array(pairs[1])], names=["a", "b"])
+        start = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
+        size = np.diff(np.append(start, len(key)))
+        yield from finished(node, need, start[:-1], size[:-1])
+        last, many = int(start[-1]), None
+        if size[-1] > FEW:
+            many = key[last], node[last], need[last]
+            yield star(node[last:], need[last:], many[1], many[2])
+            last = len(key)
+        held = [key[last:], node[last:], need[last:]]
+    yield from finished(held[1], held[2], np.zeros(1, int), np.array([len(held[0])]))
+
+
+def _candidates(shared: DataFrame) -> DataFrame:
+    """Pairs of nodes that tie all linked nodes into the same components.
+
+    Linked nodes share ``need`` first shingles, so half of that many either with few nodes or with many. Pairs with few are counted
+    one by one; a shingle with many ties its nodes to the first one, for nodes that have half their need of such shingles.
+    """
+    ties = shared.mapInArrow(_ties, "a bigint, b bigint, need_a int, need_b int, large boolean")
+    half = lambda c: F.ceil(F.col(c) / 2)
+    few = ties.where("NOT large").groupBy("a", "b").agg(F.count("*").alias("n"), F.max("need_a").alias("x"), F.max("need_b").alias("y"))
+    several = few.where(F.col("n") >= F.greatest(half("x"), half("y"))).select("a", "b")
+    large = ties.where("large")
+    full = large.groupBy("b").agg(F.count("*").alias("n"), F.max("need_b").alias("y")).where(F.col("n") >= half("y")).select("b")
+    return several.union(large.where("a <> b").select("a", "b").distinct().join(full, "b", "left_semi").select("a", "b"))
 
 
 class Trie:
@@ -276,8 +324,8 @@ def similar_documents(docs: DataFrame, words: int = 5, num: int = 80, den: int =
 
     1. Equal sets become one node, known by a hash; everything after works on nodes, however many copies a text has.
     2. Shingles have a global order, rare ones first (``Counts``). Linked nodes share several of their first shingles (``common``), so
-       nodes that hold too few shared ones drop out. Each shingle ties its other nodes to the smallest one only: a large group of near
-       copies gives as many rows as it has members, and a passage that many documents share is last in order and so makes no group.
+       nodes that hold too few shared ones drop out, and so do pairs (``_candidates``). A shingle of many nodes ties each to one of them
+       only: a large group of near copies gives as many rows as it has members. A passage that many documents share is last in order.
     3. The sets of each family of candidates are joined by a prefix tree (``trie_links``) in blocks of about ``BLOCK`` sets: first each
        block with the family's first set; then, for families that are not yet one component, each pair of blocks across components.
     4. Components of the links.
@@ -343,8 +391,7 @@ def similar_documents(docs: DataFrame, words: int = 5, num: int = 80, den: int =
     for _ in range(PRUNINGS):
         enough = shared.groupBy("node").agg(F.count("*").alias("n"), F.max("need").alias("need")).where("n >= need").select("node")
         shared = sort(shared.join(enough, "node", "left_semi")).mapInArrow(_held_by_several, triple)
-    pairs = sort(shared).select("key", "node").mapInArrow(_first_of_runs, "a bigint, b bigint").distinct()
-    families = cut(components(pairs).withColumnRenamed("component", "family"))
+    families = cut(components(_candidates(sort(cut(shared)))).withColumnRenamed("component", "family"))
 
     classes = sets.where("node IS NOT NULL AND doc_id IS NOT NULL").groupBy("node").agg(F.min("doc_id").alias("least"))
     blocks = families.groupBy("family").agg(F.ceil(F.count("*") / BLOCK).alias("blocks"))
