@@ -56,28 +56,45 @@ def flag_summary(messages: DataFrame) -> DataFrame:
     return messages.groupBy("flag").agg(F.count(F.lit(1)).alias("messages"))
 
 
-def flatten_tree(df: DataFrame, payload: str = "payload", keep: Sequence[str] = ("doc_id",), root: str = "session_info", max_depth: int = 6) -> DataFrame:
+def nesting(payload: str) -> Column:
+    """How deep objects and arrays of a JSON text are nested; 0 for a scalar."""
+    bare = F.regexp_replace(F.regexp_replace(payload, r"(?s)\\.", ""), '"[^"]*+"', "")
+    marks = F.split(F.regexp_replace(bare, r"[^\[\]{}]", ""), "")
+
+    def step(state: Column, mark: Column) -> Column:
+        now = state["now"] + F.when(mark.isin("[", "{"), 1).when(mark.isin("]", "}"), -1).otherwise(0)
+        return F.struct(now.alias("now"), F.greatest(state["most"], now).alias("most"))
+
+    return F.aggregate(marks, F.struct(F.lit(0).alias("now"), F.lit(0).alias("most")), step, lambda state: state["most"])
+
+
+def flatten_tree(df: DataFrame, payload: str = "payload", keep: Sequence[str] = ("doc_id",), root: str = "session_info") -> DataFrame:
     """Each JSON document as a tree: ``id``, ``parent``, ``label``, ``value`` per node, plus a root with value 0.
 
     Object members are ``parent/key``, array items ``parent[i]`` (the first five only). The label of a scalar member ends in its
-    first 25 characters. Levels below ``max_depth`` are not opened. One scan: each level is an array built from the one above,
-    and all levels of a document are unfolded together.
+    first 25 characters; numbers are shown as the variant type writes them (``1.0`` as ``1``). All levels are opened: one job finds
+    the deepest document, and one number reaches the driver. Levels are unfolded one after the other, so a row holds one node's
+    subtree and never a whole level. A text that is no JSON, or that repeats a key within one object, gives no rows.
     """
     keep = list(keep)
-    top = _node(F.lit(""), F.lit(""), F.lit(root), 0, F.try_parse_json(payload))
-    rows = df.select(*keep, top.alias("_top")).where(F.col("_top.open").isNotNull()).withColumn("_level_0", F.array("_top"))
-    for depth in range(max_depth):
-        below = F.flatten(F.transform(f"_level_{depth}", _children))
-        rows = rows.withColumn(f"_level_{depth + 1}", F.coalesce(below, F.array().cast(_NODES)))
-    nodes = rows.select(*keep, F.explode(F.concat(*[f"_level_{d}" for d in range(max_depth + 1)])).alias("_node"))
+    parsed = F.try_parse_json(payload)
+    deepest = df.where(parsed.isNotNull()).agg(F.max(nesting(payload))).first()[0] or 0
+    top = _node(F.lit(""), F.lit(""), F.lit(root), 0, parsed)
+    nodes = df.select(*keep, top.alias("_node")).where(F.col("_node.open").isNotNull())
+    for _ in range(deepest):
+        node = F.col("_node")
+        closed = _node(node["id"], node["parent"], node["label"], node["value"], F.lit(None).cast("variant"))
+        opened = F.when(node["open"].isNull(), F.array(node)).otherwise(F.concat(F.array(closed), _children(node)))
+        nodes = nodes.select(*keep, F.explode(opened).alias("_node"))
     return nodes.select(*keep, "_node.id", "_node.parent", "_node.label", "_node.value")
 
 
 _NODES = "array<struct<id:string,parent:string,label:string,value:int,open:variant>>"
 
 
-def _node(name: Column, parent: Column, label: Column, value: int, node: Column) -> Column:
-    return F.struct(name.alias("id"), parent.alias("parent"), label.alias("label"), F.lit(value).alias("value"), node.alias("open"))
+def _node(name: Column, parent: Column, label: Column, value: int | Column, node: Column) -> Column:
+    value = F.lit(value) if isinstance(value, int) else value
+    return F.struct(name.alias("id"), parent.alias("parent"), label.alias("label"), value.alias("value"), node.alias("open"))
 
 
 def _members(node: Column) -> Column:
@@ -88,20 +105,24 @@ def _items(node: Column) -> Column:
     return F.try_variant_get(node, "$", "array<variant>")
 
 
+def _nested(node: Column) -> Column:
+    """Whether the node is an object or an array: those are written with a bracket, and a text that begins with one is no such kind."""
+    return F.substring(F.to_json(node), 1, 1).isin("{", "[")
+
+
 def _children(row: Column) -> Column:
-    """The nodes right below one node; none below a scalar."""
+    """The nodes right below one node; none below a scalar. Only objects and arrays stay open."""
     parent, node = row["id"], row["open"]
 
     def member(entry: Column) -> Column:
         key, value = entry["key"], entry["value"]
         name = F.when(parent == "", key).otherwise(F.concat(parent, F.lit("/"), key))
-        nested = F.try_variant_get(value, "$", "map<string,variant>").isNotNull() | _items(value).isNotNull()
         shown = F.concat(key, F.lit(": "), F.substring(scalar_text(value), 1, LABEL_CHARS))
-        return _node(name, parent, F.when(nested, key).otherwise(shown), 1, value)
+        return _node(name, parent, F.when(_nested(value), key).otherwise(shown), 1, F.when(_nested(value), value))
 
     def item(value: Column, at: Column) -> Column:
         place = F.concat(F.lit("["), at.cast("string"), F.lit("]"))
-        return _node(F.concat(parent, place), parent, place, 1, value)
+        return _node(F.concat(parent, place), parent, place, 1, F.when(_nested(value), value))
 
     members = F.transform(_members(node), member)
     items = F.transform(F.slice(_items(node), 1, ARRAY_ITEMS), item)

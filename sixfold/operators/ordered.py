@@ -8,7 +8,8 @@ carries the value over each cut:
 * cuts: ``INTERVALS`` intervals of about equal row count, found from a sample of the rows, each cut again into equal widths;
 * carries: one row per chunk of a hot key, about ``INTERVALS`` per hot key (at most eight times that where few places exist).
 
-Both side tables are therefore bounded whatever the data holds and are safe to broadcast. Rows that are equal in the first order
+Both side tables therefore have a bounded number of rows whatever the data holds. The cuts are narrow and are broadcast; the
+carries hold whole values, so Spark measures them and chooses. Rows that are equal in the first order
 column stay in one chunk: give a column with many values first. Everything that decides a row's chunk
 (counts, extremes, a sample chosen by hash) is the same however often and in whatever order tasks run, so the branches of the
 plan and repeated tasks agree. Keys that are not hot keep the plain window, and with no hot key at all adaptive execution drops
@@ -201,7 +202,7 @@ def _stitch(result, hot_rows, keys, order, previous, following, last_seen, first
         carried.append(F.sum(f"_sum_{source}").over(Window.partitionBy(*keys)).alias(f"_c_{out}"))
     carry = chunks.select(*carried)
     on_chunk = same_key([F.col(k) for k in keys], [F.col(f"_carry_{k}") for k in keys]) & (F.col("_chunk") == F.col("_carry_chunk"))
-    result = result.join(F.broadcast(carry), on_chunk, "left")
+    result = result.join(carry, on_chunk, "left")  # its rows are bounded, its bytes are not: Spark measures it
 
     hot = F.col("_chunk").isNotNull()
     fixed: dict[str, Column] = {}

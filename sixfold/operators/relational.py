@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sixfold.functions.columns import stddev_or_zero
-from sixfold.operators.ordered import HOT_ROWS, with_ordered
+from sixfold.operators.ordered import HOT_ROWS, same_key, with_ordered
 
 DRIVER = ("event_id", "driver_id")
 STINT = ("event_id", "driver_id", "stint_number")
@@ -226,10 +226,15 @@ def stint_strategy(laps: DataFrame, by: Sequence[str] = (*STINT, "compound")) ->
     )
 
 
-def pit_stops(stints: DataFrame, keys: Sequence[str] = DRIVER, hot_rows: int | None = HOT_ROWS) -> DataFrame:
-    """The lap before each stint but the driver's first."""
-    ordered = with_ordered(stints, keys, ["stint_number", "start_lap", "compound"], row_number="_place", hot_rows=hot_rows)
-    return ordered.where("_place > 1").select(*keys, "stint_number", (F.col("start_lap") - 1).alias("pit_lap"))
+def pit_stops(stints: DataFrame, keys: Sequence[str] = DRIVER, hot_rows: int | None = None) -> DataFrame:
+    """The lap before each stint but the driver's first. Only the first is looked up, by an aggregate; no window numbers the stints.
+
+    ``hot_rows`` has no effect any more: an aggregate needs no cut of hot keys.
+    """
+    keys, order = list(keys), F.struct("stint_number", "start_lap", "compound")
+    firsts = stints.groupBy(*[F.col(k).alias(f"_of_{k}") for k in keys]).agg(F.min(order).alias("_first"))
+    both = stints.join(firsts, same_key([F.col(k) for k in keys], [F.col(f"_of_{k}") for k in keys]))
+    return both.where(order != F.col("_first")).select(*keys, "stint_number", (F.col("start_lap") - 1).alias("pit_lap"))
 
 
 def grid_gain(results: DataFrame) -> DataFrame:

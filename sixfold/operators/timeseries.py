@@ -92,12 +92,12 @@ def neighbour_fill(
     keys: Sequence[str],
     time: str,
     measures: Sequence[str],
-    low: int | Column,
-    high: int | Column,
+    low: int | Column | None = None,
+    high: int | Column | None = None,
     step: int = 60,
     digits: int = 1,
 ) -> DataFrame:
-    """Buckets ``low .. high`` of every key; a missing measure becomes the mean of the buckets right before and after.
+    """Buckets ``low .. high`` of every key, by default from its first to its last; a missing measure becomes the mean of the buckets right before and after.
 
     Only measured neighbours count, and both must be there. ``is_interpolated`` is 1 where the first measure was missing.
     Every bucket offers its means to itself and its two neighbours, so one aggregate does the lookup without any window.
@@ -105,9 +105,9 @@ def neighbour_fill(
     keys = list(keys)
     means = bucket_averages(df.where(F.col(time).isNotNull()), keys, time, measures, step, digits)
     offers = means.select(*keys, F.posexplode(F.array(F.col("bucket") + 1, F.col("bucket"), F.col("bucket") - 1)).alias("_role", "bucket"), *measures)
-    low = F.lit(low) if isinstance(low, int) else low
-    high = F.lit(high) if isinstance(high, int) else high
-    grid = explode_range(means.select(*keys).distinct(), low, high, "bucket")
+    ends = means.groupBy(*keys).agg(F.min("bucket").alias("_low"), F.max("bucket").alias("_high"))
+    low, high = (F.col(own) if end is None else F.lit(end) if isinstance(end, int) else end for end, own in ((low, "_low"), (high, "_high")))
+    grid = explode_range(ends, low, high, "bucket").select(*keys, "bucket")
     both = offers.unionByName(grid.withColumn("_grid", F.lit(1)), allowMissingColumns=True)
 
     def offered(measure: str, role: int) -> Column:

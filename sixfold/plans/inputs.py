@@ -229,7 +229,7 @@ def message_documents(spark: SparkSession, sf: str) -> DataFrame:
         F.when(F.col("turn") > 0, F.col("turn")).alias("Lap"),
     )
     return turns.select(
-        (F.col("conv_id") * 1000 + F.col("turn")).alias("doc_id"),
+        (F.col("conv_id") * 1_000_000_000 + F.col("turn")).alias("doc_id"),
         F.lit("race_control_message").alias("doc_type"),
         F.col("conv_id").alias("event_id"),
         F.to_json(payload, {"ignoreNullFields": "false"}).alias("payload"),
@@ -237,7 +237,7 @@ def message_documents(spark: SparkSession, sf: str) -> DataFrame:
 
 
 MESSAGES = f"""messages AS (
-  SELECT conv_id * 1000 + turn AS doc_id, conv_id AS event_id,
+  SELECT conv_id * 1000000000 + turn AS doc_id, conv_id AS event_id,
          strftime(TIMESTAMP '{EPOCH}' + to_minutes(conv_id) + to_seconds(turn), '%Y-%m-%d %H:%M:%S') AS msg_time,
          conv_id * 60.0 + turn AS seconds, role AS category,
          CASE turn % 3 WHEN 1 THEN 'GREEN' WHEN 2 THEN 'YELLOW' END AS flag, text AS message,

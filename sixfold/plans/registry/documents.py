@@ -11,7 +11,7 @@ from sixfold.plans.warehouse import to_documents
 
 
 def race_control_messages(spark, sf):
-    events = table(spark, sf, "conversations").where("turn = 0").select(F.col("conv_id").alias("event_id"), F.lit("GP").alias("gp_name"))
+    events = table(spark, sf, "conversations").select(F.col("conv_id").alias("event_id"), F.lit("GP").alias("gp_name")).distinct()
     return views.race_control_messages({"f1_raw_documents": message_documents(spark, sf), "dim_event": events})
 
 
@@ -94,7 +94,7 @@ QUERIES = {
     "race_control_messages": (
         race_control_messages,
         f"""WITH {MESSAGES} SELECT doc_id, event_id, 'GP' AS gp_name, msg_time, category, flag, 'Track' AS scope, message AS message_text,
-              racing_number, lap FROM messages WHERE event_id IN (SELECT conv_id FROM conversations WHERE turn = 0)""",
+              racing_number, lap FROM messages WHERE event_id IS NOT NULL""",
     ),
     "message_extract": (
         lambda spark, sf: docs.message_extract(message_documents(spark, sf), k=None),
@@ -113,8 +113,7 @@ QUERIES = {
     ),
     "flag_summary": (
         lambda spark, sf: docs.flag_summary(race_control_messages(spark, sf)),
-        f"""WITH {MESSAGES} SELECT flag, count(*) AS messages FROM messages
-            WHERE event_id IN (SELECT conv_id FROM conversations WHERE turn = 0) GROUP BY flag""",
+        f"""WITH {MESSAGES} SELECT flag, count(*) AS messages FROM messages WHERE event_id IS NOT NULL GROUP BY flag""",
     ),
     "message_feed": (_feed, f"WITH {FEED} SELECT * FROM feed"),
     "timeline": (

@@ -18,7 +18,7 @@ def telemetry_buckets(spark, sf):
 
 def asof_status(spark, sf):
     events = table(spark, sf, "events")
-    seen = events.where("event_type = 'view'").select("user_id", "event_id", "ts", "value")
+    seen = events.where("event_type IS DISTINCT FROM 'signup'").select("user_id", "event_id", "ts", "value")
     marks = events.where("event_type = 'signup'").select("user_id", "ts", F.col("value").alias("signup_value"))
     return ts.as_of(seen, marks, ["user_id"], "ts", "ts", ["signup_value"])
 
@@ -36,8 +36,7 @@ def weather_timeline(spark, sf):
 
 
 def neighbour_fill(spark, sf):
-    errors = weather(spark, sf).where("event_id = 'error'")
-    return ts.neighbour_fill(errors, ["event_id"], "time_sec", ["air_temp", "track_temp"], 1, 718, step=HOUR)
+    return ts.neighbour_fill(weather(spark, sf), ["event_id"], "time_sec", ["air_temp", "track_temp"], step=HOUR)
 
 
 def forward_fill(spark, sf):
@@ -77,7 +76,7 @@ QUERIES = {
     ),
     "asof_status": (
         asof_status,
-        """SELECT v.user_id, v.event_id, v.ts, v.value, s.value AS signup_value FROM (SELECT * FROM events WHERE event_type = 'view') v
+        """SELECT v.user_id, v.event_id, v.ts, v.value, s.value AS signup_value FROM (SELECT * FROM events WHERE event_type IS DISTINCT FROM 'signup') v
            ASOF LEFT JOIN (SELECT user_id, ts, max(value) AS value FROM events WHERE event_type = 'signup' GROUP BY ALL) s
              ON v.user_id = s.user_id AND v.ts >= s.ts""",
     ),
@@ -115,13 +114,14 @@ QUERIES = {
     ),
     "neighbour_fill": (
         neighbour_fill,
-        f"""WITH {WEATHER}, b AS (SELECT micros // {HOUR}000000 AS bucket, {MEANS} FROM weather WHERE event_id = 'error' GROUP BY ALL),
-            g AS (SELECT unnest(generate_series(0, 719)) AS bucket),
-            n AS (SELECT g.bucket, air_temp, track_temp, lag(air_temp) OVER w AS a0, lead(air_temp) OVER w AS a1, lag(track_temp) OVER w AS t0,
-                         lead(track_temp) OVER w AS t1 FROM g LEFT JOIN b USING (bucket) WINDOW w AS (ORDER BY g.bucket))
-            SELECT 'error' AS event_id, bucket, coalesce(air_temp, round((a0 + a1) / 2 + 1e-9, 1)) AS air_temp,
+        f"""WITH {WEATHER}, b AS (SELECT event_id, micros // {HOUR}000000 AS bucket, {MEANS} FROM weather GROUP BY ALL),
+            g AS (SELECT event_id, unnest(generate_series(min(bucket), max(bucket))) AS bucket FROM b GROUP BY event_id),
+            n AS (SELECT g.event_id, g.bucket, air_temp, track_temp, lag(air_temp) OVER w AS a0, lead(air_temp) OVER w AS a1,
+                         lag(track_temp) OVER w AS t0, lead(track_temp) OVER w AS t1
+                  FROM g LEFT JOIN b USING (event_id, bucket) WINDOW w AS (PARTITION BY g.event_id ORDER BY g.bucket))
+            SELECT event_id, bucket, coalesce(air_temp, round((a0 + a1) / 2 + 1e-9, 1)) AS air_temp,
               coalesce(track_temp, round((t0 + t1) / 2 + 1e-9, 1)) AS track_temp, (CASE WHEN air_temp IS NULL THEN 1 ELSE 0 END)::BIGINT AS is_interpolated
-            FROM n WHERE bucket BETWEEN 1 AND 718""",
+            FROM n""",
     ),
     "forward_fill": (
         forward_fill,

@@ -119,9 +119,9 @@ QUERIES = {
     "embedded_documents": (embedded_documents, None),
     "embedded_messages": (
         embedded_messages,
-        r"""SELECT conv_id * 1000 + turn AS msg_id, nullif(trim(role), '') AS category,
+        r"""SELECT conv_id * 1000000000 + turn AS msg_id, nullif(trim(role), '') AS category,
               CASE WHEN trim(role) = '' THEN '' ELSE trim(role) || ': ' END || regexp_replace(regexp_replace(text, '^\s+', ''), '\s+$', '') AS embed_text,
-              384::BIGINT AS dimensions FROM conversations WHERE conv_id IN (SELECT conv_id FROM conversations WHERE turn = 0)""",
+              384::BIGINT AS dimensions FROM conversations WHERE conv_id IS NOT NULL""",
     ),
     "byte_embedding": (
         byte_vectors,

@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+import csv
+import re
 import warnings
 from collections.abc import Mapping
 from functools import reduce
+from urllib.parse import unquote
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from sixfold.functions.columns import durations_to_seconds
 from sixfold.schema import DATASETS
@@ -20,36 +24,57 @@ MISSING = (
 )
 
 
+# What a path must escape to be read as it is.
+_GLOB = re.compile(r"([\[\]{}*?\\,])")
+
+
 def _session_of_file(dataset: str, ending: str):
     # The session id is in the file's own name, or in the folder's name where Spark wrote the files.
     return F.regexp_extract(F.col("_metadata.file_path"), rf"/{dataset}_([^/]+)\.{ending}", 1)
 
 
 def read_dataset(spark: SparkSession, root: str, dataset: str) -> DataFrame | None:
-    """All sessions of one dataset in one scan, every cell as text plus ``session_id``; None with a warning if there is no file.
+    """All sessions of one dataset, every cell as text plus ``session_id``; None with a warning if there is no file.
 
-    ``_row`` rises along each file. It is taken on the scan, before any shuffle, so a repeated task gives a row the same number.
+    Each file is read by its own header: columns may be in any order, and one that a file lacks is NULL there. A first pass takes the
+    header lines; files with the same header share one scan, so there are as many scans as different headers. The names of the files
+    and the different headers reach the driver, which lists the files anyway. ``_row`` rises along each file. It is taken on the scan, before any shuffle, so a repeated task gives a row the same number.
 
     Cells stay text here: the loaders cast them by name, so one bad cell costs that cell and not the file.
     """
     if dataset not in DATASETS:
         raise ValueError(f"unknown dataset {dataset}")
     try:
-        raw = spark.read.csv(
-            f"{root}/{dataset}_*.csv",
+        lines = spark.read.text(f"{root}/{dataset}_*.csv")
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        warnings.warn(f"no {dataset} files under {root}", stacklevel=2)
+        return None
+    starts = lines.where(F.col("_metadata.file_block_start") == 0)
+    placed = starts.select(F.col("_metadata.file_path").alias("file"), "value", F.monotonically_increasing_id().alias("at"))
+    headers = placed.groupBy("file").agg(F.min_by("value", "at").alias("header"))
+    groups = headers.groupBy("header").agg(F.collect_list("file").alias("files")).collect()
+    parts = []
+    for header, files in sorted((g.header, sorted(g.files)) for g in groups):
+        names = next(csv.reader([header.removeprefix("\ufeff")]))
+        part = spark.read.csv(
+            [_GLOB.sub(r"\\\1", unquote(f)) for f in files],
+            schema=T.StructType([T.StructField(f"_c{i}", T.StringType()) for i in range(len(names))]),
             header=True,
             escape='"',
-            enforceSchema=False,
             # Only messages hold free text with line breaks; the large files stay splittable.
             multiLine=dataset == "race_control_messages",
         )
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        warnings.warn(f"no {dataset} files under {root}", stacklevel=2)
+        # Of columns with the same name the first counts; a column without a name has no use.
+        place = {name: f"_c{i}" for i, name in reversed(list(enumerate(names))) if name}
+        cells = [F.when(~F.col(c).isin(*MISSING), F.col(c)).alias(name) for name, c in sorted(place.items())]
+        parts.append(part.select(*cells, _session_of_file(dataset, "csv").alias("session_id")))
+    if not parts:  # empty files only
+        warnings.warn(f"no {dataset} rows under {root}", stacklevel=2)
         return None
-    cells = [F.when(~F.col(f"`{c}`").isin(*MISSING), F.col(f"`{c}`")).alias(c) for c in raw.columns]
-    return raw.select(*cells, _session_of_file(dataset, "csv").alias("session_id"), F.monotonically_increasing_id().alias("_row"))
+    # Scans under a union have no shuffle between them: the numbers rise along each file and are the same for a repeated task.
+    return reduce(lambda x, y: x.unionByName(y, allowMissingColumns=True), parts).withColumn("_row", F.monotonically_increasing_id())
 
 
 def read_session_info(spark: SparkSession, root: str) -> DataFrame | None:

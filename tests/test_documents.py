@@ -40,6 +40,21 @@ def test_tree(spark):
     assert not [r for r in rows if r.doc_id > 90]
 
 
+def test_trees_of_all_depths(spark):
+    # Objects k/k/.../k and arrays [0][0]...[0] with a scalar at the bottom, and quoted brackets that are no levels.
+    rows = []
+    for depth in (9, 30):
+        rows += [(depth, '{"k":' * depth + "1" + "}" * depth), (-depth, "[" * depth + "1" + "]" * depth)]
+    rows.append((0, r'{"a": "{[{[\\" , "b\\"{": 2}'.replace("\\\\", "\\")))
+    df = spark.createDataFrame(rows, "doc_id int, payload string")
+    got = docs.flatten_tree(df).collect()
+    for depth in (9, 30):
+        chain = {"/".join(["k"] * i) for i in range(depth + 1)}
+        assert {r.id for r in got if r.doc_id == depth} == chain
+        assert {r.id for r in got if r.doc_id == -depth} == {"[0]" * i for i in range(depth + 1)}
+        assert [r.label for r in got if r.doc_id == depth and r.id.count("/") == depth - 1] == ["k: 1"]
+
+
 def test_paths_and_bad_values(spark):
     df = spark.createDataFrame([(1, '{"Lap": 12, "a": {"b": [5, 6]}}'), (2, '{"Lap": "twelve"}'), (3, "no json"), (4, None)], "doc_id int, payload string")
     got = docs.json_fields(df, {"lap": ("$.Lap", "double"), "six": ("$.a.b[1]", "int")}).orderBy("doc_id").collect()
