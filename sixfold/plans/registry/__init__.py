@@ -8,10 +8,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sixfold.plans.registry import documents, ingest, relational, spatial, timeseries, vector
+from sixfold.plans.registry import demo, documents, ingest, relational, spatial, timeseries, vector
 
 ALL = {}
-for _part in (relational, timeseries, documents, spatial, vector, ingest):
+for _part in (relational, timeseries, documents, spatial, vector, ingest, demo):
     if ALL.keys() & _part.QUERIES.keys():
         raise ValueError("a query name is used twice")
     ALL |= _part.QUERIES
