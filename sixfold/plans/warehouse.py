@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import warnings
+from collections.abc import Collection
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -164,11 +168,15 @@ def lap_facts(laps: DataFrame, drivers: DataFrame, compounds: DataFrame) -> Data
     return raw.select(*_ids(raw), "compound_id", *values, *marks).dropna(subset=["lap_number"])
 
 
-def _telemetry(telemetry: DataFrame, stride: int, hot_rows: int | None) -> DataFrame:
-    """Every ``stride``-th raw sample per event and driver, by time; samples without a time cannot be placed and are dropped."""
+def _telemetry(telemetry: DataFrame, drivers: DataFrame, stride: int, hot_rows: int | None) -> DataFrame:
+    """Every ``stride``-th raw sample per event and driver, by time; samples without a time cannot be placed and are dropped.
+
+    Drivers are looked up first, so samples of unknown ones are not sorted.
+    """
     timed = telemetry.withColumns(
         {"driver_number": text(_cell(telemetry, "Driver")), "session_time_sec": number(_cell(telemetry, "SessionTime"), "decimal(14,6)")}
     ).dropna(subset=["session_time_sec"])
+    timed = resolve(timed, _by_number(drivers), ["event_id", "driver_number"], "driver_id")
     if stride == 1:
         return timed
     place = [c for c in ("session_time_sec", "_row") if c in timed.columns]
@@ -176,7 +184,7 @@ def _telemetry(telemetry: DataFrame, stride: int, hot_rows: int | None) -> DataF
 
 
 def telemetry_facts(telemetry: DataFrame, drivers: DataFrame, stride: int = 10, hot_rows: int | None = HOT_ROWS) -> DataFrame:
-    raw = resolve(_telemetry(telemetry, stride, hot_rows), _by_number(drivers), ["event_id", "driver_number"], "driver_id")
+    raw = _telemetry(telemetry, drivers, stride, hot_rows)
     values = _numbers(
         raw, "fact_telemetry", speed="Speed", rpm="RPM", n_gear="nGear", throttle="Throttle", drs="DRS",
         x="X", y="Y", z="Z", distance="Distance",
@@ -187,7 +195,7 @@ def telemetry_facts(telemetry: DataFrame, drivers: DataFrame, stride: int = 10,
 
 def spatial_facts(telemetry: DataFrame, drivers: DataFrame, stride: int = 50, hot_rows: int | None = HOT_ROWS) -> DataFrame:
     """Points on the plane: x and y as two plain columns, so that a bounding box reaches the parquet scan."""
-    raw = resolve(_telemetry(telemetry, stride, hot_rows), _by_number(drivers), ["event_id", "driver_number"], "driver_id")
+    raw = _telemetry(telemetry, drivers, stride, hot_rows)
     values = _numbers(raw, "telemetry_spatial", x="X", y="Y", speed="Speed", throttle="Throttle")
     points = raw.select(*_ids(raw), "session_time_sec", *values, flag(_cell(raw, "Brake")).alias("brake"))
     return points.dropna(subset=["x", "y"])
@@ -260,6 +268,19 @@ def message_rows(messages: DataFrame) -> DataFrame:
 # --- the whole load --------------------------------------------------------------------------------------------------------
 
 
+#: Folder with the ids of the sessions whose load has ended.
+ENDED = "_loaded_sessions"
+
+
+def _ended(spark: SparkSession, out: str) -> set[str]:
+    try:
+        return {r.session_id for r in spark.read.schema("session_id string").parquet(f"{out}/{ENDED}").distinct().collect()}
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return set()
+
+
 def build_warehouse(
     spark: SparkSession,
     bronze_root: str,
@@ -270,22 +291,39 @@ def build_warehouse(
     spatial_stride: int = 50,
     encoder=None,
     sessions: DataFrame | None = None,
+    only: Collection[str] | None = None,
     hot_rows: int | None = HOT_ROWS,
 ) -> dict[str, DataFrame]:
-    """Load all sessions found under ``bronze_root`` and return the stored tables.
+    """Load the sessions found under ``bronze_root`` and return the stored tables.
 
-    ``refresh`` rebuilds every table but the two lookups; otherwise only sessions and keys not stored yet are added. Each
-    dimension is written before the facts read it back, so keys are fixed once and a lost executor cannot change them.
+    ``refresh`` rebuilds every table but the two lookups from all sessions. Otherwise only the files of sessions whose load has not
+    ended yet are read, and rows are compared with the stored rows of these events alone; messages of other events keep their ids
+    and vectors. ``only`` names the sessions to read instead (with ``refresh=False``), also ones that are loaded: keys not stored
+    yet are added, and their messages are replaced. A load that was broken off is taken up again by the next. Each dimension is
+    written before the facts read it back, so keys are fixed once and a lost executor cannot change them.
     ``sessions`` (session_id, season, gp_name, session_code) replaces what the session documents say.
+    Only names and keys of sessions reach the driver, which lists their files anyway.
     """
-    info = bronze.read_session_info(spark, bronze_root)
+    if refresh:
+        if only is not None:
+            raise ValueError("only needs refresh=False")
+        chosen = None
+    else:
+        known = [r.session_id for r in sessions.select("session_id").distinct().collect()] if sessions is not None else bronze.list_sessions(spark, bronze_root)
+        chosen = set(only) if only is not None else set(known) - _ended(spark, out)
+        if known and not chosen:
+            return read_warehouse(spark, out)
+    info = bronze.read_session_info(spark, bronze_root, chosen)
     if sessions is None:
         if info is None:
             raise ValueError("no session documents: pass sessions")
         sessions = sessions_of(info)
-    raw = {dataset: bronze.read_dataset(spark, bronze_root, dataset) for dataset in schema.DATASETS}
+    elif chosen is not None:
+        sessions = sessions.where(F.col("session_id").isin(list(chosen)))
+    raw = {dataset: bronze.read_dataset(spark, bronze_root, dataset, chosen) for dataset in schema.DATASETS}
 
     if refresh:
+        spark.createDataFrame([], "session_id string").write.mode("overwrite").parquet(f"{out}/{ENDED}")
         for table in schema.TABLES:
             if table not in schema.LOOKUPS:
                 write_table(spark.createDataFrame([], schema.struct(table)), out, table, "overwrite")
@@ -302,7 +340,8 @@ def build_warehouse(
             write_table(assign_keys(missing.drop(key), [name], key, highest(stored(table), key)), out, table)
 
     write_table(event_members(sessions, info, stored("dim_event")), out, "dim_event")
-    events = stored("dim_event")
+    events = stored("dim_event").join(sessions.select("session_id").distinct(), "session_id", "left_semi")
+    loading = [r.event_id for r in events.select("event_id").collect()]
 
     def with_event(df: DataFrame | None) -> DataFrame | None:
         return None if df is None else resolve(df, events, ["session_id"], "event_id")
@@ -326,8 +365,12 @@ def build_warehouse(
         write_table(compound_members(compounds, stored("dim_compound")), out, "dim_compound")
 
     def add(table: str, rows: DataFrame) -> None:
-        write_table(absent(rows, stored(table), schema.PRIMARY_KEYS[table], ["_row"]), out, table)
+        # Facts lie in folders by event: other events are not read.
+        there = stored(table).where(F.col("event_id").isin(loading))
+        write_table(absent(rows, there, schema.PRIMARY_KEYS[table], ["_row"]), out, table)
 
+    if drivers is None and (raw["laps"] is not None or raw["telemetry"] is not None):
+        warnings.warn("no results files: laps and telemetry are not loaded, since their drivers are not known", stacklevel=2)
     if drivers is not None:
         add("fact_result", result_facts(raw["results"], drivers, stored("dim_result_status")))
         if raw["laps"] is not None:
@@ -342,7 +385,7 @@ def build_warehouse(
     if raw["session_status"] is not None:
         add("fact_session_status", session_status_facts(raw["session_status"]))
 
-    loaded = stored("f1_raw_documents").select("event_id").distinct()
+    loaded = stored("f1_raw_documents").where(F.col("event_id").isin(loading)).select("event_id").distinct()
     if info is not None:
         numbered = row_ids(info, "doc_id", highest(stored("f1_raw_documents"), "doc_id"))
         write_table(info_documents(with_event(numbered)).join(loaded, "event_id", "left_anti"), out, "f1_raw_documents")
@@ -351,6 +394,7 @@ def build_warehouse(
         write_table(message_documents(with_event(numbered)).join(loaded, "event_id", "left_anti"), out, "f1_raw_documents")
         numbered = row_ids(messages, "doc_id", highest(stored("f1_messages"), "msg_id"))
         store_messages(with_event(numbered), out, encoder)
+    sessions.select("session_id").distinct().write.mode("append").parquet(f"{out}/{ENDED}")
     return read_warehouse(spark, out)
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 import csv
 import re
 import warnings
-from collections.abc import Mapping
+from collections.abc import Collection, Mapping
 from functools import reduce
 from urllib.parse import unquote
 
@@ -33,8 +33,35 @@ def _session_of_file(dataset: str, ending: str):
     return F.regexp_extract(F.col("_metadata.file_path"), rf"/{dataset}_([^/]+)\.{ending}", 1)
 
 
-def read_dataset(spark: SparkSession, root: str, dataset: str) -> DataFrame | None:
-    """All sessions of one dataset, every cell as text plus ``session_id``; None with a warning if there is no file.
+def _files(spark: SparkSession, root: str, dataset: str, ending: str, sessions: Collection[str] | None) -> list[str]:
+    """Paths to read: one pattern, or the files of the given sessions. Their names are listed, their contents are not read."""
+    pattern = f"{root}/{dataset}_*.{ending}"
+    if sessions is None:
+        return [pattern]
+    try:
+        listed = spark.read.format("binaryFile").load(pattern).select("path")
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return []
+    named = listed.where(F.regexp_extract("path", rf"/{dataset}_([^/]+)\.{ending}", 1).isin(list(sessions)))
+    return [_GLOB.sub(r"\\\1", r.path) for r in named.collect()]
+
+
+def list_sessions(spark: SparkSession, root: str) -> list[str]:
+    """The ids of the sessions that have a document, by the names of the files."""
+    try:
+        listed = spark.read.format("binaryFile").load(f"{root}/session_info_*.json")
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return []
+    named = listed.select(F.regexp_extract("path", r"/session_info_([^/]+)\.json", 1).alias("session_id")).distinct()
+    return sorted(r.session_id for r in named.collect())
+
+
+def read_dataset(spark: SparkSession, root: str, dataset: str, sessions: Collection[str] | None = None) -> DataFrame | None:
+    """All sessions of one dataset (or the given ones), every cell as text plus ``session_id``; None with a warning if there is no file.
 
     Each file is read by its own header: columns may be in any order, and one that a file lacks is NULL there. A first pass takes the
     header lines; files with the same header share one scan, so there are as many scans as different headers. The names of the files
@@ -45,10 +72,13 @@ def read_dataset(spark: SparkSession, root: str, dataset: str) -> DataFrame | No
     if dataset not in DATASETS:
         raise ValueError(f"unknown dataset {dataset}")
     try:
-        lines = spark.read.text(f"{root}/{dataset}_*.csv")
+        paths = _files(spark, root, dataset, "csv", sessions)
+        lines = spark.read.text(paths) if paths else None
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
+        lines = None
+    if lines is None:
         warnings.warn(f"no {dataset} files under {root}", stacklevel=2)
         return None
     starts = lines.where(F.col("_metadata.file_block_start") == 0)
@@ -77,13 +107,16 @@ def read_dataset(spark: SparkSession, root: str, dataset: str) -> DataFrame | No
     return reduce(lambda x, y: x.unionByName(y, allowMissingColumns=True), parts).withColumn("_row", F.monotonically_increasing_id())
 
 
-def read_session_info(spark: SparkSession, root: str) -> DataFrame | None:
-    """One row per session: ``session_id`` and the whole document as text; None with a warning if there is no file."""
+def read_session_info(spark: SparkSession, root: str, sessions: Collection[str] | None = None) -> DataFrame | None:
+    """One row per session (or per given session): ``session_id`` and the whole document as text; None with a warning if there is no file."""
     try:
-        raw = spark.read.text(f"{root}/session_info_*.json", wholetext=True)
+        paths = _files(spark, root, "session_info", "json", sessions)
+        raw = spark.read.text(paths, wholetext=True) if paths else None
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
+        raw = None
+    if raw is None:
         warnings.warn(f"no session_info files under {root}", stacklevel=2)
         return None
     session = _session_of_file("session_info", "json").alias("session_id")

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from sixfold import schema
 from sixfold.operators import documents, graph, quality, relational, spatial, timeseries, vector
-from sixfold.plans import views
+from sixfold.plans import demo, views, warehouse
 from sixfold.plans.warehouse import build_warehouse
 from sixfold.sources.tables import read_warehouse
 from tests.bronze_files import telemetry, write_all, write_session
@@ -146,12 +146,51 @@ def test_message_search(t):
     assert sorted(r.y_pos for r in lines) == [0, 1, 2]
 
 
-def test_second_load_keeps_keys(spark, loaded):
+def test_demo_reports(t):
+    pace = demo.pace_delta(t).collect()
+    order = [(r.driver_code, r.stint_number, r.lap_number, r.event_id) for r in pace]
+    assert order == sorted(order) and {r.driver_code for r in pace} == {"NOR", "PIA", "VER"} and len(pace) <= 15
+    assert len(demo.pace_delta(t, k=2).collect()) == 2
+    ranks = [r.consistency_rank for r in demo.consistency_rank(t).collect()]
+    assert ranks == sorted(ranks) and len(ranks) == 3
+    braking = [r.braking_events for r in demo.heavy_braking(t).collect()]
+    assert braking and braking == sorted(braking, reverse=True)
+    minutes = [r.session_minute for r in demo.session_status(t).collect()]
+    assert minutes == sorted(minutes) and len(minutes) == 4
+    assert {(r.x, r.y) for r in demo.near_point(t).collect()} == {(850.0, 1200.0)}
+    parts = [(r.driver_code, r.track_sector) for r in demo.sectors(t).collect()]
+    assert parts and parts == sorted(parts)
+    places = [r.final_position for r in demo.driver_network(t).collect()]
+    assert len(places) == 5 and places == sorted(places, key=lambda p: (p is None, p))
+    assert [r.cnt for r in demo.message_categories(t).collect()] == [2, 2, 2]
+    worn = demo.degradation(t).collect()
+    assert worn and all(r.degradation_from_fresh is not None for r in worn if r.lap_time is not None)
+    matrix = demo.life_matrix(t)
+    oldest = t["fact_lap"].where("is_accurate = 1").agg(F.max("tyre_life")).first()[0]
+    assert [c for c in matrix.columns if c.startswith("life_")] == [f"life_{n}" for n in range(1, oldest + 1)]
+    spread = [r.std for r in demo.distribution(t).collect()]
+    known = [s for s in spread if s is not None]
+    assert known == sorted(known) and spread[: len(known)] == known
+    assert {r.compound for r in demo.stint_strategy(t).collect()} >= {"MEDIUM"}
+    assert "team_color" in demo.position_deltas(t).columns and demo.position_deltas(t).count() == relational.position_deltas(t["fact_lap"]).count()
+
+
+def test_second_load_keeps_keys(spark, loaded, monkeypatch):
     bronze, out, before = loaded
+    messages = {(r.event_id, r.message_text, r.msg_id) for r in before["f1_messages"].collect()}
+    read = []
+    real = warehouse.bronze.read_dataset
+    monkeypatch.setattr(warehouse.bronze, "read_dataset", lambda s, root, dataset, sessions=None: read.append((dataset, sessions)) or real(s, root, dataset, sessions))
+    same = build_warehouse(spark, bronze, out, refresh=False)
+    assert read == []  # nothing new: no file is read
+    assert {(r.event_id, r.message_text, r.msg_id) for r in same["f1_messages"].collect()} == messages
     drivers = {r.driver_code: r.driver_id for r in before["dim_driver"].collect()}
     counts = {name: df.count() for name, df in before.items()}
     write_session(bronze, 2025, "Monza", [(4, "NOR", "McLaren", 1, "Finished"), (12, "ANT", "Mercedes", 2, "Finished")], [("ANT", 1, 90.0, 1, "SOFT", 1, 2)], telemetry(12, 20))
     after = build_warehouse(spark, bronze, out, refresh=False)
+    assert {s for _, chosen in read for s in chosen} == {"2025_Monza_R"}
+    kept = {(r.event_id, r.message_text, r.msg_id) for r in after["f1_messages"].collect()}
+    assert messages < kept and len({m for _, _, m in kept}) == 9
     now = {r.driver_code: r.driver_id for r in after["dim_driver"].collect()}
     assert now == {**drivers, "ANT": 4}
     assert after["fact_lap"].count() == counts["fact_lap"] + 1
@@ -159,5 +198,8 @@ def test_second_load_keeps_keys(spark, loaded):
     assert after["f1_messages"].count() == 9
     assert after["fact_telemetry"].count() == counts["fact_telemetry"] + 2
     assert [r for r in quality.constraint_report(after).collect() if r.violations] == []
+    counts = {n: df.count() for n, df in after.items()}
+    once_more = build_warehouse(spark, bronze, out, refresh=False, only=["2025_Monza_R"])  # its messages are written anew
+    assert {n: df.count() for n, df in once_more.items()} == counts
     again = read_warehouse(spark, out)
-    assert {n: df.count() for n, df in again.items()} == {n: df.count() for n, df in after.items()}
+    assert {n: df.count() for n, df in again.items()} == counts
