@@ -158,23 +158,34 @@ def quantiles(df: DataFrame, by: Sequence[str], value: str, points: dict[str, fl
     Equal values are counted before the shuffle and the counts are summed along the order, so no key has to fit into one
     task's memory as it must for the built-in exact percentile.
     """
+    return _from_counts(df, by, value, points, hot_rows).select(*by, *points)
+
+
+def _from_counts(df: DataFrame, by: Sequence[str], value: str, points: dict[str, float], hot_rows: int | None) -> DataFrame:
+    """Mean, spread, extremes, count and quantiles per key, all from how often each value occurs; the input is aggregated once."""
     by = list(by)
     counted = df.where(F.col(value).isNotNull()).groupBy(*by, value).agg(F.count(F.lit(1)).alias("_n"))
-    placed = with_ordered(counted, by, [value], running_sum={"_upto": "_n"}, key_sum={"_total": "_n"}, hot_rows=hot_rows)
     x = F.col(value).cast("double")
+    weighted = counted.withColumn("_weighted", F.col(value) * F.col("_n"))  # decimals are summed exactly
+    sums = {"_total": "_n", "_sum": "_weighted"}
+    placed = with_ordered(weighted, by, [value], running_sum={"_upto": "_n"}, key_sum=sums, hot_rows=hot_rows)
     picks = []
     for name, share in points.items():
         at = (F.col("_total") - 1) * F.lit(float(share))
         for end, rank in (("low", F.floor(at)), ("high", F.ceil(at))):
             inside = (rank >= F.col("_upto") - F.col("_n")) & (rank < F.col("_upto"))
             picks.append(F.max(F.when(inside, x)).alias(f"_{end}_{name}"))
-    found = placed.groupBy(*by, "_total").agg(*picks)
+    mean = F.col("_sum").cast("double") / F.col("_total")
+    off = x - mean
+    measures = [F.min(value).alias("low"), F.max(value).alias("high"), F.sum(off * off * F.col("_n")).alias("_squares"), F.max("_sum").alias("_sum")]
+    found = placed.groupBy(*by, "_total").agg(*picks, *measures)
     results = []
     for name, share in points.items():
         at = (F.col("_total") - 1) * F.lit(float(share))
         low, high = F.col(f"_low_{name}"), F.col(f"_high_{name}")
         results.append((low + (high - low) * (at - F.floor(at))).alias(name))
-    return found.select(*by, *results)
+    spread = F.sqrt(F.try_divide(F.col("_squares"), F.col("_total") - 1))
+    return found.select(*by, mean.alias("mean"), spread.alias("std"), "low", "high", F.col("_total").alias("count"), *results)
 
 
 QUARTILES = {"q1": 0.25, "median": 0.5, "q3": 0.75}
@@ -189,19 +200,19 @@ def distribution(
     """
     by = list(by)
     kept = laps.where((F.col("is_accurate") == 1) & (F.col("lap_time_sec") > above) & (F.col("lap_time_sec") < below))
-    value = F.col("lap_time_sec")
-    measures = [
-        F.avg(value).alias("mean"),
-        F.stddev_samp(value).alias("std"),
-        F.min(value).alias("low"),
-        F.max(value).alias("high"),
-        F.count(value).alias("count"),
-    ]
     if not exact:
+        value = F.col("lap_time_sec")
+        measures = [
+            F.avg(value).alias("mean"),
+            F.stddev_samp(value).alias("std"),
+            F.min(value).alias("low"),
+            F.max(value).alias("high"),
+            F.count(value).alias("count"),
+        ]
         cuts = F.percentile_approx(value, list(QUARTILES.values()), 10_000).alias("_cuts")
         rough = kept.groupBy(*by).agg(*measures, cuts)
         return rough.withColumns({n: F.col("_cuts")[i].cast("double") for i, n in enumerate(QUARTILES)}).drop("_cuts")
-    return kept.groupBy(*by).agg(*measures).join(quantiles(kept, by, "lap_time_sec", QUARTILES, hot_rows), by)
+    return _from_counts(kept, by, "lap_time_sec", QUARTILES, hot_rows)
 
 
 def most_consistent(stats: DataFrame, ties: Sequence[str], k: int = 3) -> DataFrame:

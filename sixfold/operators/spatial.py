@@ -42,31 +42,26 @@ def region_summary(points: DataFrame, by: Sequence[str], rule: Column, out: str
 def proximity(points: DataFrame, moment: Sequence[str], car: str, distance: float, time: str | None = None) -> DataFrame:
     """Pairs of cars within a distance of each other at one moment, each pair once, with their distance.
 
-    Points are put into square cells as wide as the distance; one side looks into its own and the eight neighbouring cells, so
-    only points of neighbouring cells at the same moment are compared.
+    Points are put into square cells as wide as the distance. One side looks into its own cell and four of its neighbours, those that
+    lie ahead, so each pair of neighbouring points of a moment meets once.
     """
     cells = {"_cx": F.floor(F.col("x") / distance), "_cy": F.floor(F.col("y") / distance)}
-    kept = [*moment, car, "x", "y", *([time] if time else [])]
-    base = points.where(F.col("x").isNotNull() & F.col("y").isNotNull()).select(*kept).withColumns(cells)
-    reach = F.array(*[F.struct(F.lit(dx).alias("dx"), F.lit(dy).alias("dy")) for dx in (-1, 0, 1) for dy in (-1, 0, 1)])
-    probes = base.withColumn("_step", F.explode(reach)).withColumns(
+    kept = [car, "x", "y", *([time] if time else [])]
+    placed = points.where(F.col("x").isNotNull() & F.col("y").isNotNull()).withColumns(cells)
+    ahead = F.array(*[F.struct(F.lit(dx).alias("dx"), F.lit(dy).alias("dy")) for dx, dy in ((0, 0), (0, 1), (1, -1), (1, 0), (1, 1))])
+    probes = placed.select(*moment, "_cx", "_cy", F.struct(*kept).alias("_a"), F.explode(ahead).alias("_step")).withColumns(
         {"_cx": F.col("_cx") + F.col("_step.dx"), "_cy": F.col("_cy") + F.col("_step.dy")}
     )
-    a, b = probes.alias("a"), base.alias("b")
-    on = F.col(f"a.{car}") < F.col(f"b.{car}")
-    for column in (*moment, "_cx", "_cy"):
-        on = on & (F.col(f"a.{column}") == F.col(f"b.{column}"))
-    dx, dy = F.col("a.x") - F.col("b.x"), F.col("a.y") - F.col("b.y")
+    found = probes.join(placed.select(*moment, "_cx", "_cy", F.struct(*kept).alias("_b")), [*moment, "_cx", "_cy"])
+    dx, dy = F.col("_a.x") - F.col("_b.x"), F.col("_a.y") - F.col("_b.y")
     square = dx * dx + dy * dy
-    extra = [F.col(f"{s}.{time}").alias(f"{time}_{i}") for i, s in ((1, "a"), (2, "b"))] if time else []
-    pairs = a.join(b, on).where(square <= distance * distance)
-    return pairs.select(
-        *[F.col(f"a.{m}") for m in moment],
-        F.col(f"a.{car}").alias(f"{car}_1"),
-        F.col(f"b.{car}").alias(f"{car}_2"),
-        *extra,
-        F.sqrt(square).alias("distance"),
-    )
+    own = (F.col("_step.dx") == 0) & (F.col("_step.dy") == 0)
+    rising = F.col(f"_a.{car}") < F.col(f"_b.{car}")
+    pairs = found.where(square <= distance * distance).where(rising | (~own & (F.col(f"_a.{car}") > F.col(f"_b.{car}"))))
+    one, two = F.when(rising, F.col("_a")).otherwise(F.col("_b")), F.when(rising, F.col("_b")).otherwise(F.col("_a"))
+    named = pairs.select(*moment, one.alias("_1"), two.alias("_2"), F.sqrt(square).alias("distance"))
+    extra = [F.col(f"_{i}")[time].alias(f"{time}_{i}") for i in (1, 2)] if time else []
+    return named.select(*moment, *[F.col(f"_{i}")[car].alias(f"{car}_{i}") for i in (1, 2)], *extra, "distance")
 
 
 def circuits(spark: SparkSession) -> DataFrame:

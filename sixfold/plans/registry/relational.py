@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from sixfold.operators.ordered import with_ordered
 from sixfold.operators import graph
 from sixfold.operators import relational as rel
 from sixfold.plans import views
@@ -127,7 +128,17 @@ TEAMMATES = f"""{STAR}, pairs AS (
 _PAIR_NAMES = "x.driver_code AS driver1_code, x.full_name AS driver1_name, y.driver_code AS driver2_code, y.full_name AS driver2_name"
 _PAIR_JOINS = "JOIN dim_team t USING (team_id) JOIN dim_driver x ON x.driver_id = d1 JOIN dim_driver y ON y.driver_id = d2"
 
+
+def next_lap(spark, sf):
+    return with_ordered(laps(spark, sf).select("event_id", "driver_id", "lap_number", "lap_time_sec"), rel.DRIVER, ["lap_number"], following={"next_time": "lap_time_sec"})
+
+
 QUERIES = {
+    "next_lap": (
+        next_lap,
+        f"""WITH {LAPS} SELECT event_id, driver_id, lap_number, lap_time_sec::DOUBLE AS lap_time_sec,
+              (lead(lap_time_sec) OVER (PARTITION BY event_id, driver_id ORDER BY lap_number))::DOUBLE AS next_time FROM laps""",
+    ),
     "pace_delta": (
         pace_delta,
         f"""WITH {LAPS} SELECT event_id, driver_id, stint_number, compound, lap_number, lap_time_sec::DOUBLE AS lap_time_sec,

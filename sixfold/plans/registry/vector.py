@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from sixfold.functions.embedding import byte_embedding, embed
+from sixfold.functions.vectors import dot
 from sixfold.operators import vector as vec
 from sixfold.plans.inputs import message_documents, table
 from sixfold.plans.registry.documents import race_control_messages
@@ -54,9 +55,28 @@ def pca(spark, sf):
     return vec.project(_vectors(spark, sf))
 
 
+def pca_moments(spark, sf):
+    """What does not depend on a solver's choices: means of 0, variances in proportion to the shares, no correlation, the first share."""
+    found = vec.project(_vectors(spark, sf))
+    ratio = lambda i: F.round(F.var_pop(f"pc{i}") / (F.first(f"explained_{i}") * 64), 6)
+    return found.agg(
+        F.count(F.lit(1)).alias("n"),
+        *[F.round(F.abs(F.avg(f"pc{i}")), 6).alias(f"mean_{i}") for i in (1, 2)],
+        *[ratio(i).alias(f"ratio_{i}") for i in (1, 2)],
+        F.round(F.abs(F.corr("pc1", "pc2")), 6).alias("correlation"),
+        F.round(F.first("explained_1"), 4).alias("share_1"),
+    )
+
+
 def embedded_documents(spark, sf):
-    vectors = table(spark, sf, "documents").select("doc_id", embed("text").alias("e"))
-    return vectors.select("doc_id", F.size("e").alias("dimensions"), F.round(F.get("e", F.lit(0)).cast("double"), 6).alias("first_value"))
+    """Grouped by vector: equal texts must share one, and different texts must not."""
+    texts = table(spark, sf, "documents").where("text IS NOT NULL")
+    vectors = texts.select(F.sha2("text", 256).alias("text_sha256"), embed("text").alias("e"))
+    measured = vectors.select("text_sha256", F.xxhash64("e").alias("vector"), F.size("e").alias("size"), F.round(F.sqrt(dot(F.col("e"), F.col("e"))), 4).alias("length"))
+    groups = measured.groupBy("vector", "size", "length").agg(
+        F.min("text_sha256").alias("text_sha256"), (F.min("text_sha256") == F.max("text_sha256")).alias("one_text"), F.count(F.lit(1)).alias("copies")
+    )
+    return groups.select("text_sha256", "one_text", "copies", F.col("size").alias("dimensions"), "length")
 
 
 def embedded_messages(spark, sf):
@@ -116,7 +136,27 @@ QUERIES = {
             FROM embeddings ORDER BY list_cosine_similarity(embedding::DOUBLE[], {Q0}) DESC, vec_id LIMIT 6""",
     ),
     "pca2": (pca, None),
-    "embedded_documents": (embedded_documents, None),
+    "pca_moments": (
+        pca_moments,
+        # The first share by power iteration on the matrix of correlations.
+        """WITH RECURSIVE x AS (SELECT vec_id, unnest(embedding::DOUBLE[]) AS v, generate_subscripts(embedding, 1) AS d FROM embeddings),
+           s AS (SELECT d, avg(v) AS m, stddev_pop(v) AS sd FROM x GROUP BY d),
+           y AS (SELECT vec_id, d, (v - m) / sd AS v FROM x JOIN s USING (d)),
+           c AS (SELECT a.d AS i, b.d AS j, avg(a.v * b.v) AS r FROM y a JOIN y b USING (vec_id) GROUP BY 1, 2),
+           m AS (SELECT list(r ORDER BY i) AS m FROM (SELECT i, list(r ORDER BY j) AS r FROM c GROUP BY i)),
+           p AS (SELECT 0 AS k, list_transform(range(64), lambda i: 1.0::DOUBLE + i / 64) AS v UNION ALL
+                 SELECT k + 1, list_transform(w, lambda e: e / sqrt(list_dot_product(w, w)))
+                 FROM (SELECT k, list_transform(m, lambda line: list_dot_product(line, v)) AS w FROM p, m WHERE k < 1000))
+           SELECT (SELECT count(*) FROM embeddings) AS n, 0.0::DOUBLE AS mean_1, 0.0::DOUBLE AS mean_2, 1.0::DOUBLE AS ratio_1,
+                  1.0::DOUBLE AS ratio_2, 0.0::DOUBLE AS correlation,
+                  round(list_dot_product(v, list_transform(m, lambda line: list_dot_product(line, v))) / 64, 4) AS share_1
+           FROM p, m WHERE k = 1000""",
+    ),
+    "embedded_documents": (
+        embedded_documents,
+        """SELECT sha256(text) AS text_sha256, true AS one_text, count(*) AS copies, 384::BIGINT AS dimensions, 1.0::DOUBLE AS length
+           FROM documents WHERE text IS NOT NULL GROUP BY text""",
+    ),
     "embedded_messages": (
         embedded_messages,
         r"""SELECT conv_id * 1000000000 + turn AS msg_id, nullif(trim(role), '') AS category,

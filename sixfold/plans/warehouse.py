@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from sixfold import schema
 from sixfold.functions.columns import flag, iso_timestamp, number, slug, text, whole
 from sixfold.functions.embedding import embed
+from sixfold.functions.vectors import unit
 from sixfold.operators.keys import assign_keys, highest, new_members, resolve, row_ids
 from sixfold.operators.ordered import HOT_ROWS, stride_sample
 from sixfold.sources import bronze
@@ -399,5 +400,6 @@ def build_warehouse(
 
 
 def store_messages(messages: DataFrame, out: str, encoder=None) -> None:
-    """Embed the messages and replace those of the same events."""
-    replace_events(message_rows(messages).withColumn("embedding", embed("embed_text", encoder)), out, "f1_messages")
+    """Embed the messages, as vectors of length 1, and replace those of the same events."""
+    embedded = message_rows(messages).withColumn("embedding", embed("embed_text", encoder))
+    replace_events(embedded.withColumn("embedding", unit(F.col("embedding")).cast("array<float>")), out, "f1_messages")
