@@ -13,10 +13,10 @@ from sixfold.llm.textscan import LOWER, VALUES, Texts, Words, extend, span_hash,
 
 #: Path of the vocabulary; a parameter of ``predict_language``.
 VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
-#: Longest piece in bytes, with the mark of a word's start. Longer pieces of the vocabulary are left out.
-LONGEST = 12
-#: A longer run of letters (bytes) is scored in parts of this size.
-PART = 32
+#: Words are scored together in blocks of so many rows and bytes (rows x longest word) at most; a longer word alone, by its positions.
+ROWS, CELLS = 4096, 1 << 19
+#: Positions after which the sums are scaled to 1, so that no length underflows.
+SCALE = 16
 #: Documents per language that the models are fitted on, about.
 MAX_DOCS = 1_500
 ROUNDS = 3
@@ -29,6 +29,13 @@ LETTERS[[*range(65, 91), *range(97, 123), *range(128, 256)]] = True
 _MARK = 32  # a word's first byte in the pieces: a space
 
 
+def __getattr__(name: str) -> int:
+    """``LONGEST``: bytes of the longest piece of ``VOCABULARY`` that can stand in a word, with the mark of a word's start."""
+    if name != "LONGEST":
+        raise AttributeError(name)
+    return vocabulary(VOCABULARY).longest
+
+
 class Vocabulary:
     """The pieces as hashes; every single byte is one of them, so each word has a segmentation."""
 
@@ -40,12 +47,15 @@ class Vocabulary:
         for i in range(model.vocab_size()):
             if not (model.is_control(i) or model.is_unknown(i) or model.is_byte(i)):
                 piece = bytes(LOWER[np.frombuffer(model.id_to_piece(i).replace("▁", " ").encode(), np.uint8)])
-                if 0 < len(piece) <= LONGEST:
+                if piece:
                     found.add(piece)
         pieces = sorted(found)
         raw, length = np.frombuffer(b"".join(pieces), np.uint8), np.array([len(p) for p in pieces])
         end = np.cumsum(length)
         self.size = len(pieces)
+        inside = [p for p in pieces if LETTERS[np.frombuffer(p[p[0] == _MARK :], np.uint8)].all()]  # the others never stand in a word
+        self.sizes = sorted({len(p) for p in inside})
+        self.longest = self.sizes[-1]
         h = span_hash(sums(raw, VALUES), end - length, end)
         self.order = np.argsort(h)
         self.hashes = h[self.order]
@@ -65,64 +75,124 @@ def vocabulary(path: str) -> Vocabulary:
     return Vocabulary(path)
 
 
-def lattice(voc: Vocabulary, words: np.ndarray):
-    """Yield (start, length, rows, pieces) for all pieces in words of equal length, by start. ``words`` is rows x bytes, marked."""
-    n, length = words.shape
-    c = sums(words.ravel(), VALUES)
-    base = np.arange(n) * length
-    for i in range(length):
-        for size in range(1, min(LONGEST, length - i) + 1):
-            rows, piece = voc.find(span_hash(c, base + i, base + i + size))
-            if len(rows):
-                yield i, size, rows, piece
+def blocks(words: list[bytes]):
+    """Places in ``words`` of words of similar length, long ones first."""
+    length = np.array([len(w) for w in words])
+    order, at = np.argsort(-length, kind="stable"), 0
+    while at < len(order):
+        n = max(1, min(ROWS, CELLS // (int(length[order[at]]) + 1)))
+        yield order[at : at + n]
+        at += n
 
 
-def by_length(words: list[bytes]):
-    """Words of equal length as arrays of bytes with the mark in front: (places in ``words``, array)."""
-    length = np.array([len(w) for w in words])
-    for n in np.unique(length):
-        at = np.flatnonzero(length == n)
-        yield at, np.frombuffer(b"".join(b" " + words[k] for k in at), np.uint8).reshape(len(at), n + 1)
+def lattice(voc: Vocabulary, words: list[bytes]):
+    """Yield (start, rows, ends, pieces) for the starts of all pieces in the words, which are sorted by falling length, in order.
+
+    The mark of a word's start is its first byte. Pieces are looked up for ``CELLS`` starts at once.
+    """
+    raw = np.frombuffer(b"".join(b" " + w for w in words), np.uint8)
+    c = sums(raw, VALUES)
+    length = np.array([len(w) + 1 for w in words])
+    base = np.cumsum(length) - length
+    first, most = 0, int(length[0])
+    while first < most:
+        active = int(np.searchsorted(-length, -first))  # words longer than ``first``
+        last = min(most, first + max(1, CELLS // active))
+        row = np.repeat(np.arange(active), np.minimum(length[:active], last) - first)
+        count = np.bincount(row, minlength=active)
+        start = np.arange(len(row)) - np.repeat(np.cumsum(count) - count, count) + first
+        hits = []
+        for size in voc.sizes:
+            at = np.flatnonzero(start + size <= length[row])
+            here = base[row[at]] + start[at]
+            hit, piece = voc.find(span_hash(c, here, here + size))
+            at = at[hit]
+            hits.append((start[at], row[at], start[at] + size, piece))
+        start, row, stop, piece = (np.concatenate(x) for x in zip(*hits))
+        order = np.argsort(start, kind="stable")
+        row, stop, piece = row[order], stop[order], piece[order]
+        cuts = np.searchsorted(start[order], np.arange(first, last + 1))
+        for i, a, b in zip(range(first, last), cuts[:-1].tolist(), cuts[1:].tolist()):
+            yield i, row[a:b], stop[a:b], piece[a:b]
+        first = last
 
 
 def log_likelihood(voc: Vocabulary, words: list[bytes], p: np.ndarray) -> np.ndarray:
-    """Log probability of each word in each language: the forward algorithm over all segmentations. ``p`` is pieces x languages."""
+    """Log probability of each word in each language: the forward algorithm over all segmentations. ``p`` is pieces x languages.
+
+    Only the sums that a piece can still reach are kept, and they are scaled on the way: a word may have any length.
+    """
     out = np.zeros((len(words), p.shape[1]))
-    for at, array in by_length(words):
-        alpha = np.zeros((array.shape[1] + 1, len(at), p.shape[1]))
+    ring = voc.longest + 1
+    for at in blocks(words):
+        block = [words[k] for k in at]
+        ends = np.array([len(w) + 1 for w in block])
+        alpha, log = np.zeros((ring, len(at), p.shape[1])), np.zeros((len(at), p.shape[1]))
         alpha[0] = 1
-        for i, size, rows, piece in lattice(voc, array):
-            alpha[i + size, rows] += alpha[i, rows] * p[piece]
-        out[at] = np.log(alpha[-1])
+        for i, rows, stop, piece in lattice(voc, block):
+            # An end and a row meet at one start once, so no sum is lost.
+            alpha[stop % ring, rows] += alpha[i % ring, rows] * p[piece]
+            alpha[i % ring] = 0
+            done = slice(*np.searchsorted(-ends, [-(i + 1), -i]))
+            if done.start < done.stop:
+                out[at[done]] = np.log(alpha[(i + 1) % ring, done]) + log[done]
+            if i % SCALE == SCALE - 1:
+                top = alpha[:, : done.start].max(0)
+                alpha[:, : done.start] /= top
+                log[: done.start] += np.log(top)
     return out
 
 
 def expected_counts(voc: Vocabulary, words: list[bytes], times: np.ndarray, p: np.ndarray) -> np.ndarray:
-    """Expected uses of each piece over all segmentations of the words under the piece probabilities ``p``."""
+    """Expected uses of each piece over all segmentations of the words under the piece probabilities ``p``.
+
+    The logarithms of all sums of a block of words are kept, and its lattice.
+    """
     out = np.zeros(voc.size)
-    for at, array in by_length(words):
-        steps, n = list(lattice(voc, array)), array.shape[1]
-        alpha, beta = np.zeros((n + 1, len(at))), np.zeros((n + 1, len(at)))
-        alpha[0], beta[n] = 1, 1
-        for i, size, rows, piece in steps:
-            alpha[i + size, rows] += alpha[i, rows] * p[piece]
-        for i, size, rows, piece in sorted(steps, key=lambda s: -s[0]):
-            beta[i, rows] += beta[i + size, rows] * p[piece]
-        for i, size, rows, piece in steps:
-            use = alpha[i, rows] * p[piece] * beta[i + size, rows] / alpha[n, rows] * times[at[rows]]
+    ring = voc.longest + 1
+    for at in blocks(words):
+        block = [words[k] for k in at]
+        steps, ends = list(lattice(voc, block)), np.array([len(w) + 1 for w in block])
+        n, every = int(ends[0]), np.arange(len(at))
+        before, after = np.full((n + 1, len(at)), -np.inf), np.full((n + 1, len(at)), -np.inf)
+        with np.errstate(divide="ignore"):  # sums far below the others of their window may be 0
+            alpha, log = np.zeros((ring, len(at))), np.zeros(len(at))
+            alpha[0], before[0] = 1, 0
+            for i, rows, stop, piece in steps:
+                alpha[stop % ring, rows] += alpha[i % ring, rows] * p[piece]
+                alpha[i % ring] = 0
+                open_ = int(np.searchsorted(-ends, -i))  # words longer than i
+                before[i + 1, :open_] = np.log(alpha[(i + 1) % ring, :open_]) + log[:open_]
+                if i % SCALE == SCALE - 1:
+                    still = int(np.searchsorted(-ends, -(i + 1)))
+                    top = alpha[:, :still].max(0)
+                    alpha[:, :still] /= top
+                    log[:still] += np.log(top)
+            beta, log = np.zeros((ring, len(at))), np.zeros(len(at))
+            beta[ends % ring, every] = 1
+            after[ends, every] = 0
+            for i, rows, stop, piece in reversed(steps):
+                sums_ = np.bincount(rows, weights=beta[stop % ring, rows] * p[piece], minlength=len(at))
+                open_ = int(np.searchsorted(-ends, -i))
+                beta[i % ring, :open_] = sums_[:open_]
+                after[i, :open_] = np.log(sums_[:open_]) + log[:open_]
+                if i % SCALE == 0:
+                    top = beta[:, :open_].max(0)
+                    beta[:, :open_] /= top
+                    log[:open_] += np.log(top)
+        whole, weight, log_p = before[ends, every], times[at], np.log(p)
+        for some in range(0, len(steps), 256):
+            part = steps[some : some + 256]
+            start = np.repeat([s[0] for s in part], [len(s[1]) for s in part])
+            rows, stop, piece = (np.concatenate([s[k] for s in part]) for k in (1, 2, 3))
+            use = np.exp(before[start, rows] + log_p[piece] + after[stop, rows] - whole[rows]) * weight[rows]
             out += np.bincount(piece, weights=use, minlength=voc.size)
     return out
 
 
 def letter_runs(texts: Texts) -> tuple[Words, np.ndarray]:
-    """The words with long ones cut into parts, and their hashes."""
+    """The words and their hashes."""
     words = Words(texts, LETTERS)
-    parts = -(-(words.end - words.start) // PART)
-    if len(parts) and parts.max() > 1:
-        k = np.arange(parts.sum()) - np.repeat(np.cumsum(parts) - parts, parts)
-        start = np.repeat(words.start, parts) + k * PART
-        words.end = np.minimum(start + PART, np.repeat(words.end, parts))
-        words.start, words.text = start, np.repeat(words.text, parts)
     return words, words.hashes(texts)
 
 

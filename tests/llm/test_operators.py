@@ -165,6 +165,55 @@ def test_forward_algorithm_sums_all_segmentations():
     assert math.isclose(language.log_likelihood(voc, [word], p)[0, 0], math.log(total(0)), rel_tol=1e-9)
 
 
+def test_long_pieces_and_runs_against_the_unrestricted_sum():
+    import pyarrow as pa
+    import sentencepiece
+
+    voc = language.vocabulary(language.VOCABULARY)
+    model = sentencepiece.SentencePieceProcessor(model_file=language.VOCABULARY)
+    known = {bytes([b]) for b in range(256)}
+    for i in range(model.vocab_size()):
+        if not (model.is_control(i) or model.is_unknown(i) or model.is_byte(i)):
+            known.add(bytes(c + 32 if 65 <= c <= 90 else c for c in model.id_to_piece(i).replace("▁", " ").encode()))
+    number = {piece: k for k, piece in enumerate(sorted(known))}
+    assert voc.size == len(number) and " international".encode() in number
+    p = np.random.default_rng(3).random((voc.size, 2)) / voc.size
+    longest = max(map(len, number))
+
+    def forward(word):  # log sums, so that nothing underflows
+        marked = b" " + word
+        log = [np.zeros(2)] + [np.full(2, -np.inf) for _ in marked]
+        for i in range(len(marked)):
+            for j in range(i + 1, min(len(marked), i + longest) + 1):
+                if marked[i:j] in number:
+                    log[j] = np.logaddexp(log[j], log[i] + np.log(p[number[marked[i:j]]]))
+        return log
+
+    texts = ["international", "département", "donaudampfschifffahrtsgesellschaftskapitän", "распределение", "这是一个没有空格的很长的句子用来测试语言识别的算法" * 60, "a"]
+    words = [t.encode() for t in texts]
+    got = language.log_likelihood(voc, words, p)
+    assert np.allclose(got, [forward(w)[-1] for w in words], rtol=1e-9)
+
+    runs = Texts(pa.array([texts[2] + " " + texts[4]]))
+    found, h = language.letter_runs(runs)
+    assert language.spelled(runs, found, np.arange(len(h))) == [words[2], words[4]]  # nothing is cut
+
+    q, expected = p[:, 0] / p[:, 0].sum(), np.zeros(voc.size)
+    p[:, 0] = q
+    for w, times in zip(words, range(1, 7)):
+        marked, before = b" " + w, [x[0] for x in forward(w)]
+        after = [-np.inf] * len(marked) + [0.0]
+        for i in reversed(range(len(marked))):
+            for j in range(i + 1, min(len(marked), i + longest) + 1):
+                if marked[i:j] in number:
+                    after[i] = np.logaddexp(after[i], np.log(q[number[marked[i:j]]]) + after[j])
+        for i in range(len(marked)):
+            for j in range(i + 1, min(len(marked), i + longest) + 1):
+                if (n := number.get(marked[i:j])) is not None:
+                    expected[n] += times * math.exp(before[i] + math.log(q[n]) + after[j] - after[0])
+    assert np.allclose(language.expected_counts(voc, words, np.arange(1, 7), q), expected, rtol=1e-9, atol=1e-12)
+
+
 def test_html(spark):
     page = "<body><nav><a href=x>menu</a></nav><article><h1>T &amp; U</h1><p><b>one<br>two\n three<p>four words of prose here, and more.</article><footer>end</footer>"
     pages = spark.createDataFrame([(k, "u", page.replace("four", f"four{k}")) for k in range(30)] + [(90, None, None), (91, "u", "")], "page_id bigint, url string, html string")
