@@ -21,7 +21,9 @@ TOKEN = re.compile(r"[a-z]+")
 
 # HTML's void elements, elements whose content is no text, and block elements.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-SKIPPED = frozenset("script style noscript template textarea title svg math iframe object select option button canvas head".split())
+SKIPPED = frozenset("script style noscript template textarea title svg iframe object select option button canvas head".split())
+#: What can stand in a head; anything else, text too, ends it.
+HEAD = frozenset("base basefont bgsound head link meta noframes noscript script style template title".split())
 RAW = frozenset("script style textarea title iframe noscript".split())
 BLOCKS = frozenset(
     "address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header "
@@ -62,9 +64,19 @@ def parse(page: str) -> Node:
     stack = [("body", root)]  # open elements, inline ones with the block that holds them
     run: Node | None = None
     links = skip = at = 0
+    headless = True  # a head can still come
+
+    def end_head() -> None:
+        nonlocal skip, headless
+        headless = False
+        if stack[-1][0] == "head":  # its end tag may be left out
+            stack.pop()
+            skip -= 1
 
     def text(raw: str) -> None:
         nonlocal run
+        if raw and not raw.isspace():
+            end_head()
         if skip or not raw:
             return
         if run is None:
@@ -105,6 +117,12 @@ def parse(page: str) -> Node:
             del stack[place:]
             node = stack[-1][1]
             continue
+        if tag not in HEAD and tag != "html":
+            end_head()
+        if tag == "head":
+            if not headless:
+                continue
+            headless = False
         if tag in ("html", "body"):
             if m[3]:
                 root.tokens += tokens_of(m[3])

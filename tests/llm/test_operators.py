@@ -222,6 +222,18 @@ def test_html(spark):
     assert got[3][0] == "T & U\n\none two three\n\nfour3 words of prose here, and more."
 
 
+def test_html_open_heads_and_math(spark):
+    body = "<article><h1>Title</h1><p>some words of prose <math><mi>x</mi> <mo>=</mo> <mn>2</mn></math> here, and more.</article>"
+    opened = "<!doctype html><html><head><meta charset=utf-8><title>gone</title><style>p {}</style><template><p>gone</p></template>\n"
+    heads = [opened + "</head><body>", opened + "<body>", opened, opened + "<!-- --><script>gone()</script>", "<body><head>", opened + "<p>"]
+    whole = "Title\n\nsome words of prose x = 2 here, and more."
+    texts = lambda rows: {r.page_id: r.text for r in html.extract_text(spark.createDataFrame(rows, "page_id int, html string")).collect()}
+    assert texts([(k, head + body) for k, head in enumerate(heads)]) == dict.fromkeys(range(len(heads)), whole)
+    untrained = body.replace("article", "div")
+    assert texts([(0, opened + untrained), (1, opened + "plain text <b>here</b>"), (2, opened + "<title>t</title>")]) == {0: whole, 1: "plain text here", 2: ""}
+    assert any(n.tag == "article" for n in html.describe(html.parse(opened + body))[0])
+
+
 def test_urls(spark):
     captures = spark.createDataFrame([(1, "http://a.b.com/x/1", "2024-03-01"), (2, "http://a.b.com/", "2024-01-01"), (3, None, "2024-03-01"), (4, "nonsense", None), (1, "http://a.b.com/x/1", "2024-03-01")], "page_id int, url string, fetched string").withColumn("fetched", F.to_timestamp("fetched"))
     entries = spark.createDataFrame([("b.com", "2024-02-01", "block"), ("b.com", "2024-04-01", "remove"), ("a.b.com/x", "2024-05-01", "allow"), (None, "2024-01-01", "block")], "key string, since string, action string").withColumn("since", F.to_timestamp("since"))
