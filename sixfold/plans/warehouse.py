@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import warnings
 from collections.abc import Collection
+from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -386,19 +387,33 @@ def build_warehouse(
     if raw["session_status"] is not None:
         add("fact_session_status", session_status_facts(raw["session_status"]))
 
-    loaded = stored("f1_raw_documents").where(F.col("event_id").isin(loading)).select("event_id").distinct()
+    # Numbers, not subqueries: the files that they come from may be replaced.
+    parts, after = [], stored("f1_raw_documents").agg(F.coalesce(F.max("doc_id"), F.lit(0))).first()[0]
     if info is not None:
-        numbered = row_ids(info, "doc_id", highest(stored("f1_raw_documents"), "doc_id"))
-        write_table(info_documents(with_event(numbered)).join(loaded, "event_id", "left_anti"), out, "f1_raw_documents")
+        parts.append(info_documents(with_event(row_ids(info, "doc_id", after))))
+        after += info.agg(F.coalesce(F.max("_row"), F.lit(-1)) + 1).first()[0]
+    if messages is not None:
+        parts.append(message_documents(with_event(row_ids(messages, "doc_id", after))))
+    if parts:
+        store_documents(reduce(DataFrame.unionByName, parts), events.where(F.col("session_id").isin(list(_ended(spark, out)))), out)
     if messages is not None:
-        numbered = row_ids(messages, "doc_id", highest(stored("f1_raw_documents"), "doc_id"))
-        write_table(message_documents(with_event(numbered)).join(loaded, "event_id", "left_anti"), out, "f1_raw_documents")
         numbered = row_ids(messages, "doc_id", highest(stored("f1_messages"), "msg_id"))
         store_messages(with_event(numbered), out, encoder)
     sessions.select("session_id").distinct().write.mode("append").parquet(f"{out}/{ENDED}")
     return read_warehouse(spark, out)
 
 
+def store_documents(documents: DataFrame, ended: DataFrame, out: str) -> None:
+    """Replace the documents of events whose load has not ended, which a load that broke off may have left in parts.
+
+    Events in ``ended`` keep their documents and ids, and get those of kinds that they do not have.
+    """
+    replace_events(documents.join(ended, "event_id", "left_anti"), out, "f1_raw_documents")
+    kinds = read_table(documents.sparkSession, out, "f1_raw_documents").join(ended, "event_id", "left_semi").select("event_id", "doc_type").distinct()
+    added = documents.join(ended, "event_id", "left_semi").join(kinds, ["event_id", "doc_type"], "left_anti")
+    write_table(added, out, "f1_raw_documents")
+
+
 def store_messages(messages: DataFrame, out: str, encoder=None) -> None:
     """Embed the messages, as vectors of length 1, and replace those of the same events."""
     embedded = message_rows(messages).withColumn("embedding", embed("embed_text", encoder))

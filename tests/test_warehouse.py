@@ -203,3 +203,29 @@ def test_second_load_keeps_keys(spark, loaded, monkeypatch):
     assert {n: df.count() for n, df in once_more.items()} == counts
     again = read_warehouse(spark, out)
     assert {n: df.count() for n, df in again.items()} == counts
+
+
+def test_broken_load_is_taken_up_again(spark, tmp_path, monkeypatch):
+    bronze, out = str(tmp_path / "bronze"), str(tmp_path / "out")
+    (tmp_path / "bronze").mkdir()
+    write_all(bronze)
+    build_warehouse(spark, bronze, out)
+    kept = {(r.doc_id, r.payload) for r in read_warehouse(spark, out)["f1_raw_documents"].collect()}
+    write_session(bronze, 2025, "Monza", [(4, "NOR", "McLaren", 1, "Finished")], [("NOR", 1, 90.0, 1, "SOFT", 1, 2)], telemetry(4, 20))
+
+    def broken(*_):
+        raise RuntimeError("stopped")
+
+    with monkeypatch.context() as m, pytest.raises(RuntimeError, match="stopped"):
+        m.setattr(warehouse, "message_documents", broken)
+        build_warehouse(spark, bronze, out, refresh=False)
+    tables = read_warehouse(spark, out)
+    monza = tables["dim_event"].where("session_id = '2025_Monza_R'").first().event_id
+    if tables["f1_raw_documents"].where(F.col("event_id") == monza).isEmpty():  # stopped between documents
+        half = spark.createDataFrame([(1000, "session_info", monza, None, "{}"), (1001, "race_control_message", monza, None, "{}")], schema.struct("f1_raw_documents"))
+        warehouse.write_table(half, out, "f1_raw_documents")
+    found = build_warehouse(spark, bronze, out, refresh=False)["f1_raw_documents"].collect()
+    assert kept < {(r.doc_id, r.payload) for r in found} and len({r.doc_id for r in found}) == len(found) == len(kept) + 4
+    assert sorted(r.doc_type for r in found if r.event_id == monza) == ["race_control_message"] * 3 + ["session_info"]
+    again = build_warehouse(spark, bronze, out, refresh=False, only=["2025_Monza_R"])["f1_raw_documents"].collect()
+    assert sorted(again) == sorted(found)
