@@ -99,11 +99,20 @@ def mix(docs: DataFrame, weights: Sequence[float] = (5, 2, 1), max_epochs: int =
 def mixed(docs: DataFrame, **how) -> DataFrame:
     """The documents that the mix takes, each row once, with ``repeats`` and ``taken``; ``docs`` as for ``mix``.
 
-    Rows of the same id and text must be unique.
+    Rows of the same id, source and text share out what ``mix`` gives to as many rows: repeats of one source differ by one at most, so
+    the first of them, in an order by all columns, get one more.
     """
-    plan = mix(docs, **how).where("repeats > 0").select(F.col("doc_id").alias("__id"), F.col("row").alias("__row"), "repeats", "taken")
-    same = F.col("doc_id").eqNullSafe(F.col("__id")) & (F.xxhash64("text") == F.col("__row"))
-    return docs.drop("repeats", "taken").join(plan, same).drop("__id", "__row")
+    key = F.xxhash64(F.isnull("doc_id"), "doc_id", F.isnull("source"), "source")
+    plan = mix(docs, **how).select(key.alias("__key"), F.col("row").alias("__row"), "size", "repeats")
+    least, size = F.min("repeats").alias("__least"), F.max("size").alias("__size")
+    given = plan.groupBy("__key", "__row").agg(least, size, F.sum("repeats").alias("__sum"), F.count("*").alias("__n")).where("__sum > 0")
+    kept = docs.drop("repeats", "taken")
+    ordered = [F.col(f"`{f.name}`") for f in kept.schema if not any(t in f.dataType.simpleString() for t in ("map<", "variant"))]
+    met = kept.withColumns({"__key": key, "__row": F.xxhash64("text"), "__order": F.xxhash64(*ordered)}).join(given, ["__key", "__row"])
+    placed = met.withColumn("__place", F.row_number().over(Window.partitionBy("__key", "__row").orderBy("__order")))
+    more = F.col("__place") <= F.col("__sum") - F.col("__least") * F.col("__n")
+    shared = placed.withColumn("repeats", F.col("__least") + more.cast("long")).where("repeats > 0")
+    return shared.withColumn("taken", F.col("repeats") * F.col("__size")).select(*[F.col(f"`{c}`") for c in kept.columns], "repeats", "taken")
 
 
 def op5(spark, sf):

@@ -117,6 +117,15 @@ def test_mixing(docs, rows):
         assert abs(sum(r.taken for r in mine) - target[s]) <= max(r.size for r in mine)
 
 
+def test_mixed_keeps_repeated_rows(docs, rows):
+    again = docs.union(docs.where("doc_id % 5 = 0 OR doc_id IS NULL")).union(docs.where("doc_id = 14").withColumn("source", F.lit("e")))
+    given = [r for r in mixing.mix(again).collect() if r.repeats > 0]
+    got = mixing.mixed(again)
+    assert got.columns == [*docs.columns, "repeats", "taken"]
+    brief = lambda found: sorted(((r.doc_id, r.source, r.repeats, r.taken) for r in found), key=str)
+    assert brief(got.collect()) == brief(given) and len(given) > len({(r.doc_id, r.row) for r in given})
+
+
 def test_quality(docs, labels, rows):
     for r in quality.apply_rules(docs, labels).collect():
         text = next(x[1] for x in rows if x[0] == r.doc_id) or ""
