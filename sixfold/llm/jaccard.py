@@ -334,6 +334,11 @@ def similar_documents(docs: DataFrame, words: int = 5, num: int = 80, den: int =
     texts without words have an empty set and are linked with nothing, and neither are rows with a null id (component: null);
     repeated rows are equal sets; an empty table gives no rows.
     """
+    return _similar(docs, words, num, den).drop("row")
+
+
+def _similar(docs: DataFrame, words: int, num: int, den: int) -> DataFrame:
+    """``similar_documents`` with ``row``, the hash of each text."""
     spark = docs.sparkSession
     narrow = docs.select("doc_id", "text")
 
@@ -350,18 +355,18 @@ def similar_documents(docs: DataFrame, words: int = 5, num: int = 80, den: int =
                             seen.add(name)
                 n = texts.n
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array(names, pa.int64()), pa.nulls(n, pa.int32()), pa.nulls(n, pa.binary())],
-                    names=["doc_id", "n_shingles", "node", "chunk", "counts"],
+                    [part.column(0), part.column(2), pa.array([len(s) for s in sets], pa.int64()), pa.array(names, pa.int64()), pa.nulls(n, pa.int32()), pa.nulls(n, pa.binary())],
+                    names=["doc_id", "row", "n_shingles", "node", "chunk", "counts"],
                 )
         rows = counts.rows()
         yield pa.RecordBatch.from_arrays(
-            [*(pa.nulls(len(rows), pa.int64()) for _ in range(3)), pa.array([k for k, _ in rows], pa.int32()), pa.array([raw for _, raw in rows], pa.binary())],
-            names=["doc_id", "n_shingles", "node", "chunk", "counts"],
+            [*(pa.nulls(len(rows), pa.int64()) for _ in range(4)), pa.array([k for k, _ in rows], pa.int32()), pa.array([raw for _, raw in rows], pa.binary())],
+            names=["doc_id", "row", "n_shingles", "node", "chunk", "counts"],
         )
 
     narrow = narrow.withColumn("doc_id", F.col("doc_id").cast("bigint"))
-    described = cut(narrow.mapInArrow(describe, "doc_id bigint, n_shingles bigint, node bigint, chunk int, counts binary"))
-    sets = described.where("chunk IS NULL").select("doc_id", "n_shingles", "node")
+    described = cut(narrow.withColumn("row", F.xxhash64("text")).mapInArrow(describe, "doc_id bigint, row bigint, n_shingles bigint, node bigint, chunk int, counts binary"))
+    sets = described.where("chunk IS NULL").select("doc_id", "row", "n_shingles", "node")
     sketch = described.where("chunk IS NOT NULL").select("chunk", "counts").repartition(CHUNKS, "chunk").sortWithinPartitions("chunk")
     sums = {r.chunk: bytes(r.counts) for r in sketch.mapInArrow(Counts.summed, "chunk int, counts binary").collect()}  # of fixed size
     levels = spark.sparkContext.broadcast(Counts.levels(sums))
@@ -435,17 +440,21 @@ def similar_documents(docs: DataFrame, words: int = 5, num: int = 80, den: int =
     of_node = named.select("node", "component").join(least, "component").select("node", "component_id")
     known = classes.join(of_node, "node", "left").select("node", F.coalesce("component_id", "least").alias("component_id"))
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id"))
-    return sets.join(known, "node", "left").select("doc_id", "n_shingles", component.alias("component_id"))
+    return sets.join(known, "node", "left").select("doc_id", "n_shingles", component.alias("component_id"), "row")
 
 
 def keep_one(docs: DataFrame, words: int = 5, num: int = 80, den: int = 100) -> DataFrame:
-    """The rows of ``docs`` that are the first of their component (smallest id); of equal rows one. See ``similar_documents``.
+    """The rows of ``docs`` that are the first of their component (smallest id); of rows with equal id and text one. See ``similar_documents``.
 
-    Rows with a null id are linked with nothing and stay, but for copies of one text.
+    Each text of an id stands for itself: one stays, another that is a near copy of an earlier document goes. Rows with a null id and rows
+    without words are linked with nothing and all stay, repeated ones too.
     """
-    found = similar_documents(docs, words, num, den).where("doc_id <=> component_id").select(F.col("doc_id").alias("__id")).distinct()
-    kept = docs.join(found, F.col("doc_id").eqNullSafe(F.col("__id")), "left_semi")
-    return kept.withColumn("__text", F.xxhash64("text")).dropDuplicates(["doc_id", "__text"]).select(*[F.col(f"`{c}`") for c in docs.columns])
+    first = _similar(docs, words, num, den).where("n_shingles > 0 AND doc_id = component_id").select(F.col("doc_id").alias("__id"), F.col("row").alias("__row")).distinct()
+    linked = F.col("doc_id").isNotNull() & F.coalesce(F.col("text").rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
+    named = docs.where(linked).withColumn("__text", F.xxhash64("text"))
+    kept = named.join(first, (F.col("doc_id") == F.col("__id")) & (F.col("__text") == F.col("__row")), "left_semi").dropDuplicates(["doc_id", "__text"])
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    return kept.select(*columns).union(docs.where(~linked).select(*columns))
 
 
 def op4(spark, sf):

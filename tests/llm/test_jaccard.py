@@ -108,3 +108,13 @@ def test_empty_and_clashing_columns(spark):
     assert [r.component_id for r in similar_documents(clash).collect()] == [1, 1]
     kept = jaccard.keep_one(clash)
     assert kept.columns == clash.columns and [r.node for r in kept.collect()] == [5]
+
+
+def test_keep_one_of_repeated_ids_and_nulls(spark):
+    copy, own, other = "p q r s t u v", "k l m n o p q r", "zz yy xx ww vv uu"
+    stay = [(2, copy, "x"), (5, own, "x"), (7, other, "x"), (8, None, "x"), (8, None, "y"), (8, " \n", "x"), (None, None, "x"), (None, None, "y"), (None, copy, "x"), (None, copy, "y"), (None, copy, "y")]
+    go = [(5, copy, "x"), (7, copy, "x"), (9, copy.upper(), "y")]
+    same = [(1, "a b c d e f g", "x"), (1, "a b c d e f g", "y")]
+    docs = spark.createDataFrame(stay + go + same, "doc_id bigint, text string, source string").repartition(3)
+    got = [tuple(r) for r in jaccard.keep_one(docs).collect()]
+    assert sorted((r for r in got if r not in same), key=str) == sorted(stay, key=str) and sum(r in same for r in got) == 1
