@@ -6,7 +6,6 @@ import warnings
 from collections.abc import Collection
 from functools import reduce
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,9 +14,9 @@ from sixfold.functions.columns import flag, iso_timestamp, number, slug, text, w
 from sixfold.functions.embedding import embed
 from sixfold.functions.vectors import unit
 from sixfold.operators.keys import assign_keys, highest, new_members, resolve, row_ids
-from sixfold.operators.ordered import HOT_ROWS, stride_sample
+from sixfold.operators.ordered import HOT_ROWS, with_ordered
 from sixfold.sources import bronze
-from sixfold.sources.tables import absent, read_table, read_warehouse, replace_events, write_table
+from sixfold.sources.tables import ENDED, CommitConflict, Load, absent, read_warehouse
 
 
 def _cell(df: DataFrame, name: str) -> Column:
@@ -170,23 +169,34 @@ def lap_facts(laps: DataFrame, drivers: DataFrame, compounds: DataFrame) -> Data
     return raw.select(*_ids(raw), "compound_id", *values, *marks).dropna(subset=["lap_number"])
 
 
-def _telemetry(telemetry: DataFrame, drivers: DataFrame, stride: int, hot_rows: int | None) -> DataFrame:
-    """Every ``stride``-th raw sample per event and driver, by time; samples without a time cannot be placed and are dropped.
+#: The place of a sample among those of its event and driver, from 0.
+PLACE = "_sample_no"
 
-    Drivers are looked up first, so samples of unknown ones are not sorted.
+
+def placed_samples(telemetry: DataFrame, drivers: DataFrame, strides: Collection[int], hot_rows: int | None = HOT_ROWS) -> DataFrame:
+    """Raw samples with their place by time per event and driver: those that a sample of one of the ``strides`` takes.
+
+    Samples without a time cannot be placed and are dropped, as are those of unknown drivers, before anything is sorted. One numbering
+    serves all tables that are made from the samples.
     """
     timed = telemetry.withColumns(
         {"driver_number": text(_cell(telemetry, "Driver")), "session_time_sec": number(_cell(telemetry, "SessionTime"), "decimal(14,6)")}
     ).dropna(subset=["session_time_sec"])
     timed = resolve(timed, _by_number(drivers), ["event_id", "driver_number"], "driver_id")
-    if stride == 1:
-        return timed
-    place = [c for c in ("session_time_sec", "_row") if c in timed.columns]
-    return stride_sample(timed, stride, ["event_id", "driver_number"], place, hot_rows)
+    order = [c for c in ("session_time_sec", "_row") if c in timed.columns]
+    if 1 in strides:  # all are taken: a number is needed only if another stride is, too
+        if set(strides) == {1}:
+            return timed.withColumn(PLACE, F.lit(0).cast("bigint"))
+        taken = F.lit(True)
+    else:
+        taken = reduce(lambda a, b: a | b, [F.col(PLACE) % n == 0 for n in sorted(set(strides))])
+    numbered = with_ordered(timed, ["event_id", "driver_number"], order, row_number=PLACE, hot_rows=hot_rows)
+    return numbered.withColumn(PLACE, F.col(PLACE) - 1).where(taken)
 
 
-def telemetry_facts(telemetry: DataFrame, drivers: DataFrame, stride: int = 10, hot_rows: int | None = HOT_ROWS) -> DataFrame:
-    raw = _telemetry(telemetry, drivers, stride, hot_rows)
+def telemetry_rows(placed: DataFrame, stride: int) -> DataFrame:
+    """Every ``stride``-th of the placed samples as telemetry."""
+    raw = placed.where(F.col(PLACE) % stride == 0)
     values = _numbers(
         raw, "fact_telemetry", speed="Speed", rpm="RPM", n_gear="nGear", throttle="Throttle", drs="DRS",
         x="X", y="Y", z="Z", distance="Distance",
@@ -195,14 +205,22 @@ def telemetry_facts(telemetry: DataFrame, drivers: DataFrame, stride: int = 10,
     return raw.select(*_ids(raw), stamp, "session_time_sec", *values, flag(_cell(raw, "Brake")).alias("brake"))
 
 
-def spatial_facts(telemetry: DataFrame, drivers: DataFrame, stride: int = 50, hot_rows: int | None = HOT_ROWS) -> DataFrame:
-    """Points on the plane: x and y as two plain columns, so that a bounding box reaches the parquet scan."""
-    raw = _telemetry(telemetry, drivers, stride, hot_rows)
+def spatial_rows(placed: DataFrame, stride: int) -> DataFrame:
+    """Every ``stride``-th of the placed samples as a point: x and y as two plain columns, so that a box reaches the parquet scan."""
+    raw = placed.where(F.col(PLACE) % stride == 0)
     values = _numbers(raw, "telemetry_spatial", x="X", y="Y", speed="Speed", throttle="Throttle")
     points = raw.select(*_ids(raw), "session_time_sec", *values, flag(_cell(raw, "Brake")).alias("brake"))
     return points.dropna(subset=["x", "y"])
 
 
+def telemetry_facts(telemetry: DataFrame, drivers: DataFrame, stride: int = 10, hot_rows: int | None = HOT_ROWS) -> DataFrame:
+    return telemetry_rows(placed_samples(telemetry, drivers, [stride], hot_rows), stride)
+
+
+def spatial_facts(telemetry: DataFrame, drivers: DataFrame, stride: int = 50, hot_rows: int | None = HOT_ROWS) -> DataFrame:
+    return spatial_rows(placed_samples(telemetry, drivers, [stride], hot_rows), stride)
+
+
 def weather_facts(weather: DataFrame) -> DataFrame:
     values = _numbers(
         weather, "fact_weather", time_sec="Time", air_temp="AirTemp", track_temp="TrackTemp", humidity="Humidity",
@@ -270,19 +288,6 @@ def message_rows(messages: DataFrame) -> DataFrame:
 # --- the whole load --------------------------------------------------------------------------------------------------------
 
 
-#: Folder with the ids of the sessions whose load has ended.
-ENDED = "_loaded_sessions"
-
-
-def _ended(spark: SparkSession, out: str) -> set[str]:
-    try:
-        return {r.session_id for r in spark.read.schema("session_id string").parquet(f"{out}/{ENDED}").distinct().collect()}
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return set()
-
-
 def build_warehouse(
     spark: SparkSession,
     bronze_root: str,
@@ -295,55 +300,68 @@ def build_warehouse(
     sessions: DataFrame | None = None,
     only: Collection[str] | None = None,
     hot_rows: int | None = HOT_ROWS,
+    attempts: int = 3,
 ) -> dict[str, DataFrame]:
     """Load the sessions found under ``bronze_root`` and return the stored tables.
 
-    ``refresh`` rebuilds every table but the two lookups from all sessions. Otherwise only the files of sessions whose load has not
-    ended yet are read, and rows are compared with the stored rows of these events alone; messages of other events keep their ids
+    ``refresh`` rebuilds every table but the two lookups from all sessions. Otherwise only the files of sessions that are not loaded
+    yet are read, and rows are compared with the stored rows of these events alone; messages of other events keep their ids
     and vectors. ``only`` names the sessions to read instead (with ``refresh=False``), also ones that are loaded: keys not stored
-    yet are added, and their messages are replaced. A load that was broken off is taken up again by the next. Each dimension is
-    written before the facts read it back, so keys are fixed once and a lost executor cannot change them.
+    yet are added, and their messages are replaced.
+
+    A load is seen as a whole or not at all: until it commits, readers find the tables as they were, also after it broke off. If another
+    load has ended meanwhile, this one begins anew on what that has stored, ``attempts`` times at most, so two loads never give out the
+    same keys. Within a load each dimension is written before the facts read it back, so keys are fixed once and a lost executor
+    cannot change them.
     ``sessions`` (session_id, season, gp_name, session_code) replaces what the session documents say.
     Only names and keys of sessions reach the driver, which lists their files anyway.
     """
-    if refresh:
-        if only is not None:
-            raise ValueError("only needs refresh=False")
-        chosen = None
-    else:
+    if refresh and only is not None:
+        raise ValueError("only needs refresh=False")
+    for left in reversed(range(attempts)):
+        try:
+            load = Load(spark, out, schema.LOOKUPS if refresh else None)
+            if _load(load, bronze_root, refresh, telemetry_stride, spatial_stride, encoder, sessions, only, hot_rows):
+                load.commit()
+            break
+        except CommitConflict:
+            if not left:
+                raise
+    return read_warehouse(spark, out)
+
+
+def _named(spark: SparkSession, sessions: Collection[str]) -> DataFrame:
+    return spark.createDataFrame([(s,) for s in sorted(sessions)], "session_id string")
+
+
+def _load(load: Load, bronze_root: str, refresh: bool, telemetry_stride: int, spatial_stride: int, encoder, sessions: DataFrame | None, only, hot_rows) -> bool:
+    """Write all tables of one load; False if there is nothing to load."""
+    spark, chosen = load.spark, None
+    if not refresh:
         known = [r.session_id for r in sessions.select("session_id").distinct().collect()] if sessions is not None else bronze.list_sessions(spark, bronze_root)
-        chosen = set(only) if only is not None else set(known) - _ended(spark, out)
+        chosen = set(only) if only is not None else set(known) - {r.session_id for r in load.read(ENDED).distinct().collect()}
         if known and not chosen:
-            return read_warehouse(spark, out)
+            return False
     info = bronze.read_session_info(spark, bronze_root, chosen)
     if sessions is None:
         if info is None:
             raise ValueError("no session documents: pass sessions")
         sessions = sessions_of(info)
     elif chosen is not None:
-        sessions = sessions.where(F.col("session_id").isin(list(chosen)))
+        sessions = sessions.join(_named(spark, chosen), "session_id", "left_semi")
     raw = {dataset: bronze.read_dataset(spark, bronze_root, dataset, chosen) for dataset in schema.DATASETS}
 
-    if refresh:
-        spark.createDataFrame([], "session_id string").write.mode("overwrite").parquet(f"{out}/{ENDED}")
-        for table in schema.TABLES:
-            if table not in schema.LOOKUPS:
-                write_table(spark.createDataFrame([], schema.struct(table)), out, table, "overwrite")
-
-    def stored(table: str) -> DataFrame:
-        return read_table(spark, out, table)
-
     for table, seed in (("dim_compound", seed_compounds(spark)), ("dim_result_status", seed_statuses(spark))):
         name, key = schema.UNIQUE_KEYS[table][0], schema.PRIMARY_KEYS[table][0]
-        missing = absent(seed, stored(table), [name], [key])
-        if stored(table).isEmpty():
-            write_table(missing, out, table)
-        else:
-            write_table(assign_keys(missing.drop(key), [name], key, highest(stored(table), key)), out, table)
+        missing = absent(seed, load.read(table), [name], [key])
+        if load.read(table).isEmpty():
+            load.append(missing, table)
+        elif not missing.isEmpty():
+            load.append(assign_keys(missing.drop(key), [name], key, highest(load.read(table), key)), table)
 
-    write_table(event_members(sessions, info, stored("dim_event")), out, "dim_event")
-    events = stored("dim_event").join(sessions.select("session_id").distinct(), "session_id", "left_semi")
-    loading = [r.event_id for r in events.select("event_id").collect()]
+    load.append(event_members(sessions, info, load.read("dim_event")), "dim_event")
+    # Stored, so that its size is known: a small one prunes the folders of other events from every scan that it is joined to.
+    events = load.scratch(load.read("dim_event").join(sessions.select("session_id").distinct(), "session_id", "left_semi"), "events").where("event_id > 0")
 
     def with_event(df: DataFrame | None) -> DataFrame | None:
         return None if df is None else resolve(df, events, ["session_id"], "event_id")
@@ -354,32 +372,31 @@ def build_warehouse(
     drivers = None
     if raw["results"] is not None:
         entry = entries(raw["results"])
-        write_table(driver_members(entry, stored("dim_driver")), out, "dim_driver")
-        write_table(team_members(entry, stored("dim_team")), out, "dim_team")
-        write_table(bridge_rows(entry, stored("dim_driver"), stored("dim_team"), stored("bridge_driver_team")), out, "bridge_driver_team")
+        load.append(driver_members(entry, load.read("dim_driver")), "dim_driver")
+        load.append(team_members(entry, load.read("dim_team")), "dim_team")
+        load.append(bridge_rows(entry, load.read("dim_driver"), load.read("dim_team"), load.read("bridge_driver_team")), "bridge_driver_team")
         statuses = raw["results"].select(_cell(raw["results"], "Status").alias("status_name"))
-        write_table(status_members(statuses, stored("dim_result_status")), out, "dim_result_status")
+        load.append(status_members(statuses, load.read("dim_result_status")), "dim_result_status")
         # Written and read back: its size is then known, and a small one reaches the large facts without shuffling them.
-        event_drivers(entry, stored("dim_driver")).write.mode("overwrite").parquet(f"{out}/_event_drivers")
-        drivers = spark.read.parquet(f"{out}/_event_drivers")
+        drivers = load.scratch(event_drivers(entry, load.read("dim_driver")), "drivers")
     if raw["laps"] is not None:
         compounds = raw["laps"].select(_cell(raw["laps"], "Compound").alias("compound_name"))
-        write_table(compound_members(compounds, stored("dim_compound")), out, "dim_compound")
+        load.append(compound_members(compounds, load.read("dim_compound")), "dim_compound")
 
     def add(table: str, rows: DataFrame) -> None:
-        # Facts lie in folders by event: other events are not read.
-        there = stored(table).where(F.col("event_id").isin(loading))
-        write_table(absent(rows, there, schema.PRIMARY_KEYS[table], ["_row"]), out, table)
+        load.append(absent(rows, of_events(load.read(table), events), schema.PRIMARY_KEYS[table], ["_row"]), table)
 
     if drivers is None and (raw["laps"] is not None or raw["telemetry"] is not None):
-        warnings.warn("no results files: laps and telemetry are not loaded, since their drivers are not known", stacklevel=2)
+        warnings.warn("no results files: laps and telemetry are not loaded, since their drivers are not known", stacklevel=3)
     if drivers is not None:
-        add("fact_result", result_facts(raw["results"], drivers, stored("dim_result_status")))
+        add("fact_result", result_facts(raw["results"], drivers, load.read("dim_result_status")))
         if raw["laps"] is not None:
-            add("fact_lap", lap_facts(raw["laps"], drivers, stored("dim_compound")))
+            add("fact_lap", lap_facts(raw["laps"], drivers, load.read("dim_compound")))
         if raw["telemetry"] is not None:
-            add("fact_telemetry", telemetry_facts(raw["telemetry"], drivers, telemetry_stride, hot_rows))
-            add("telemetry_spatial", spatial_facts(raw["telemetry"], drivers, spatial_stride, hot_rows))
+            # Numbered once and stored: only the samples that one of the two tables takes.
+            placed = load.scratch(placed_samples(raw["telemetry"], drivers, [telemetry_stride, spatial_stride], hot_rows), "samples")
+            add("fact_telemetry", telemetry_rows(placed, telemetry_stride))
+            add("telemetry_spatial", spatial_rows(placed, spatial_stride))
     if raw["weather"] is not None:
         add("fact_weather", weather_facts(raw["weather"]))
     if raw["track_status"] is not None:
@@ -387,34 +404,32 @@ def build_warehouse(
     if raw["session_status"] is not None:
         add("fact_session_status", session_status_facts(raw["session_status"]))
 
-    # Numbers, not subqueries: the files that they come from may be replaced.
-    parts, after = [], stored("f1_raw_documents").agg(F.coalesce(F.max("doc_id"), F.lit(0))).first()[0]
+    parts, after = [], load.read("f1_raw_documents").agg(F.coalesce(F.max("doc_id"), F.lit(0))).first()[0]
     if info is not None:
         parts.append(info_documents(with_event(row_ids(info, "doc_id", after))))
         after += info.agg(F.coalesce(F.max("_row"), F.lit(-1)) + 1).first()[0]
     if messages is not None:
         parts.append(message_documents(with_event(row_ids(messages, "doc_id", after))))
     if parts:
-        store_documents(reduce(DataFrame.unionByName, parts), events.where(F.col("session_id").isin(list(_ended(spark, out)))), out)
+        load.append(new_documents(reduce(DataFrame.unionByName, parts), of_events(load.read("f1_raw_documents"), events)), "f1_raw_documents")
     if messages is not None:
-        numbered = row_ids(messages, "doc_id", highest(stored("f1_messages"), "msg_id"))
-        store_messages(with_event(numbered), out, encoder)
-    sessions.select("session_id").distinct().write.mode("append").parquet(f"{out}/{ENDED}")
-    return read_warehouse(spark, out)
+        numbered = row_ids(messages, "doc_id", highest(load.read("f1_messages"), "msg_id"))
+        load.replace(embedded_messages(with_event(numbered), encoder), "f1_messages")
+    load.append(sessions.select("session_id").distinct(), ENDED)
+    return True
 
 
-def store_documents(documents: DataFrame, ended: DataFrame, out: str) -> None:
-    """Replace the documents of events whose load has not ended, which a load that broke off may have left in parts.
+def of_events(stored: DataFrame, events: DataFrame) -> DataFrame:
+    """Stored rows of the given events. A small ``events`` is broadcast and leaves the folders of other events unread."""
+    return stored.join(events.select("event_id"), "event_id", "left_semi")
 
-    Events in ``ended`` keep their documents and ids, and get those of kinds that they do not have.
-    """
-    replace_events(documents.join(ended, "event_id", "left_anti"), out, "f1_raw_documents")
-    kinds = read_table(documents.sparkSession, out, "f1_raw_documents").join(ended, "event_id", "left_semi").select("event_id", "doc_type").distinct()
-    added = documents.join(ended, "event_id", "left_semi").join(kinds, ["event_id", "doc_type"], "left_anti")
-    write_table(added, out, "f1_raw_documents")
+
+def new_documents(documents: DataFrame, stored: DataFrame) -> DataFrame:
+    """Documents of kinds that their event does not have yet; stored ones keep their ids."""
+    return documents.join(stored.select("event_id", "doc_type").distinct(), ["event_id", "doc_type"], "left_anti")
 
 
-def store_messages(messages: DataFrame, out: str, encoder=None) -> None:
-    """Embed the messages, as vectors of length 1, and replace those of the same events."""
+def embedded_messages(messages: DataFrame, encoder=None) -> DataFrame:
+    """Cleaned messages with their embedding as a vector of length 1."""
     embedded = message_rows(messages).withColumn("embedding", embed("embed_text", encoder))
-    replace_events(embedded.withColumn("embedding", unit(F.col("embedding")).cast("array<float>")), out, "f1_messages")
+    return embedded.withColumn("embedding", unit(F.col("embedding")).cast("array<float>"))

@@ -91,11 +91,24 @@ def test_replace_one_event(spark, tmp_path):
     root = str(tmp_path)
     rows = [(1, 1.0, "a"), (2, 1.0, "b")]
     make = lambda r: spark.createDataFrame(r, "event_id bigint, time_sec double, status string")
-    tables.write_table(make(rows), root, "fact_session_status")
-    tables.replace_events(make([(2, 5.0, "c"), (2, 6.0, "d")]), root, "fact_session_status")
-    got = sorted((r.event_id, float(r.time_sec), r.status) for r in tables.read_table(spark, root, "fact_session_status").collect())
-    assert got == [(1, 1.0, "a"), (2, 5.0, "c"), (2, 6.0, "d")]
-    assert tables.read_table(spark, root, "fact_lap").count() == 0
+    stored = lambda: sorted((r.event_id, float(r.time_sec), r.status) for r in tables.read_warehouse(spark, root)["fact_session_status"].collect())
+    load = tables.Load(spark, root)
+    load.append(make(rows), "fact_session_status")
+    load.replace(make([(2, 5.0, "c"), (2, 6.0, "d")]), "fact_session_status")
+    assert stored() == []  # not before the commit
+    load.commit()
+    assert stored() == [(1, 1.0, "a"), (2, 5.0, "c"), (2, 6.0, "d")]
+    later = tables.Load(spark, root)
+    later.replace(make([(2, 7.0, "e"), (3, 1.0, "f")]), "fact_session_status")
+    later.append(make([(1, 2.0, "g")]), "fact_session_status")
+    assert len(stored()) == 3
+    later.commit()
+    assert stored() == [(1, 1.0, "a"), (1, 2.0, "g"), (2, 7.0, "e"), (3, 1.0, "f")]
+    assert tables.read_warehouse(spark, root)["fact_lap"].count() == 0
+    first, second = tables.Load(spark, root), tables.Load(spark, root)
+    first.commit()
+    with pytest.raises(tables.CommitConflict):
+        second.commit()
 
 
 def test_feed_is_stored(spark, tmp_path):

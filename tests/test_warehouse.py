@@ -9,6 +9,7 @@ from sixfold import schema
 from sixfold.operators import documents, graph, quality, relational, spatial, timeseries, vector
 from sixfold.plans import demo, views, warehouse
 from sixfold.plans.warehouse import build_warehouse
+from sixfold.sources import tables
 from sixfold.sources.tables import read_warehouse
 from tests.bronze_files import telemetry, write_all, write_session
 
@@ -205,27 +206,85 @@ def test_second_load_keeps_keys(spark, loaded, monkeypatch):
     assert {n: df.count() for n, df in again.items()} == counts
 
 
-def test_broken_load_is_taken_up_again(spark, tmp_path, monkeypatch):
+def contents(spark, out):
+    return {name: sorted(map(str, df.collect())) for name, df in read_warehouse(spark, out).items()}
+
+
+def small(tmp_path):
     bronze, out = str(tmp_path / "bronze"), str(tmp_path / "out")
     (tmp_path / "bronze").mkdir()
-    write_all(bronze)
-    build_warehouse(spark, bronze, out)
-    kept = {(r.doc_id, r.payload) for r in read_warehouse(spark, out)["f1_raw_documents"].collect()}
-    write_session(bronze, 2025, "Monza", [(4, "NOR", "McLaren", 1, "Finished")], [("NOR", 1, 90.0, 1, "SOFT", 1, 2)], telemetry(4, 20))
-
-    def broken(*_):
-        raise RuntimeError("stopped")
-
-    with monkeypatch.context() as m, pytest.raises(RuntimeError, match="stopped"):
-        m.setattr(warehouse, "message_documents", broken)
-        build_warehouse(spark, bronze, out, refresh=False)
-    tables = read_warehouse(spark, out)
-    monza = tables["dim_event"].where("session_id = '2025_Monza_R'").first().event_id
-    if tables["f1_raw_documents"].where(F.col("event_id") == monza).isEmpty():  # stopped between documents
-        half = spark.createDataFrame([(1000, "session_info", monza, None, "{}"), (1001, "race_control_message", monza, None, "{}")], schema.struct("f1_raw_documents"))
-        warehouse.write_table(half, out, "f1_raw_documents")
-    found = build_warehouse(spark, bronze, out, refresh=False)["f1_raw_documents"].collect()
-    assert kept < {(r.doc_id, r.payload) for r in found} and len({r.doc_id for r in found}) == len(found) == len(kept) + 4
-    assert sorted(r.doc_type for r in found if r.event_id == monza) == ["race_control_message"] * 3 + ["session_info"]
-    again = build_warehouse(spark, bronze, out, refresh=False, only=["2025_Monza_R"])["f1_raw_documents"].collect()
-    assert sorted(again) == sorted(found)
+    write_session(bronze, 2024, "Monaco", [(4, "NOR", "RedBull", 2, "Finished")], [("NOR", 1, 80.0, 1, "SOFT", 1, 2)], telemetry(4, 25))
+    return bronze, out
+
+
+def test_a_load_that_breaks_off_changes_nothing(spark, tmp_path, monkeypatch):
+    bronze, out = small(tmp_path)
+    old = build_warehouse(spark, bronze, out)
+    write_session(bronze, 2025, "Monza", [(4, "NOR", "McLaren", 1, "Finished"), (12, "ANT", "Mercedes", 2, "Fire")], [("ANT", 1, 90.0, 1, "C6", 1, 2)], telemetry(12, 20))
+    before, real = contents(spark, out), tables.Load.append
+    for refresh, after in ((True, 3), (False, 11)):
+        writes = []
+
+        def append(self, df, table):
+            if len(writes) == after:
+                raise RuntimeError("stopped")
+            writes.append(table)
+            return real(self, df, table)
+
+        with monkeypatch.context() as m, pytest.raises(RuntimeError, match="stopped"):
+            m.setattr(tables.Load, "append", append)
+            build_warehouse(spark, bronze, out, refresh=refresh)
+        assert contents(spark, out) == before
+    begun, commit = [], tables.Load.commit
+
+    def late(self):  # another load ends first: this one is refused and begins anew
+        begun.append(self.base.version)
+        if len(begun) == 1:
+            other = tables.Load(spark, out)
+            other.append(spark.createDataFrame([(7, "MON", 99, "X", "X", "X", "X")], schema.struct("dim_driver")), "dim_driver")
+            commit(other)
+            assert [r.driver_code for r in read_warehouse(spark, out)["dim_driver"].orderBy("driver_id").collect()] == ["NOR", "MON"]
+        return commit(self)
+
+    monkeypatch.setattr(tables.Load, "commit", late)
+    whole = build_warehouse(spark, bronze, out, refresh=False)
+    assert begun == [1, 2] and tables.latest(spark, out).version == 3
+    assert sorted((r.driver_code, r.driver_id) for r in whole["dim_driver"].collect()) == [("ANT", 8), ("MON", 7), ("NOR", 1)]
+    assert [r for r in quality.constraint_report(whole).collect() if r.violations] == []
+    docs = {(r.doc_id, r.payload) for r in whole["f1_raw_documents"].collect()}
+    assert {(r.doc_id, r.payload) for r in old["f1_raw_documents"].collect()} < docs and len({d for d, _ in docs}) == len(docs) == 8
+    assert old["dim_event"].count() == 1 and whole["dim_event"].count() == 2  # each as of its commit
+    kept = contents(spark, out)
+    assert tables.remove_unused(spark, out, hours=-1) and contents(spark, out) == kept and tables.remove_unused(spark, out, hours=-1) == []
+
+
+def test_only_folders_of_the_loading_events_are_read(spark, tmp_path):
+    """The plan does not grow with the events, and prunes by what the other side holds when it runs."""
+    root = str(tmp_path)
+    load = tables.Load(spark, root)
+    columns = {"event_id": F.col("id"), "time_sec": F.lit(1.0), "status": F.lit("x")}
+    load.append(spark.range(1, 41).select(*[c.alias(n) for n, c in columns.items()]), "fact_session_status")
+    sizes = []
+    for n in (2, 30):
+        events = load.scratch(spark.range(1, n + 1).select(F.col("id").alias("event_id")), f"events{n}").where("event_id > 0")
+        some = warehouse.of_events(load.read("fact_session_status"), events)
+        assert some.count() == n
+        plan = some._jdf.queryExecution().executedPlan().toString()
+        assert "dynamicpruning" in plan.lower()
+        sizes.append(len(plan))
+    assert abs(sizes[0] - sizes[1]) < 100
+
+
+def test_telemetry_is_read_and_sorted_once(spark, tmp_path, monkeypatch):
+    scans, placed, rows = [], warehouse.placed_samples, warehouse.telemetry_rows
+
+    def check(df, stride):
+        plan = rows(df, stride)._jdf.queryExecution().optimizedPlan().toString()
+        assert "Window" not in plan and "csv" not in plan and "parquet" in plan
+        return rows(df, stride)
+
+    monkeypatch.setattr(warehouse, "placed_samples", lambda *a: scans.append(a[2]) or placed(*a))
+    monkeypatch.setattr(warehouse, "telemetry_rows", check)
+    t = build_warehouse(spark, *small(tmp_path), telemetry_stride=3, spatial_stride=5)
+    assert scans == [[3, 5]]
+    assert t["fact_telemetry"].count() == 9 and t["telemetry_spatial"].count() == 5
