@@ -1,5 +1,8 @@
 """Sessions whose files have different headers."""
 
+from pyarrow import fs
+
+from sixfold.sources import bronze
 from sixfold.sources.bronze import read_dataset
 
 
@@ -24,3 +27,38 @@ def test_each_file_by_its_own_header(spark, tmp_path):
     }
     numbers = [r._row for r in got.collect()]
     assert len(set(numbers)) == len(numbers)
+
+
+def test_only_the_beginning_of_a_file_is_read(spark, tmp_path, monkeypatch):
+    name = "laps_2024 Ü+[x]_R.csv"
+    long = "c" * 40_000  # a header longer than what is read at once
+    (tmp_path / name).write_bytes(f"Time,{long}\r\n".encode() + b"1.0,2\r\n" * 5_000_000)
+    (tmp_path / "laps_B.csv").write_text("Time,Driver")
+    (tmp_path / "laps_C.csv").write_text("")
+    files = bronze._files(spark, str(tmp_path), "laps", "csv", None)
+    assert sorted((r.path.rpartition("/")[2], r.line) for r in bronze.first_lines(files).collect()) == [(name, f"Time,{long}"), ("laps_B.csv", "Time,Driver")]
+    taken = []
+
+    class Counting:
+        def open_input_stream(self, place, buffer_size):
+            stream = fs.LocalFileSystem().open_input_stream(place, buffer_size=buffer_size)
+            read = stream.read
+
+            class Stream:
+                __enter__ = lambda self: self
+                __exit__ = lambda *a: stream.close()
+
+                def read(self, n):
+                    out = read(n)
+                    taken.append(len(out))
+                    return out
+
+            return Stream()
+
+    monkeypatch.setattr(bronze, "file_system", lambda path: (Counting(), path))
+    assert bronze.first_line(str(tmp_path / name)) == f"Time,{long}" and sum(taken) < 3 * bronze.HEAD + 1
+    # Where Arrow cannot open a path, Spark's reader finds the same lines.
+    monkeypatch.setattr(bronze, "file_system", lambda path: (_ for _ in ()).throw(OSError()))
+    (tmp_path / name).write_text("Time,Driver\n1,2\n")
+    files = bronze._files(spark, str(tmp_path), "laps", "csv", {"2024 Ü+[x]_R", "B"})
+    assert sorted((r.path.rpartition("/")[2], r.line) for r in bronze.first_lines(files).collect()) == [(name, "Time,Driver"), ("laps_B.csv", "Time,Driver")]
