@@ -1,4 +1,5 @@
 import json
+import random
 
 from sixfold.operators import documents as docs
 
@@ -43,18 +44,54 @@ def test_tree(spark):
 def test_trees_of_all_depths(spark):
     # Objects k/k/.../k and arrays [0][0]...[0] with a scalar at the bottom, and quoted brackets that are no levels.
     rows = []
-    for depth in (9, 30):
+    for depth in (9, 30, 1000):
         rows += [(depth, '{"k":' * depth + "1" + "}" * depth), (-depth, "[" * depth + "1" + "]" * depth)]
     rows.append((0, r'{"a": "{[{[\\" , "b\\"{": 2}'.replace("\\\\", "\\")))
     df = spark.createDataFrame(rows, "doc_id int, payload string")
     got = docs.flatten_tree(df).collect()
-    for depth in (9, 30):
+    for depth in (9, 30, 1000):
         chain = {"/".join(["k"] * i) for i in range(depth + 1)}
         assert {r.id for r in got if r.doc_id == depth} == chain
         assert {r.id for r in got if r.doc_id == -depth} == {"[0]" * i for i in range(depth + 1)}
         assert [r.label for r in got if r.doc_id == depth and r.id.count("/") == depth - 1] == ["k: 1"]
 
 
+def plain_tree(value, name="", parent="", label="root"):
+    """The nodes of a parsed document, one call per node."""
+    nested = isinstance(value, (dict, list))
+    shown = "" if nested else str(value)
+    out = [(name, parent, label if nested or label.startswith("[") or not name else f"{label}: {shown[:25]}", int(bool(name)))]
+    if isinstance(value, dict):
+        for k, v in value.items():
+            out += plain_tree(v, f"{name}/{k}" if name else k, name, k)
+    elif isinstance(value, list):
+        for i, v in enumerate(value[:5]):
+            out += plain_tree(v, f"{name}[{i}]", name, f"[{i}]")
+    return out
+
+
+def test_trees_against_a_plain_walk(spark):
+    rng = random.Random(3)
+    texts = ["", "x", 'quote " in', "back\\slash", "end\\", "tab\t", "{[", "]}", "\ue000", "\ue001", "\\\ue001\"", "a: b,", "ü" * 40, "x/y", "null"]
+
+    def value(depth):
+        kind = rng.random()
+        if depth and kind < 0.35:
+            return {rng.choice(texts[1:]) + str(i): value(depth - 1) for i in range(rng.randint(0, 6))}
+        if depth and kind < 0.6:
+            return [value(depth - 1) for _ in range(rng.randint(0, 8))]
+        return rng.choice([*texts, 1, -20, 12345678901, True, False, None])
+
+    values = [value(6) for _ in range(150)] + [{f"k{i}": i for i in range(3000)}, {"a": [{"b": list(range(9))}] * 9}, {"s": "\\n\"" * 30_000}]
+    rows = [(i, json.dumps(v, ensure_ascii=i % 2 == 0, indent=rng.choice([None, 2]))) for i, v in enumerate(values)]
+    df = docs.flatten_tree(spark.createDataFrame(rows, "doc_id int, payload string"), root="root")
+    got = {}
+    for r in df.collect():
+        got.setdefault(r.doc_id, []).append((r.id, r.parent, r.label, r.value))
+    for i, v in enumerate(values):
+        assert sorted(got[i]) == sorted(plain_tree(v)), rows[i][1][:300]
+
+
 def test_paths_and_bad_values(spark):
     df = spark.createDataFrame([(1, '{"Lap": 12, "a": {"b": [5, 6]}}'), (2, '{"Lap": "twelve"}'), (3, "no json"), (4, None)], "doc_id int, payload string")
     got = docs.json_fields(df, {"lap": ("$.Lap", "double"), "six": ("$.a.b[1]", "int")}).orderBy("doc_id").collect()
