@@ -63,7 +63,7 @@ _TOKEN = r'"[^"]*+"\s*+:?|[\[\]{}]|[^\s\[\]{}:,"]++'
 #: Tokens whose nodes are gathered before they are added to all others, so that adding does not copy all nodes for each token.
 _RUN = 512
 _OPEN = "array<struct<id:string,items:boolean,n:int,hidden:boolean>>"
-_NODES = "array<struct<id:string,parent:string,name:string,item:boolean,raw:string>>"
+_FOUND = "array<struct<id:string,parent:string,name:string,item:boolean,raw:string>>"
 
 
 def tokens(payload: Column | str) -> Column:
@@ -81,10 +81,9 @@ def _written(token: Column) -> Column:
 
 def _key(token: Column) -> Column:
     """The name in a key token."""
-    bare = F.regexp_extract(token, r'^"([^"]*+)"', 1)
-    escaped = bare.contains("\\") | bare.contains(_BACKSLASH) | bare.contains(_QUOTE)
-    quoted = F.concat(F.lit('"'), _written(bare), F.lit('"'))
-    return F.when(escaped, F.try_variant_get(F.try_parse_json(quoted), "$", "string")).otherwise(bare)
+    escaped = token.rlike(f"[\\\\{_BACKSLASH}{_QUOTE}]")
+    quoted = F.rtrim(F.substring(_written(token), F.lit(1), F.char_length(_written(token)) - 1))
+    return F.when(escaped, F.try_variant_get(F.try_parse_json(quoted), "$", "string")).otherwise(F.get(F.split(token, '"'), F.lit(1)))
 
 
 def _step(state: Column, token: Column) -> Column:
@@ -106,46 +105,109 @@ def _step(state: Column, token: Column) -> Column:
     counted = F.when(below, F.concat(outer, F.array(F.struct(top["id"].alias("id"), top["items"].alias("items"), (top["n"] + 1).alias("n"), top["hidden"].alias("hidden"))))).otherwise(stack)
     opened = F.concat(counted, F.array(F.struct(name.alias("id"), (first == "[").alias("items"), F.lit(0).alias("n"), hidden.alias("hidden"))))
     return F.struct(
-        F.when(is_key, stack).when(closes, outer).when(opens, opened).otherwise(counted).cast(_OPEN).alias("stack"),
+        F.when(is_key, stack).when(closes, outer).when(opens, opened).otherwise(counted).alias("stack"),
         F.when(is_key, _key(token)).otherwise(state["key"]).alias("key"),
-        F.when(is_key | closes | hidden | ~below, state["nodes"]).otherwise(F.concat(state["nodes"], F.array(node))).cast(_NODES).alias("nodes"),
+        F.when(is_key | closes | hidden | ~below, state["nodes"]).otherwise(F.concat(state["nodes"], F.array(node))).alias("nodes"),
     )
 
 
 def _state(stack: Column, key: Column, nodes: Column) -> Column:
-    return F.struct(stack.cast(_OPEN).alias("stack"), key.cast("string").alias("key"), nodes.cast(_NODES).alias("nodes"))
+    return F.struct(stack.alias("stack"), key.alias("key"), nodes.alias("nodes"))
 
 
-def tree_nodes(found: Column) -> Column:
-    """The nodes below the root of one JSON text from its tokens: one pass with a stack of the containers that are open."""
+def _below_root(payload: str) -> Column:
+    """All nodes below the root of a JSON text, from its tokens: one pass with a stack of the containers that are open."""
+    found = tokens(payload)
 
     def run(state: Column, at: Column) -> Column:
         some = F.slice(found, at * _RUN + 1, F.lit(_RUN))
-        after = F.aggregate(some, _state(state["stack"], state["key"], F.array()), _step)
+        after = F.aggregate(some, _state(state["stack"], state["key"], F.array().cast(_FOUND)), _step)
         # As the item of an array the result is worked out once, however often it is looked into.
         return F.element_at(F.transform(F.array(after), lambda x: _state(x["stack"], x["key"], F.concat(state["nodes"], x["nodes"]))), 1)
 
+    def shown(made: Column) -> Column:
+        value = F.substring(scalar_text(F.try_parse_json(_written(made["raw"]))), 1, LABEL_CHARS)
+        label = F.when(made["item"] | made["raw"].isNull(), made["name"]).otherwise(F.concat(made["name"], F.lit(": "), value))
+        return _node(made["id"], made["parent"], label, 1, F.lit(None).cast("variant"))
+
     runs = F.sequence(F.lit(0), F.floor((F.size(found) - 1) / _RUN).cast("int"))
-    return F.aggregate(runs, _state(F.array(), F.lit(None), F.array()), run, lambda state: state["nodes"])
+    every = F.aggregate(runs, _state(F.array().cast(_OPEN), F.lit(None).cast("string"), F.array().cast(_FOUND)), run, lambda state: state["nodes"])
+    return F.transform(every, shown)
+
+
+#: Texts of at most so many levels are unfolded as variants, level after level; deeper ones in a pass over their tokens.
+LEVELS = 4
+
+
+def deeper_than(payload: str, levels: int) -> Column:
+    """Whether objects and arrays of a JSON text are nested in more levels: innermost pairs of brackets are taken out level by level."""
+    bare = F.regexp_replace(F.regexp_replace(payload, r"(?s)\\.", ""), '"[^"]*+"', "")
+    left = F.regexp_replace(bare, r"[^\[\]{}]++", "")
+    for _ in range(levels):
+        left = F.regexp_replace(left, r"\[\]|\{\}", "")
+    return left != ""
 
 
-def flatten_tree(df: DataFrame, payload: str = "payload", keep: Sequence[str] = ("doc_id",), root: str = "session_info") -> DataFrame:
+def flatten_tree(df: DataFrame, payload: str = "payload", keep: Sequence[str] = ("doc_id",), root: str = "session_info", levels: int = LEVELS) -> DataFrame:
     """Each JSON document as a tree: ``id``, ``parent``, ``label``, ``value`` per node, plus a root with value 0.
 
     Object members are ``parent/key``, array items ``parent[i]`` (the first five only). The label of a scalar member ends in its
-    first 25 characters; numbers are shown as the variant type writes them (``1.0`` as ``1``). All levels are opened in one pass over a
-    text's tokens, so the plan is the same for any depth. A text that Spark's parser does not take (no JSON, a key repeated within one
-    object, over 1000 levels) gives no rows.
+    first 25 characters; numbers are shown as the variant type writes them (``1.0`` as ``1``). The plan is the same for any depth: texts of
+    up to ``levels`` levels are unfolded one level after the other, deeper ones in one pass over their tokens. A text that
+    Spark's parser does not take (no JSON, a key repeated within one object, over 1000 levels) gives no rows.
     """
     keep = list(keep)
-    texts = df.where(F.try_parse_json(payload).isNotNull()).select(*keep, tokens(payload).alias("_tokens"))
-    top = F.struct(F.lit("").alias("id"), F.lit(None).cast("string").alias("parent"), F.lit("").alias("name"), F.lit(False).alias("item"), F.lit(None).cast("string").alias("raw"))
-    nodes = texts.select(*keep, F.explode(F.concat(F.array(top).cast(_NODES), tree_nodes(F.col("_tokens")))).alias("_node"))
-    node = F.col("_node")
-    shown = F.concat(node["name"], F.lit(": "), F.substring(scalar_text(F.try_parse_json(_written(node["raw"]))), 1, LABEL_CHARS))
-    is_root = node["parent"].isNull()
-    label = F.when(is_root, F.lit(root)).when(node["item"] | node["raw"].isNull(), node["name"]).otherwise(shown)
-    return nodes.select(*keep, node["id"].alias("id"), F.coalesce(node["parent"], F.lit("")).alias("parent"), label.alias("label"), F.when(is_root, 0).otherwise(1).alias("value"))
+    document, none = F.col("_document"), F.lit(None).cast("variant")
+    parsed = df.select(*keep, payload, F.try_parse_json(payload).alias("_document")).where(document.isNotNull())
+    top = lambda node: F.array(_node(F.lit(""), F.lit(""), F.lit(root), 0, node))
+    whole = F.when(deeper_than(payload, levels), F.concat(top(none), _below_root(payload))).otherwise(top(document))
+    nodes = parsed.select(*keep, F.explode(whole).alias("_node"))
+    for _ in range(levels):
+        node = F.col("_node")
+        closed = _node(node["id"], node["parent"], node["label"], node["value"], none)
+        opened = F.when(node["open"].isNull(), F.array(node)).otherwise(F.concat(F.array(closed), _children(node)))
+        nodes = nodes.select(*keep, F.explode(opened).alias("_node"))
+    return nodes.select(*keep, "_node.id", "_node.parent", "_node.label", "_node.value")
+
+
+_NODES = "array<struct<id:string,parent:string,label:string,value:int,open:variant>>"
+
+
+def _node(name: Column, parent: Column, label: Column, value: int | Column, node: Column) -> Column:
+    value = F.lit(value) if isinstance(value, int) else value
+    return F.struct(name.alias("id"), parent.alias("parent"), label.alias("label"), value.alias("value"), node.alias("open"))
+
+
+def _members(node: Column) -> Column:
+    return F.map_entries(F.try_variant_get(node, "$", "map<string,variant>"))
+
+
+def _items(node: Column) -> Column:
+    return F.try_variant_get(node, "$", "array<variant>")
+
+
+def _nested(node: Column) -> Column:
+    """Whether the node is an object or an array: those are written with a bracket, and a text that begins with one is no such kind."""
+    return F.substring(F.to_json(node), 1, 1).isin("{", "[")
+
+
+def _children(row: Column) -> Column:
+    """The nodes right below one node; none below a scalar. Only objects and arrays stay open."""
+    parent, node = row["id"], row["open"]
+
+    def member(entry: Column) -> Column:
+        key, value = entry["key"], entry["value"]
+        name = F.when(parent == "", key).otherwise(F.concat(parent, F.lit("/"), key))
+        shown = F.concat(key, F.lit(": "), F.substring(scalar_text(value), 1, LABEL_CHARS))
+        return _node(name, parent, F.when(_nested(value), key).otherwise(shown), 1, F.when(_nested(value), value))
+
+    def item(value: Column, at: Column) -> Column:
+        place = F.concat(F.lit("["), at.cast("string"), F.lit("]"))
+        return _node(F.concat(parent, place), parent, place, 1, F.when(_nested(value), value))
+
+    members = F.transform(_members(node), member)
+    items = F.transform(F.slice(_items(node), 1, ARRAY_ITEMS), item)
+    return F.coalesce(members, items, F.array().cast(_NODES))
 
 
 def scalar_text(node: Column) -> Column:

@@ -84,12 +84,13 @@ def test_trees_against_a_plain_walk(spark):
 
     values = [value(6) for _ in range(150)] + [{f"k{i}": i for i in range(3000)}, {"a": [{"b": list(range(9))}] * 9}, {"s": "\\n\"" * 30_000}]
     rows = [(i, json.dumps(v, ensure_ascii=i % 2 == 0, indent=rng.choice([None, 2]))) for i, v in enumerate(values)]
-    df = docs.flatten_tree(spark.createDataFrame(rows, "doc_id int, payload string"), root="root")
-    got = {}
-    for r in df.collect():
-        got.setdefault(r.doc_id, []).append((r.id, r.parent, r.label, r.value))
-    for i, v in enumerate(values):
-        assert sorted(got[i]) == sorted(plain_tree(v)), rows[i][1][:300]
+    df = spark.createDataFrame(rows, "doc_id int, payload string")
+    for levels in (0, 2, docs.LEVELS):
+        got = {}
+        for r in docs.flatten_tree(df, root="root", levels=levels).collect():
+            got.setdefault(r.doc_id, []).append((r.id, r.parent, r.label, r.value))
+        for i, v in enumerate(values):
+            assert sorted(got[i]) == sorted(plain_tree(v)), rows[i][1][:300]
 
 
 def test_paths_and_bad_values(spark):
