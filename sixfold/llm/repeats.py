@@ -20,8 +20,8 @@ from sixfold.llm.textscan import VALUES, Texts, pieces, span_hash, sums
 MODULUS, COVER = 57, (0, 1, 3, 13, 32, 36, 43, 52)
 #: Bytes of text of one block, and of the blocks that one task writes.
 BLOCK, FILE = 4 << 20, 16 << 20
-#: A chunk ends where a hash of so many bytes is 0 modulo ``CHUNK``: at the same places in equal texts.
-MARK, CHUNK = 16, 64
+#: A chunk ends where the leading bits of a product of so many bytes are 0: at the same places in equal texts.
+MARK, CHUNK_BITS = 8, 6
 #: About as many names are compared by one task.
 NAMES = 4_000_000
 
@@ -43,6 +43,12 @@ class Block:
     def _name(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
         return span_hash(self.c, start, end)
 
+    def _marks(self) -> np.ndarray:
+        """Whether a chunk ends at a place: by the ``MARK`` bytes from there alone."""
+        buf = self.texts.buf
+        words = np.ndarray(max(len(buf) - MARK + 1, 0), f"<u{MARK}", np.ascontiguousarray(buf), strides=(1,))
+        return (words * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - CHUNK_BITS) == 0
+
     def chunks(self) -> np.ndarray:
         """Names of the chunks of all starts: a chunk with all strings that begin in it."""
         starts = np.flatnonzero(self.open)
@@ -50,7 +56,7 @@ class Block:
             self.a = self.b = starts
             return np.zeros(0, np.uint64)
         begins = np.append(True, np.diff(starts) > 1)
-        begins |= self._name(starts, starts + MARK) % np.uint64(CHUNK) == 0
+        begins |= self._marks()[starts]
         ends = np.append(np.flatnonzero(begins)[1:], len(starts)) - 1
         self.a, self.b = starts[begins], starts[ends] + 1
         return self._name(self.a, self.b + self.size - 1)

@@ -1,7 +1,8 @@
 """Words and byte windows of Arrow string columns as numpy arrays: no Python object per word.
 
-Hashes are 64-bit polynomials over random byte values, finished by a bit mixer. Equal words always have equal hashes; two different
-words share one with a chance of about 2**-60.
+Hashes are two polynomials over random byte values modulo the prime 2**31 - 1, with two random bases, put together and finished by a bit
+mixer. Equal words always have equal hashes; two different words of n bytes share one with a chance of at most about (n / 2**31)**2,
+whatever their structure: a field has no such zero divisors as the whole numbers modulo 2**64, where whole families of texts collide.
 """
 
 from __future__ import annotations
@@ -11,13 +12,20 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 
+from sixfold.llm.store import bounded_batches
+
 #: Bytes of text that are worked on at once; a longer text is worked on alone.
-PIECE = 1 << 20
+PIECE = 1 << 19
 
+#: The modulus, a Mersenne prime: a remainder takes a shift and a sum.
+PRIME = (1 << 31) - 1
+_P, _S = np.uint64(PRIME), np.uint64(31)
 _rng = np.random.default_rng(20240229)
-VALUES = _rng.integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+#: For each byte its value in either polynomial.
+VALUES = _rng.integers(1, PRIME, (256, 2), dtype=np.uint64)
+BASES = [int(x) for x in _rng.integers(1 << 20, PRIME - 1, 2)]
 STEP = np.uint64(0x9E3779B97F4A7C15)
-_powers: list[np.ndarray] = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
+_powers: list[list[np.ndarray]] = []
 
 
 def _byte_map(lower: bool) -> np.ndarray:
@@ -36,15 +44,33 @@ ALNUM = np.zeros(256, bool)
 ALNUM[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = True
 
 
-def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """The powers of the step and of its inverse modulo 2**64, at least ``n`` of each."""
-    if len(_powers[0]) < n:
+def powers(n: int) -> list[list[np.ndarray]]:
+    """For either base its powers and those of its inverse, at least ``n`` of each."""
+    if not _powers or len(_powers[0][0]) < n:
         size = max(n, 2 * PIECE)
-        for k, base in enumerate((STEP, np.uint64(pow(int(STEP), -1, 1 << 64)))):
-            p = np.full(size, base, np.uint64)
-            p[0] = 1
-            _powers[k] = np.multiply.accumulate(p)
-    return _powers[0], _powers[1]
+        _powers[:] = [[_powers_of(b, size), _powers_of(pow(b, -1, PRIME), size)] for b in BASES]
+    return _powers
+
+
+def _powers_of(base: int, n: int) -> np.ndarray:
+    out = np.ones(n, np.uint64)
+    have = 1
+    while have < n:
+        more = min(have, n - have)
+        out[have : have + more] = remainder(out[:more] * np.uint64(pow(base, have, PRIME)))
+        have += more
+    return out
+
+
+def _folded(x: np.ndarray) -> np.ndarray:
+    """The same modulo ``PRIME``; below 2**33 for any ``x``, and below 2**32 for a product of two remainders."""
+    return (x & _P) + (x >> _S)
+
+
+def remainder(x: np.ndarray) -> np.ndarray:
+    x = _folded(_folded(x))
+    np.subtract(x, _P, out=x, where=x >= _P)
+    return x
 
 
 def mix(h: np.ndarray) -> np.ndarray:
@@ -55,17 +81,43 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(32))
 
 
-def sums(buf: np.ndarray, table: np.ndarray) -> np.ndarray:
-    """Running sums from which ``span_hash`` takes the hash of any span."""
-    out = np.zeros(len(buf) + 1, np.uint64)
-    np.cumsum(table[buf] * powers(len(buf))[0][: len(buf)], out=out[1:])
+#: Bytes or spans that are worked on together: what they need stays in a core's cache.
+_RUN = 1 << 14
+
+
+def sums(buf: np.ndarray, table: np.ndarray) -> list[np.ndarray]:
+    """Running sums from which ``span_hash`` takes the hash of any span; ``table`` has a row per byte, as ``VALUES``."""
+    out = []
+    for k, (up, _) in enumerate(powers(len(buf))):
+        values, c, high = np.ascontiguousarray(table[:, k]), np.zeros(len(buf) + 1, np.uint64), np.empty(_RUN, np.uint64)
+        for a in range(0, len(buf), _RUN):
+            x = values[buf[a : a + _RUN]]
+            x *= up[a : a + len(x)]
+            np.right_shift(x, _S, out=high[: len(x)])
+            x &= _P
+            x += high[: len(x)]  # below 2**32
+            x[0] += c[a]
+            np.cumsum(x, out=c[a + 1 : a + 1 + len(x)])
+        out.append(c)
     return out
 
 
-def span_hash(c: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+def span_hash(c: list[np.ndarray], start: np.ndarray, end: np.ndarray) -> np.ndarray:
     """Hash of the bytes [start, end) of the text that ``sums`` has read; the length counts too."""
-    h = (c[end] - c[start]) * powers(len(c))[1][start]
-    return mix(h + (end - start).astype(np.uint64) * np.uint64(0xA0761D6478BD642F))
+    h, down = np.empty(len(start), np.uint64), [d for _, d in powers(len(c[0]))]
+    for a in range(0, len(start), _RUN):
+        first, last = start[a : a + _RUN], end[a : a + _RUN]
+        both = np.zeros(len(first), np.uint64)
+        for one, inverse in zip(c, down):
+            x = one[last]
+            x -= one[first]
+            x = _folded(_folded(x))  # below 2**31 + 4
+            x *= inverse[first]
+            both <<= np.uint64(32)
+            both |= remainder(x)
+        both += (last - first).astype(np.uint64) * np.uint64(0xA0761D6478BD642F)
+        h[a : a + _RUN] = mix(both)
+    return h
 
 
 class Texts:
@@ -116,13 +168,14 @@ def windows(words: Words, h: np.ndarray, size: int) -> tuple[np.ndarray, np.ndar
     if n <= 0:
         return np.zeros(0, np.uint64), np.zeros(0, np.int64)
     at = np.flatnonzero(words.text[:n] == words.text[size - 1 :])
-    return mix(run_hash(h, at, size)), at
+    return run_hash(h, at, size), at
 
 
 def run_hash(h: np.ndarray, at: np.ndarray, size: int) -> np.ndarray:
+    """Hash of ``size`` hashes in a row from each place; mixed at every step, so no sum of them cancels another."""
     out = np.zeros(len(at), np.uint64)
     for k in range(size):
-        out = out * STEP + h[at + k]
+        out = mix(out * STEP + h[at + k])
     return out
 
 
@@ -148,6 +201,7 @@ def extend(docs, work: Callable[[pa.RecordBatch, Texts], dict], new: dict[str, t
     """
     from pyspark.sql import types as T
 
+    bounded_batches(docs.sparkSession)
     kept = [f for f in docs.schema if f.name not in without and f.name not in new]
     schema = T.StructType(kept + [T.StructField(name, T._parse_datatype_string(kind)) for name, (kind, _) in new.items()])
     names = [f.name for f in kept]

@@ -19,6 +19,8 @@ MAX_TRAIN = 12_000
 #: Features of one classifier.
 MAX_FEATURES = 2_000
 FOLDS = 3
+#: Weight of the squared coefficients.
+RIDGE = 1e-5
 
 
 def features(texts: Texts) -> tuple[np.ndarray, np.ndarray]:
@@ -47,21 +49,21 @@ def logit(p: np.ndarray) -> np.ndarray:
     return np.log(p / (1 - p))
 
 
-def telling(row: np.ndarray, feature: np.ndarray, y: np.ndarray, inside: np.ndarray) -> np.ndarray:
-    """The ``MAX_FEATURES`` features whose log odds ratio stands out most from its standard error."""
+def telling(row: np.ndarray, feature: np.ndarray, y: np.ndarray, inside: np.ndarray, most: int) -> np.ndarray:
+    """The ``most`` features whose log odds ratio stands out most from its standard error."""
     used, place = np.unique(feature, return_inverse=True)
     n1, n0 = (inside & (y > 0)).sum() + 1.0, (inside & (y <= 0)).sum() + 1.0
     a = np.bincount(place, weights=y[row] > 0, minlength=len(used)) + 0.5
     b = np.bincount(place, weights=y[row] <= 0, minlength=len(used)) + 0.5
     ratio = np.log(a / (n1 - a + 0.5)) - np.log(b / (n0 - b + 0.5))
     z = np.abs(ratio) / np.sqrt(1 / a + 1 / b + 1 / (n1 - a + 0.5) + 1 / (n0 - b + 0.5))
-    return np.sort(used[np.argsort(-z, kind="stable")[:MAX_FEATURES]])
+    return np.sort(used[np.argsort(-z, kind="stable")[:most]])
 
 
-def fit_logistic(row: np.ndarray, feature: np.ndarray, dense: np.ndarray, y: np.ndarray, weight: np.ndarray, rounds: int = 300, l2: float = 1e-5):
+def fit_logistic(row: np.ndarray, feature: np.ndarray, dense: np.ndarray, y: np.ndarray, weight: np.ndarray, rounds: int = 300, l2: float = RIDGE, most: int = MAX_FEATURES):
     """Logistic regression over binary features (pairs of row and feature) and some dense columns, by full-batch Adam."""
     inside = weight > 0
-    used = telling(row, feature, y, inside)
+    used = telling(row, feature, y, inside, most)
     found = np.isin(feature, used)
     row, place, n = row[found], np.searchsorted(used, feature[found]), len(y)
     size = len(used) + dense.shape[1] + 1
@@ -80,31 +82,46 @@ def fit_logistic(row: np.ndarray, feature: np.ndarray, dense: np.ndarray, y: np.
 
 
 class Chain:
-    """Fitted links in order: (category, feature weights, weights of the logits of the links before, intercept)."""
+    """Fitted links in order: (category, and per model feature weights, weights of the logits of the links before, intercept).
+
+    Models 0 to ``folds - 1`` did not see their fold, the last one saw all rows. A link's answer comes from the last one. What it hands
+    on to later links comes from the model that did not see the text's fold, as in training: else a text that a model was fitted on
+    would hand on a certainty that the later links never met.
+    """
 
     def __init__(self, links: list):
         self.links = links
 
-    def score(self, texts: Texts) -> dict[str, np.ndarray]:
+    def score(self, texts: Texts, fold: np.ndarray) -> dict[str, np.ndarray]:
         text, feature = features(texts)
-        out, before = {}, []
+        out, before, any_word = {}, [], np.bincount(text, minlength=texts.n) > 0
         for name, weights, extra, intercept in self.links:
-            z = np.bincount(text, weights=weights[feature], minlength=texts.n) + intercept
-            for c, earlier in zip(extra, before):
-                z = z + c * earlier
-            p = np.where(np.bincount(text, minlength=texts.n) > 0, sigmoid(z), 0.0)
-            before.append(logit(p))
-            out[name] = p
+
+            def p(model: np.ndarray) -> np.ndarray:
+                z = np.bincount(text, weights=weights[model[text], feature], minlength=texts.n) + intercept[model]
+                for k, earlier in enumerate(before):
+                    z = z + extra[model, k] * earlier
+                return np.where(any_word, sigmoid(z), 0.0)
+
+            out[name] = p(np.full(texts.n, len(weights) - 1))
+            if len(out) < len(self.links):
+                before.append(logit(p(fold)))
         return out
 
 
-def fit_chain(docs: DataFrame, labels: DataFrame, categories: Sequence[str], max_train: int = MAX_TRAIN, folds: int = FOLDS) -> Chain:
+def fold_of(text: str, folds: int):
+    """The fold of a text: copies of it share one, whatever their ids."""
+    return F.pmod(F.xxhash64(F.lit(6), text), F.lit(folds)).cast("int")
+
+
+def fit_chain(docs: DataFrame, labels: DataFrame, categories: Sequence[str], max_train: int = MAX_TRAIN, folds: int = FOLDS, max_features: int = MAX_FEATURES, ridge: float = RIDGE) -> Chain:
     """Fit one classifier per category, in order, on a bounded sample of the labelled ``docs`` (``doc_id, text``);
     ``labels`` has one row per ``doc_id`` with a 0/1 column per category.
 
     The later classifiers also see the logits of the earlier categories. What they see in training comes from models that did not have
     that row (out of fold), so it is as uncertain as it will be on new texts. Of about ``max_train`` rows, every category's rarer and
-    commoner value get equal shares, chosen by a hash of the id; weights undo this. Every model is fitted in a task of its own.
+    commoner value get equal shares, chosen by a hash of the id; weights undo this. Of the hashed features the ``max_features`` that tell
+    most get a weight. Every model is fitted in a task of its own.
     Rows with a null text or a null label are left out.
     """
     there = docs.where("text IS NOT NULL").select("doc_id")
@@ -115,30 +132,34 @@ def fit_chain(docs: DataFrame, labels: DataFrame, categories: Sequence[str], max
     chance = F.greatest(*[F.coalesce(*[F.when(F.col(c) == v, F.lit(min(1.0, share / n))) for (d, v), n in sizes.items() if d == c], F.lit(0.0)) for c in categories], F.lit(0.0))
     unit = F.shiftrightunsigned(F.xxhash64(F.lit(5), "doc_id"), 11) / F.lit(float(1 << 53))
     chosen = known.withColumn("chance", chance).where(unit < F.col("chance"))  # about max_train rows of a few numbers
-    sample = docs.select("doc_id", "text").where("text IS NOT NULL").join(F.broadcast(chosen), "doc_id")
+    sample = docs.select("doc_id", "text").where("text IS NOT NULL").join(F.broadcast(chosen), "doc_id").withColumn("fold", fold_of("text", folds))
 
     def encode(_, texts: Texts) -> dict:
         text, feature = features(texts)
         return {"features": np.split(feature.astype(np.int32), np.searchsorted(text, np.arange(1, texts.n)))}
 
     encoded = extend(sample, encode, {"features": ("array<int>", pa.list_(pa.int32()))}, without=("text",))
-    fold = F.pmod(F.xxhash64(F.lit(6), "doc_id"), F.lit(folds)).cast("int")
-    rows = cut(encoded.withColumn("fold", fold).withColumn("row", F.monotonically_increasing_id()))
+    rows = cut(encoded.withColumn("row", F.monotonically_increasing_id()))
     copies = rows.withColumn("model", F.explode(F.sequence(F.lit(0), F.lit(folds))))
 
     links, seen = [], {}
     for k, category in enumerate(categories):
-        fit = _link_fitter(category, dict(seen), k, folds)
-        fitted = copies.groupBy("model").applyInPandas(fit, "model int, weights binary, extra array<double>, intercept double, rows array<bigint>, p array<double>").collect()
+        fit = _link_fitter(category, dict(seen), k, max_features, ridge)
+        # Nothing comes after the last link, so it needs the model of all rows only.
+        fitted = copies.where(F.col("model") >= (folds if k == len(categories) - 1 else 0)).groupBy("model").applyInPandas(fit, "model int, weights binary, extra array<double>, intercept double, rows array<bigint>, p array<double>").collect()
+        first = min((f.model for f in fitted), default=0)
+        weights, extra, intercept = np.zeros((folds + 1 - first, 1 << BITS), np.float32), np.zeros((folds + 1 - first, k)), np.zeros(folds + 1 - first)
         for f in fitted:
-            if f.model == folds:
-                links.append((category, np.frombuffer(bytes(f.weights), np.float32), list(f.extra), f.intercept))
+            at = f.model - first
+            weights[at], extra[at], intercept[at] = np.frombuffer(bytes(f.weights), np.float32), f.extra, f.intercept
             for r, p in zip(f.rows, f.p):
                 seen[r] = [*seen.get(r, []), p]
+        if fitted:
+            links.append((category, weights, extra, intercept))
     return Chain(links)
 
 
-def _link_fitter(category: str, earlier: dict[int, list[float]], k: int, folds: int):
+def _link_fitter(category: str, earlier: dict[int, list[float]], k: int, most: int, ridge: float):
     """Fits one model of a link on the rows outside its fold and predicts the rows of the fold; model number ``folds`` sees all rows."""
 
     def fit(pdf):
@@ -150,8 +171,9 @@ def _link_fitter(category: str, earlier: dict[int, list[float]], k: int, folds:
         y, inside = pdf[category].to_numpy(float), pdf["fold"].to_numpy() != model
         lengths = np.array([len(f) for f in pdf["features"]], np.int64)
         row, feature = np.repeat(np.arange(len(pdf)), lengths), np.concatenate([*pdf["features"], np.zeros(0, np.int32)]).astype(np.int64)
-        weight = inside / pdf["chance"].to_numpy() if inside.any() else np.ones(len(pdf))
-        weights, extra, intercept = fit_logistic(row[inside[row]], feature[inside[row]], dense, y, weight)
+        weight = inside / pdf["chance"].to_numpy() if inside.any() else np.ones(len(pdf))  # all rows in one fold: nothing else to fit on
+        known = inside if inside.any() else ~inside
+        weights, extra, intercept = fit_logistic(row[known[row]], feature[known[row]], dense, y, weight, l2=ridge, most=most)
         out = ~inside
         z = np.bincount(row, weights=weights[feature], minlength=len(pdf)) + dense @ extra + intercept
         return pd.DataFrame(
@@ -161,22 +183,25 @@ def _link_fitter(category: str, earlier: dict[int, list[float]], k: int, folds:
     return fit
 
 
-def score_toxicity(docs: DataFrame, labels: DataFrame, categories: Sequence[str], max_train: int = MAX_TRAIN) -> DataFrame:
+def score_toxicity(docs: DataFrame, labels: DataFrame, categories: Sequence[str], max_train: int = MAX_TRAIN, folds: int = FOLDS, **how) -> DataFrame:
     """``docs`` with ``p_<category>`` (double) for each category: fitted on the labelled documents, applied to all of them.
 
     ``docs`` has ``doc_id, text``; ``labels`` has ``doc_id`` and a 0/1 column for each category, from weak to strong signal. Of several
-    labels of one document the largest counts. A null text, or one without words, has probability 0; without labelled rows all have.
+    labels of one document the largest counts. Earlier links hand on to later ones what a model says that saw neither the text nor a copy of it. A null text, or one without words, has probability 0; without labelled rows all have.
     Repeated rows are scored each. Texts are read twice and never shuffled whole; the model is one array of ``2**BITS`` per category.
     """
     known = labels.where("doc_id IS NOT NULL").groupBy("doc_id").agg(*[F.max(c).alias(c) for c in categories])
-    chain = fit_chain(docs.select("doc_id", "text"), known, categories, max_train)
+    chain = fit_chain(docs.select("doc_id", "text"), known, categories, max_train, folds, **how)
     shared = docs.sparkSession.sparkContext.broadcast(chain)
+    fold = "fold"
+    while fold in docs.columns:
+        fold += "_"
 
-    def work(_, texts: Texts) -> dict:
-        p = shared.value.score(texts)
+    def work(part: pa.RecordBatch, texts: Texts) -> dict:
+        p = shared.value.score(texts, np.asarray(part.column(part.schema.get_field_index(fold))))
         return {f"p_{c}": p.get(c, np.zeros(texts.n)) for c in categories}
 
-    return extend(docs, work, {f"p_{c}": ("double", pa.float64()) for c in categories})
+    return extend(docs.withColumn(fold, fold_of("text", folds)), work, {f"p_{c}": ("double", pa.float64()) for c in categories}, without=(fold,))
 
 
 def label_columns(labels: DataFrame) -> DataFrame:
