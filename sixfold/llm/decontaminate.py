@@ -170,7 +170,7 @@ def _automata(benchmark: DataFrame, window: int, max_tokens: int):
 def find_items(docs: DataFrame, benchmark: DataFrame, window: int = 10, max_tokens: int = MAX_TOKENS) -> DataFrame:
     """Mark the words of ``docs`` (with ``text``) that lie in a window of a test item of ``benchmark`` (``item_id, text``).
 
-    Returns the rows of ``docs`` with ``__n_words`` (bigint), ``__spans`` (word places from 0, end excluded, merged) and ``__items``
+    Returns the rows of ``docs`` with (in place of columns of these names) ``__n_words`` (bigint), ``__spans`` (word places from 0, end excluded, merged) and ``__items``
     (their ids as strings, sorted). The test items are a stated set: up to ``max_tokens`` words of them go to the tasks as one
     automaton, a larger set is cut into parts and the documents pass once for each. Documents are never shuffled.
 
@@ -205,7 +205,9 @@ def remove_items(docs: DataFrame, benchmark: DataFrame, window: int = 10, max_co
     A span goes from the first byte of its first word to the last byte of its last word; what stands between spans stays. Columns are
     those of ``docs``. See ``find_items`` for nulls and empty tables.
     """
-    marked = find_items(docs, benchmark, window)
+    # The other columns stand in one struct, so that none of them meets a name used here.
+    others = [F.col(f"`{c}`") for c in docs.columns if c != "text"]
+    marked = find_items(docs.select("text", F.struct(*others, F.lit(0).alias("__no_column")).alias("doc")), benchmark, window)
     length = F.aggregate("__spans", F.lit(0).cast("bigint"), lambda n, s: n + s[1] - s[0])
     kept = marked.where(length <= F.lit(max_coverage) * F.col("__n_words"))
 
@@ -221,10 +223,10 @@ def remove_items(docs: DataFrame, benchmark: DataFrame, window: int = 10, max_co
                     at = int(words.end[words.first[i] + b - 1])
                 text = b"".join([*parts, texts.buf[at : texts.at[i + 1]].tobytes()])
             out.append(None if text is None else text.decode())
-        return {"__text": out}
+        return {"cleaned": out}
 
-    cleaned = extend(kept, work, {"__text": ("string", pa.string())})
-    return cleaned.select(*[F.col("__text").alias("text") if c == "text" else F.col(f"`{c}`") for c in docs.columns])
+    cleaned = extend(kept, work, {"cleaned": ("string", pa.string())})
+    return cleaned.select(*[F.col("cleaned").alias("text") if c == "text" else F.col(f"doc.`{c}`") for c in docs.columns])
 
 
 def op6(spark, sf):

@@ -20,7 +20,7 @@ def drop_shared_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text
     dropped. Keys travel as 128 bits of hash. Only (document, position, hash) is shuffled to count and to decide; texts are shuffled
     once, to be put together again by position.
 
-    Returns the input's rows and columns with ``text`` replaced, and ``__n_lines`` and ``__n_dropped``.
+    Returns the input's rows and columns with ``text`` replaced, and ``__n_lines`` and ``__n_dropped`` (in place of columns of these names).
     A null text stays null (one empty line), an empty text is one empty line. Rows with the same id count as one document, each row is
     cut by itself. A row with a null id is counted nowhere and loses nothing. Copies within one document all go or all stay.
     """
@@ -42,18 +42,19 @@ def drop_shared_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text
         lines.join(shared, ["h1", "h2"])
         .where("id <> keeper")
         .groupBy("id", "row")
-        .agg(F.collect_set("pos").alias("__gone"))
-        .select(F.col("id").alias("__id"), F.col("row").alias("__row"), "__gone")
+        .agg(F.collect_set("pos").alias("gone"))
     )
-    found = docs.withColumn("__body", body).join(gone, (F.col(f"`{doc_id}`") == F.col("__id")) & (F.xxhash64("__body") == F.col("__row")), "left")
-    split = F.split("__body", "\n", -1)
+    # The input's columns stand in one struct, so that none of them meets a name used here.
+    whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"), body.alias("body"))
+    found = whole.join(gone, (F.col(f"doc.`{doc_id}`") == F.col("id")) & (F.xxhash64("body") == F.col("row")), "left")
+    split = F.split("body", "\n", -1)
     # array_except works with a hash set and keeps the order, so a text of many lines stays linear.
-    left = F.transform(F.array_except(F.sequence(F.lit(0), F.size(split) - 1), F.col("__gone")), lambda p: F.get(split, p))
-    out = F.when(F.col("__gone").isNull(), F.col(f"`{text}`")).otherwise(F.array_join(left, "\n"))
+    left = F.transform(F.array_except(F.sequence(F.lit(0), F.size(split) - 1), F.col("gone")), lambda p: F.get(split, p))
+    out = F.when(F.col("gone").isNull(), F.col(f"doc.`{text}`")).otherwise(F.array_join(left, "\n"))
     return found.select(
-        *[out.alias(c) if c == text else F.col(f"`{c}`") for c in docs.columns],
+        *[out.alias(c) if c == text else F.col(f"doc.`{c}`") for c in docs.columns if c not in ("__n_lines", "__n_dropped")],
         F.size(split).cast("long").alias("__n_lines"),
-        F.coalesce(F.size("__gone"), F.lit(0)).cast("long").alias("__n_dropped"),
+        F.coalesce(F.size("gone"), F.lit(0)).cast("long").alias("__n_dropped"),
     )
 
 

@@ -103,16 +103,16 @@ def mixed(docs: DataFrame, **how) -> DataFrame:
     the first of them, in an order by all columns, get one more.
     """
     key = F.xxhash64(F.isnull("doc_id"), "doc_id", F.isnull("source"), "source")
-    plan = mix(docs, **how).select(key.alias("__key"), F.col("row").alias("__row"), "size", "repeats")
-    least, size = F.min("repeats").alias("__least"), F.max("size").alias("__size")
-    given = plan.groupBy("__key", "__row").agg(least, size, F.sum("repeats").alias("__sum"), F.count("*").alias("__n")).where("__sum > 0")
+    plan = mix(docs, **how).select(key.alias("key"), "row", "size", "repeats")
+    given = plan.groupBy("key", "row").agg(F.min("repeats").alias("least"), F.max("size").alias("size"), F.sum("repeats").alias("sum"), F.count("*").alias("n")).where("sum > 0")
     kept = docs.drop("repeats", "taken")
     ordered = [F.col(f"`{f.name}`") for f in kept.schema if not any(t in f.dataType.simpleString() for t in ("map<", "variant"))]
-    met = kept.withColumns({"__key": key, "__row": F.xxhash64("text"), "__order": F.xxhash64(*ordered)}).join(given, ["__key", "__row"])
-    placed = met.withColumn("__place", F.row_number().over(Window.partitionBy("__key", "__row").orderBy("__order")))
-    more = F.col("__place") <= F.col("__sum") - F.col("__least") * F.col("__n")
-    shared = placed.withColumn("repeats", F.col("__least") + more.cast("long")).where("repeats > 0")
-    return shared.withColumn("taken", F.col("repeats") * F.col("__size")).select(*[F.col(f"`{c}`") for c in kept.columns], "repeats", "taken")
+    # The input's columns stand in one struct, so that none of them meets a name used here.
+    whole = kept.select(F.struct(*[F.col(f"`{c}`") for c in kept.columns]).alias("doc"), key.alias("key"), F.xxhash64("text").alias("row"), F.xxhash64(*ordered).alias("order"))
+    placed = whole.join(given, ["key", "row"]).withColumn("place", F.row_number().over(Window.partitionBy("key", "row").orderBy("order")))
+    more = F.col("place") <= F.col("sum") - F.col("least") * F.col("n")
+    shared = placed.withColumn("repeats", F.col("least") + more.cast("long")).where("repeats > 0")
+    return shared.select(*[F.col(f"doc.`{c}`") for c in kept.columns], "repeats", (F.col("repeats") * F.col("size")).alias("taken"))
 
 
 def op5(spark, sf):

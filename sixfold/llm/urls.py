@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 HOST = r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]+)"
-PATH = r"^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*(/[^/?#]*)"
+PATH = r"^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*(/[^?#]*)"
+#: Path and query, where there is a query.
+QUERY = r"^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*(/[^?#]*\?[^#]*)"
 #: Seconds of one bucket of time; an interval is one row for each bucket that it touches.
 BUCKET = 30 * 86400
 
@@ -24,27 +26,31 @@ def list_intervals(entries: DataFrame) -> DataFrame:
 
 
 def url_keys(url):
-    """Keys under which an address can be listed, the most specific first: host with the first part of the path, host, parent domains."""
+    """Keys under which an address can be listed, the most specific first: host with path and query, with the path, with each path above
+    it down to its first part, then the host and its parent domains."""
     host = F.rtrim(F.lower(F.regexp_extract(url, HOST, 1)), F.lit("."))
     labels = F.split(host, r"\.", -1)
     n = F.size(labels)
     parents = F.transform(F.sequence(F.lit(1), F.greatest(n - 1, F.lit(1))), lambda i: F.array_join(F.slice(labels, i, n - i + 1), "."))
-    path = F.regexp_extract(url, PATH, 1)
-    keys = F.when(F.length(path) > 1, F.concat(F.array(F.concat(host, path)), parents)).otherwise(parents)
-    return F.when(F.length(host) > 0, keys)
+    path, query = F.regexp_extract(url, PATH, 1), F.regexp_extract(url, QUERY, 1)
+    parts = F.split(path, "/", -1)  # the first one is empty
+    prefixes = F.transform(F.sequence(F.size(parts), F.lit(2), F.lit(-1)), lambda i: F.array_join(F.slice(parts, 1, i), "/"))
+    paths = F.concat(F.when(query != "", F.array(query)).otherwise(F.array().cast("array<string>")), F.when(F.length(path) > 1, prefixes).otherwise(F.array().cast("array<string>")))
+    return F.when(F.length(host) > 0, F.concat(F.transform(F.filter(paths, lambda p: F.length(p) > 1), lambda p: F.concat(host, p)), parents))
 
 
 def listed_at_fetch(captures: DataFrame, entries: DataFrame, extra: list[str] | None = None) -> DataFrame:
     """As-of join of every capture with the entries active when it was fetched.
 
     ``captures`` has ``url`` and ``fetched`` (timestamp) and the columns ``extra``. The most specific active key decides. Returns these
-    columns, ``listed_key``, ``listed_since``, ``action`` (all null if none is active) and ``blocked``.
+    columns (but for those named as the results), ``listed_key``, ``listed_since``, ``action`` (all null if none is active) and ``blocked``.
 
     Intervals and captures meet on (key, bucket of time), so one busy host is spread over time and its few intervals are the small
     side of a join that Spark can split. A null or malformed url and a null time match nothing; repeated rows stay repeated; without
     entries nothing is blocked.
     """
-    own = ["url", "fetched", *(extra or [])]
+    results = ("listed_key", "listed_since", "action", "blocked")
+    own = ["url", "fetched", *(c for c in extra or [] if c not in results)]
     seconds = F.unix_timestamp("fetched")
     spans = list_intervals(entries)
     newest = captures.agg(F.max(seconds)).first()[0] or 0
@@ -54,7 +60,9 @@ def listed_at_fetch(captures: DataFrame, entries: DataFrame, extra: list[str] |
         .withColumn("bucket", F.explode(F.sequence(F.floor(since / BUCKET), F.floor(F.least(until, F.lit(newest)) / BUCKET))))
         .select("key", "bucket", "action", "since", "until")
     )
-    asked = captures.select(*own, F.posexplode_outer(url_keys(F.col("url"))).alias("rank", "key")).withColumn("at", F.floor(seconds / BUCKET))
+    # The capture's columns stand in one struct, so that none of them meets a name used here.
+    whole = F.struct(*[F.col(f"`{c}`") for c in own]).alias("own")
+    asked = captures.select(whole, "fetched", F.floor(seconds / BUCKET).alias("at"), F.posexplode_outer(url_keys(F.col("url"))).alias("rank", "key"))
     joined = asked.join(
         spans.withColumnRenamed("key", "k"),
         (F.col("key") == F.col("k")) & (F.col("at") == F.col("bucket")) & (F.col("since") <= F.col("fetched")) & (F.col("until").isNull() | (F.col("fetched") < F.col("until"))),
@@ -62,15 +70,15 @@ def listed_at_fetch(captures: DataFrame, entries: DataFrame, extra: list[str] |
     )
     hit = F.when(F.col("action").isNotNull(), F.struct((-F.col("rank")).alias("order"), "key", "since", "action"))
     # A key has at most one interval at a time, so the first key's rows count the captures.
-    best = joined.groupBy(*own).agg(F.max(hit).alias("hit"), F.sum((F.coalesce("rank", F.lit(0)) == 0).cast("int")).alias("copies"))
-    return best.select(
-        *own,
+    best = joined.groupBy("own").agg(F.max(hit).alias("hit"), F.sum((F.coalesce("rank", F.lit(0)) == 0).cast("int")).alias("copies"))
+    each = best.select("own", "hit", F.explode(F.sequence(F.lit(1), F.col("copies"))))
+    return each.select(
+        *[F.col(f"own.`{c}`") for c in own],
         F.col("hit.key").alias("listed_key"),
         F.col("hit.since").alias("listed_since"),
         F.col("hit.action").alias("action"),
         F.coalesce(F.col("hit.action") == "block", F.lit(False)).alias("blocked"),
-        F.explode(F.sequence(F.lit(1), F.col("copies"))).alias("__copy"),
-    ).drop("__copy")
+    )
 
 
 def _number(text, size: int):
@@ -107,9 +115,11 @@ def op10(spark, sf):
 OP10_SQL = r"""WITH c AS (
   SELECT row_number() OVER () AS rid, page_id, url, TIMESTAMP '2024-01-01' + to_seconds(('0x' || md5(coalesce(url, ''))[1:8])::BIGINT % 31622400) AS fetched,
          rtrim(lower(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]+)', 1)), '.') AS host,
-         regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*(/[^/?#]*)', 1) AS path FROM pages),
-n AS (SELECT *, string_split(host, '.') AS labels FROM c WHERE host <> ''),
-k AS (SELECT rid, fetched, unnest(list_concat(CASE WHEN length(path) > 1 THEN [host || path] ELSE [] END,
+         regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*(/[^?#]*)', 1) AS path,
+         regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*(/[^?#]*\?[^#]*)', 1) AS query FROM pages),
+n AS (SELECT *, string_split(host, '.') AS labels, string_split(path, '/') AS parts FROM c WHERE host <> ''),
+k AS (SELECT rid, fetched, unnest(list_concat(CASE WHEN query <> '' THEN [host || query] ELSE [] END,
+        list_transform(list_filter(list_transform(range(2, len(parts) + 1), lambda i: array_to_string(parts[:i], '/')), lambda p: length(p) > 1), lambda p: host || p),
         list_transform(range(1, greatest(len(labels) - 1, 1) + 1), lambda i: array_to_string(labels[i:], '.')))) AS key FROM n),
 names AS (SELECT key, 'x' AS x FROM k GROUP BY key HAVING ('0x' || md5(key)[1:8])::BIGINT % 3 = 0),
 e AS (SELECT key, unnest([0, 60, 120]) AS add, ('0x' || md5('since ' || key)[1:8])::BIGINT % 17280000 AS start,

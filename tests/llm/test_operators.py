@@ -250,6 +250,32 @@ def test_urls(spark):
     assert got == [(1, True, "b.com"), (1, True, "b.com"), (2, False, None), (3, False, None), (4, False, None)]
 
 
+def test_entries_of_any_path(spark):
+    url = "http://User@B.com/x/1/y.html?q=1#top"
+    listed = ["b.com/x/1/y.html?q=1", "b.com/x/1/y.html", "b.com/x/1", "b.com/x", "b.com"]
+    assert spark.createDataFrame([(url,)], "url string").select(urls.url_keys(F.col("url"))).first()[0] == listed
+    captures = spark.createDataFrame([(url, "2024-03-01"), ("http://b.com/x/1", "2024-03-01"), ("http://b.com/x1", "2024-03-01")], "url string, fetched string").withColumn("fetched", F.to_timestamp("fetched"))
+    for key in listed[:-1]:
+        entries = spark.createDataFrame([(key, "2024-01-01", "block")], "key string, since string, action string").withColumn("since", F.to_timestamp("since"))
+        got = {r.url: r.listed_key for r in urls.listed_at_fetch(captures, entries).where("blocked").collect()}
+        assert got == {u: key for u in (url, "http://b.com/x/1") if u == url or key in listed[2:]}
+    names = ["key", "since", "until", "action", "rank", "k", "at", "bucket", "hit", "copies", "own", "listed_key", "copy of the row"]
+    odd = captures.selectExpr("*", *[f"'{n}' AS `{n}`" for n in names])
+    got = urls.listed_at_fetch(odd, entries, names)
+    assert got.count() == 3 and all(r[n] == n for r in got.collect() for n in names if n not in ("action", "listed_key"))
+    assert urls.listed_at_fetch(captures.where("false"), entries).count() == 0 and urls.listed_at_fetch(captures, entries.where("false")).where("blocked").count() == 0
+
+
+def test_names_that_are_used_inside(spark, docs):
+    names = ["__gone", "__id", "__row", "__body", "id", "row", "gone", "body", "doc", "pos", "h1", "keeper", "__key", "key", "order", "place", "least", "sum", "__spans", "__items", "__n_words", "__text", "cleaned", "n"]
+    odd = docs.selectExpr("doc_id", "text", "source", *[f"'{n}' AS `{n}`" for n in names])
+    bench = spark.createDataFrame([(1, "no such words")], "item_id bigint, text string")
+    for made in (lines.drop_shared_lines(odd), mixing.mixed(odd), decontaminate.remove_items(odd, bench)):
+        assert made.columns[: len(odd.columns)] == odd.columns
+        kept = made.collect()
+        assert kept and all(r[n] == n for r in kept for n in names)
+
+
 def test_empty_tables(spark, labels):
     empty = spark.createDataFrame([], SCHEMA)
     bench = spark.createDataFrame([], "item_id bigint, text string")
