@@ -1,19 +1,20 @@
 """Ordered windows (row number, previous, next, last seen, first, running sum) that survive a hot key.
 
 A plain ``Window.partitionBy(key).orderBy(t)`` sorts every row of one key in one task. Here a key that holds more than its
-share of the rows is cut along the order column into chunks; the window runs per (key, chunk), and one small row per chunk
+share of the rows is cut along the whole order into chunks; the window runs per (key, chunk), and one small row per chunk
 carries the value over each cut:
 
-* hot keys: more than ``max(hot_rows, total / MAX_HOT_KEYS)`` rows, so there are fewer than ``MAX_HOT_KEYS`` of them;
-* cuts: ``INTERVALS`` intervals of about equal row count, found from a sample of the rows, each cut again into equal widths;
-* carries: one row per chunk of a hot key, about ``INTERVALS`` per hot key (at most eight times that where few places exist).
-
-Both side tables therefore have a bounded number of rows whatever the data holds. The cuts are narrow and are broadcast; the
-carries hold whole values, so Spark measures them and chooses. Rows that are equal in the first order
-column stay in one chunk: give a column with many values first. Everything that decides a row's chunk
-(counts, extremes, a sample chosen by hash) is the same however often and in whatever order tasks run, so the branches of the
-plan and repeated tasks agree. Keys that are not hot keep the plain window, and with no hot key at all adaptive execution drops
-the extra branches as empty.
+* hot keys: more than a share, ``max(hot_rows, total / MAX_HOT_KEYS)`` rows, so there are fewer than ``MAX_HOT_KEYS`` of them;
+* cuts: places of sampled rows, ``CUTS`` for each share of rows that a key holds. A place is the row's values in all order columns,
+  so rows of one time are cut apart by the columns after it; only rows that are equal in all of them stay in one chunk;
+* carries: one row per chunk of a hot key.
+
+Counts and sample come from one read of the key and order columns: rows of a key are counted together, sampled ones one by one. A key
+holds ``CUTS`` cuts per share, so both side tables have at most ``2 * CUTS * MAX_HOT_KEYS`` entries whatever the data holds. The cuts
+are narrow and are broadcast, in blocks of ``BLOCK``, so that no row meets more than that many; the carries hold whole values, so Spark
+measures them and chooses. Everything that decides a row's chunk (counts, a sample chosen by hash) is the same however often and in
+whatever order tasks run, so the branches of the plan and repeated tasks agree. Keys that are not hot keep the plain window, and with
+no hot key at all adaptive execution drops the extra branches as empty.
 """
 
 from __future__ import annotations
@@ -26,8 +27,10 @@ from pyspark.sql import types as T
 
 HOT_ROWS = 1_000_000
 MAX_HOT_KEYS = 8192
-INTERVALS = 64
-SAMPLE = 100 * INTERVALS
+#: Cuts, and sampled rows, for each share of rows of a hot key.
+CUTS, SAMPLE = 2, 32
+#: Cuts of one block, a power of two; its square is at least ``CUTS * MAX_HOT_KEYS``.
+BLOCK = 128
 FLOOR = -1.0e300
 
 
@@ -57,47 +60,52 @@ def same_key(left: Iterable[Column], right: Iterable[Column]) -> Column:
 
 
 def _hot_cuts(df: DataFrame, keys: list[str], order: list[str], place: Column, hot_rows: int) -> DataFrame:
-    """One row per hot key: its cut points and how often each interval is cut again."""
+    """One row per hot key: the rising places where it is cut."""
     hot_keys = [f"_hot_{k}" for k in keys]
-    counts = df.groupBy(*[F.col(k).alias(h) for k, h in zip(keys, hot_keys)]).agg(F.count(F.lit(1)).alias("_n"))
+    sampled = F.pmod(F.xxhash64(*order), F.lit(max(1, hot_rows // SAMPLE))) == 0
+    picked = df.select(*[F.col(k).alias(h) for k, h in zip(keys, hot_keys)], F.when(sampled, F.struct(place.alias("place"))).alias("_at"))
+    # Places that are equal count once: they cannot be cut.
+    counts = picked.groupBy(*hot_keys, "_at").agg(F.count(F.lit(1)).alias("_n"))
     total = counts.agg(F.sum("_n").alias("_total"))
-    hot = counts.withColumn("_share", F.greatest(F.lit(float(hot_rows)), total.scalar() / float(MAX_HOT_KEYS))).where("_n > _share")
-    on_key = same_key([F.col(k) for k in keys], [F.col(h) for h in hot_keys])
-    # About SAMPLE rows per hot key, chosen by the hash of their place in the order. Equal places count once: they cannot be cut.
-    hashed = df.select(*keys, F.struct(place.alias("place"), F.xxhash64(*order).alias("hash")).alias("_at")).join(F.broadcast(hot), on_key)
-    sampled = hashed.groupBy(*hot_keys, "_n", "_share").agg(
-        F.expr("min(_at.place) AS _low"),
-        F.expr("max(_at.place) AS _high"),
-        F.expr(f"collect_set(if(pmod(_at.hash, greatest(floor(_n / {SAMPLE}), 1)) = 0, _at, null)) AS _sample"),
-    )
-    # With hardly any place sampled the intervals are wide: cut them into more widths instead.
-    return sampled.selectExpr(
-        *[f"`{h}`" for h in hot_keys],
-        "concat(array(_low), transform(sort_array(_sample), s -> s.place), array(_high)) AS _line",
-        f"ceil(_n / ({INTERVALS} * _share)) * if(size(_sample) < {INTERVALS}, 8, 1) AS _parts",
-    ).selectExpr(
-        *[f"`{h}`" for h in hot_keys],
-        f"transform(sequence(0, {INTERVALS}), i -> get(_line, cast(floor(i * (size(_line) - 1) / {INTERVALS}) AS int))) AS _cuts",
-        "_parts",
-    )
+    share = F.greatest(F.lit(float(hot_rows)), total.scalar() / float(MAX_HOT_KEYS))
+    hot = counts.groupBy(*hot_keys).agg(F.sum("_n").alias("_rows")).withColumn("_share", share).where("_rows > _share")
+    hot = hot.select(*[F.col(h).alias(f"_of{h}") for h in hot_keys], "_rows", "_share")
+    on_key = same_key([F.col(h) for h in hot_keys], [F.col(f"_of{h}") for h in hot_keys])
+    # Where a share is more than ``hot_rows``, the sample is thinned by as much.
+    thinned = F.expr(f"_n > 0 AND pmod(xxhash64(_at, 1), floor(_share / {hot_rows})) = 0")
+    lines = counts.join(F.broadcast(hot), on_key).groupBy(*hot_keys, "_rows", "_share").agg(F.collect_list(F.when(thinned, F.col("_at"))).alias("_sample"))
+    kept = [f"`{h}`" for h in hot_keys]
+    line = "transform(sort_array(_sample), s -> s.place) AS _line"
+    many = f"least(ceil({CUTS} * _rows / _share), size(_sample)) AS _m"
+    spread = "transform(sequence(1, greatest(_m, 1)), i -> get(_line, cast(floor((i - 0.5) * size(_line) / _m) AS int)))"
+    return lines.selectExpr(*kept, line, many).selectExpr(*kept, f"if(_m > 0, {spread}, _line) AS _cuts")
+
+
+def _at_or_before(cuts: str, out: str) -> list[str]:
+    """Expressions, each over the ones before, for how many of at most ``BLOCK`` rising cuts a place has reached, by halving."""
+    steps, at, step = [f"0 AS {out}_0"], 0, BLOCK
+    while step:
+        before, at = at, at + 1
+        steps.append(f"{out}_{before} + if(get({cuts}, {out}_{before} + {step - 1}) <= _place, {step}, 0) AS {out if step == 1 else f'{out}_{at}'}")
+        step //= 2
+    return steps
 
 
 def _with_chunk(df: DataFrame, keys: list[str], cuts: DataFrame, place: Column, how: str) -> DataFrame:
     """Add the chunk number within a hot key; it rises with the place. Other rows get NULL (left) or are dropped (inner)."""
-    on_key = same_key([F.col(k) for k in keys], [F.col(f"_hot_{k}") for k in keys])
+    hot_keys = [f"_hot_{k}" for k in keys]
+    of = [F.col(k) for k in keys]
     kept = [f"`{c}`" for c in df.columns]
-    found = df.withColumn("_place", place).join(F.broadcast(cuts), on_key, how)
-    # The last cut at or before the place, by halving.
-    steps, at, step = ["0 AS _interval_0"], 0, INTERVALS // 2
-    while step:
-        before, at = at, at + 1
-        steps.append(f"_interval_{before} + if(get(_cuts, _interval_{before} + {step}) <= _place, {step}, 0) AS _interval_{at}")
-        step //= 2
-    interval = f"_interval_{at}"
-    ratio = f"try_divide(_place - get(_cuts, {interval}), get(_cuts, {interval} + 1) - get(_cuts, {interval})) AS _ratio"
-    part = "CASE WHEN _ratio >= 1 THEN _parts - 1 WHEN _ratio > 0 THEN least(floor(_ratio * _parts), _parts - 1) ELSE 0 END"
-    chunk = f"CASE WHEN _cuts IS NOT NULL THEN {interval} * _parts + {part} END AS _chunk"
-    return found.selectExpr(*kept, *steps, ratio, chunk).select(*df.columns, "_chunk")
+    firsts = f"transform(sequence(1, greatest(1, ceil(size(_cuts) / {BLOCK}) - 1)), b -> get(_cuts, cast(b * {BLOCK} AS int))) AS _firsts"
+    coarse = cuts.selectExpr(*[f"`{h}`" for h in hot_keys], firsts)
+    parts = f"transform(sequence(0, greatest(0, ceil(size(_cuts) / {BLOCK}) - 1)), b -> struct(cast(b AS int) AS b, slice(_cuts, cast(b * {BLOCK} + 1 AS int), {BLOCK}) AS c))"
+    fine = cuts.selectExpr(*[f"`{h}` AS `_fine{h}`" for h in hot_keys], f"inline({parts}) AS (_b, _block)")
+    found = df.withColumn("_place", place).join(F.broadcast(coarse), same_key(of, [F.col(h) for h in hot_keys]), how)
+    found = found.selectExpr(*kept, "_place", "_firsts IS NOT NULL AS _is_hot", *_at_or_before("_firsts", "_part"))
+    found = found.select(*[F.col(c) for c in df.columns], "_place", F.expr("if(_is_hot, _part, null)").alias("_part"))
+    on_part = same_key(of, [F.col(f"_fine{h}") for h in hot_keys]) & (F.col("_part") == F.col("_b"))
+    found = found.join(F.broadcast(fine), on_part, how)
+    return found.selectExpr(*kept, "_part", *_at_or_before("_block", "_in")).selectExpr(*kept, f"_part * {BLOCK} + _in AS _chunk")
 
 
 def with_ordered(
@@ -119,7 +127,7 @@ def with_ordered(
     ``row_number`` names the 1-based number. The mappings give ``{new column: source column}``: ``previous`` / ``following`` are
     LAG / LEAD by one, ``last_seen`` the latest non-null value up to and including the row, ``first`` the value of the first row,
     ``running_sum`` the sum up to and including the row, ``key_sum`` the sum over the whole key. ``order`` should end in a unique
-    column, or ties are cut at random. ``hot_rows=None`` takes the plain window: only for groups whose size is bounded by construction.
+    column, or ties are numbered at random. ``hot_rows=None`` takes the plain window: only for groups whose size is bounded by construction.
     """
     keys, order = list(keys), list(order)
     previous, following, last_seen = dict(previous or {}), dict(following or {}), dict(last_seen or {})
@@ -131,7 +139,7 @@ def with_ordered(
 
     split = hot_rows is not None
     if split:
-        place = position(df, order[0])
+        place = F.struct(position(df, order[0]).alias("number"), *[F.col(c).alias(f"at_{i}") for i, c in enumerate(order)])
         cuts = _hot_cuts(df, keys, order, place, hot_rows)
         hot = _with_chunk(df, keys, cuts, place, "inner")
         df = _with_chunk(df, keys, cuts, place, "left")

@@ -92,3 +92,27 @@ def test_stride_restarts_per_key(spark):
 def test_text_order_is_refused(spark):
     with pytest.raises(TypeError):
         with_ordered(spark.createDataFrame([("a", "b")], "k string, t string"), ["k"], ["t"], row_number="rn")
+
+
+@pytest.mark.parametrize("names", [["t", "id"], ["t", "name", "id"]])
+def test_rows_of_one_time_are_cut_apart(spark, names):
+    from sixfold.operators import ordered
+
+    df = spark.range(20_000).select(
+        F.lit("hot").alias("k"), F.lit(7.0).alias("t"), (F.col("id") * 7919 % 20_000).alias("id"), F.concat(F.lit("n"), F.col("id") % 3).alias("name")
+    )
+    place = F.struct(*names)
+    cuts = ordered._hot_cuts(df, ["k"], names, place, 500)
+    sizes = ordered._with_chunk(df, ["k"], cuts, place, "inner").groupBy("_chunk").count()
+    assert sizes.agg(F.max("count")).first()[0] <= 500
+    how = dict(row_number="rn", previous={"before": "id"}, running_sum={"sum": "id"})
+    split = with_ordered(df, ["k"], names, hot_rows=500, **how)
+    plain = with_ordered(df, ["k"], names, hot_rows=None, **how)
+    assert sorted(map(str, split.collect())) == sorted(map(str, plain.collect()))
+
+
+def test_more_cuts_than_one_block(spark):
+    df = spark.range(12_000).select(F.lit(1).alias("k"), (F.col("id") % 500).cast("double").alias("t"), "id")
+    split = with_ordered(df, ["k"], ["t", "id"], row_number="rn", following={"next": "id"}, hot_rows=20)
+    plain = with_ordered(df, ["k"], ["t", "id"], row_number="rn", following={"next": "id"}, hot_rows=None)
+    assert sorted(map(str, split.collect())) == sorted(map(str, plain.collect()))
