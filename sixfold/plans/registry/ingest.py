@@ -94,19 +94,22 @@ def absent_orders(spark, sf):
 
 
 def constraints(spark, sf):
-    t = {name: table(spark, sf, name) for name in TABLES}
-    parts = [
-        quality.duplicate_keys(t["lineitem"], "lineitem", ["l_orderkey", "l_linenumber"]),
-        quality.duplicate_keys(t["orders"], "orders", ["o_orderkey"]),
-        quality.duplicate_keys(t["part"], "part", ["p_brand"], "unique"),
-        quality.orphans(t["lineitem"], "lineitem", "l_suppkey", t["supplier"], "supplier", "s_suppkey"),
-        quality.orphans(t["lineitem"], "lineitem", "l_partkey", t["part"].where("p_size < 40"), "part", "p_partkey"),
-        quality.orphans(t["orders"], "orders", "o_custkey", t["customer"], "customer", "c_custkey"),
-        quality.row_rules(t["events"], "events", ["event_id", "value"], ["props", "event_type"]),
-        quality.row_rules(t["embeddings"], "embeddings", ["vec_id"], vectors={"embedding": 64}),
-        quality.row_rules(t["embeddings"], "embeddings wide", vectors={"embedding": 384}),
+    t = {name: table(spark, sf, name) for name in ("lineitem", "orders", "part", "supplier", "customer", "events", "embeddings")}
+    small = t["part"].where("p_size < 40").select("p_partkey")
+    rules = [
+        quality.Rule("lineitem", "primary key", ("l_orderkey", "l_linenumber")),
+        quality.Rule("orders", "primary key", ("o_orderkey",)),
+        quality.Rule("part", "unique", ("p_brand",)),
+        quality.Rule("lineitem", "foreign key", ("l_suppkey",), parent=("supplier", "s_suppkey")),
+        quality.Rule("lineitem", "foreign key", ("l_partkey",), parent=("small", "p_partkey"), parent_name="part"),
+        quality.Rule("orders", "foreign key", ("o_custkey",), parent=("customer", "c_custkey")),
+        *[quality.Rule("events", "not null", (c,)) for c in ("event_id", "value")],
+        *[quality.Rule("events", "json", (c,)) for c in ("props", "event_type")],
+        quality.Rule("embeddings", "not null", ("vec_id",)),
+        quality.Rule("embeddings", "length", ("embedding",), length=64),
+        quality.Rule("embeddings", "length", ("embedding",), length=384, table="embeddings wide"),
     ]
-    return reduce(DataFrame.unionByName, parts)
+    return quality.rule_report(t | {"small": small}, rules)
 
 
 def repeated_lines(spark, sf):

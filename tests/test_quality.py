@@ -25,6 +25,46 @@ def test_four_violations(spark):
     assert quality.violating_rows(rows, ["id"]).count() == 3
 
 
+def test_rules_in_one_pass(spark):
+    rows = spark.createDataFrame(
+        [(1, 10, "{}", [1.0, 2.0, 3.0], 0.0), (1, 11, "{", [1.0], -0.0), (2, 99, None, None, 5.0), (3, 99, None, None, None), (None, None, '{"a":1}', [0.0, 0.0, 0.0], 7.0)],
+        "id int, parent int, payload string, v array<float>, d double",
+    )
+    t = {"t": rows, "p": spark.createDataFrame([(10,), (11,), (11,)], "pid bigint"), "none": rows.where("id > 100")}
+    rules = [
+        quality.Rule("t", "primary key", ("id",)),
+        quality.Rule("t", "unique", ("d",)),
+        quality.Rule("t", "unique", ("id", "parent")),
+        quality.Rule("p", "primary key", ("pid",)),
+        quality.Rule("t", "foreign key", ("parent",), parent=("p", "pid")),
+        quality.Rule("t", "foreign key", ("id",), parent=("p", "pid"), parent_name="other"),
+        quality.Rule("t", "foreign key", ("parent",), parent=("none", "id")),
+        quality.Rule("t", "not null", ("id",)),
+        quality.Rule("t", "json", ("payload",)),
+        quality.Rule("t", "length", ("v",), length=3),
+        quality.Rule("none", "primary key", ("id",)),
+        quality.Rule("none", "not null", ("id",), table="nothing"),
+    ]
+    report = quality.rule_report(t, rules)
+    assert sorted(map(tuple, report.collect())) == sorted([
+        ("t", "primary key id", 1), ("t", "unique d", 1), ("t", "unique id,parent", 0), ("p", "primary key pid", 1), ("t", "foreign key parent -> p.pid", 2),
+        ("t", "foreign key id -> other.pid", 4), ("t", "foreign key parent -> none.id", 4), ("t", "not null id", 1), ("t", "json payload", 1),
+        ("t", "length v = 3", 1), ("none", "primary key id", 0), ("nothing", "not null id", 0),
+    ])
+    with pytest.raises(TypeError):
+        quality.rule_report(t, [quality.Rule("t", "foreign key", ("payload",), parent=("p", "pid"))])
+
+
+def test_rules_scan_each_table_once(spark, tmp_path):
+    for name in ("child", "parent"):
+        spark.range(50).select(F.col("id"), (F.col("id") % 7).alias("ref")).write.parquet(str(tmp_path / name))
+    t = {name: spark.read.parquet(str(tmp_path / name)) for name in ("child", "parent")}
+    rules = [quality.Rule(n, kind, (c,)) for n in t for kind in ("primary key", "not null") for c in ("id", "ref")]
+    rules += [quality.Rule("child", "foreign key", (c,), parent=("parent", "id")) for c in ("id", "ref")]
+    plan = quality.rule_report(t, rules)._jdf.queryExecution().sparkPlan().toString()
+    assert plan.count("FileScan") == 2
+
+
 def test_counts(spark):
     got = {r.table_name: (r.table_type, r.row_count) for r in quality.table_counts({"dim_x": spark.range(3), "f1_messages": None, "telemetry_spatial": spark.range(1), "other": spark.range(2)}).collect()}
     assert got == {"dim_x": ("Dimension", 3), "f1_messages": ("Vector", 0), "telemetry_spatial": ("Spatial", 1), "other": ("Other", 2)}
