@@ -271,9 +271,5 @@ POINTS = """points AS (
 
 
 def point_drivers(spark: SparkSession, sf: str) -> DataFrame:
-    return table(spark, sf, "supplier").select(F.col("s_suppkey").alias("driver_id"), F.col("s_name").alias("driver_code"))
-
-
-def all_point_drivers(spark: SparkSession, sf: str) -> DataFrame:
     """A driver for every point."""
     return points(spark, sf).select("driver_id", F.concat(F.lit("DRIVER"), F.col("driver_id").cast("string")).alias("driver_code")).distinct()

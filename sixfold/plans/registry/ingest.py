@@ -177,23 +177,14 @@ def _everyone(ids, code):
 
 
 def lap_facts(spark, sf):
-    """Order lines as raw laps; suppliers are the drivers of one event."""
-    return _lap_facts(spark, sf, F.when(F.col("l_linenumber") < 7, F.concat(_text("l_linenumber"), F.lit(".0"))), _entries(spark, sf))
-
-
-def lap_facts_all(spark, sf):
-    """Every order line as a lap; all suppliers that the lines name drive."""
+    """Every order line as a raw lap; all suppliers that the lines name are the drivers of one event."""
     ids = table(spark, sf, "lineitem").select(F.col("l_suppkey").alias("id")).distinct()
     entries = _everyone(ids, F.concat(F.lit("SUPPLIER#"), F.lpad(_text("id"), 9, "0")))
-    return _lap_facts(spark, sf, F.concat(_text("l_linenumber"), F.lit(".0")), entries)
-
-
-def _lap_facts(spark, sf, lap_number, entries):
     lines = table(spark, sf, "lineitem").withColumn("_supplier", F.lpad(_text("l_suppkey"), 9, "0"))
     raw = lines.select(
         F.lit(1).cast("bigint").alias("event_id"),
         F.concat(F.lit("SUPPLIER#"), F.col("_supplier")).alias("Driver"),
-        lap_number.alias("LapNumber"),
+        F.concat(_text("l_linenumber"), F.lit(".0")).alias("LapNumber"),
         F.when(F.col("l_tax") > 0, _text("l_quantity")).alias("LapTime"),
         F.when(F.col("l_returnflag") == "A", " soft ").when(F.col("l_returnflag") == "N", "c6").alias("Compound"),
         F.col("l_linestatus").alias("TrackStatus"),
@@ -212,25 +203,16 @@ def _lap_facts(spark, sf, lap_number, entries):
 
 
 def _raw_telemetry(spark, sf):
-    at = F.when(F.col("event_type") != "error", _text("event_id"))
-    return _telemetry_cells(spark, sf, F.col("user_id") % 100, at, F.when(F.col("event_type") != "view", _text("value")))
-
-
-def _raw_telemetry_all(spark, sf):
     """Every event is a sample with a time and a place, of its own user."""
-    return _telemetry_cells(spark, sf, F.col("user_id"), _text("event_id"), _text("value"))
-
-
-def _telemetry_cells(spark, sf, driver, at, x):
     return table(spark, sf, "events").select(
         F.lit(1).cast("bigint").alias("event_id"),
-        driver.cast("string").alias("Driver"),
+        _text("user_id").alias("Driver"),
         F.concat(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss"), F.lit("Z")).alias("Date"),
-        at.alias("SessionTime"),
+        _text("event_id").alias("SessionTime"),
         _text("value").alias("Speed"),
         F.get_json_object("props", "$.k").alias("RPM"),
         F.when(F.col("event_type") == "click", "True").alias("Brake"),
-        x.alias("X"),
+        _text("value").alias("X"),
         _text("user_id").alias("Y"),
     )
 
@@ -243,34 +225,18 @@ SAMPLE = ("driver_id", "sample_ts", "session_time_sec", "speed", "rpm", "brake",
 
 
 def telemetry_facts(spark, sf):
-    return wh.telemetry_facts(_raw_telemetry(spark, sf), _entries(spark, sf), stride=3).select(*SAMPLE)
-
-
-def telemetry_facts_all(spark, sf):
-    return wh.telemetry_facts(_raw_telemetry_all(spark, sf), _users(spark, sf), stride=3).select(*SAMPLE)
+    return wh.telemetry_facts(_raw_telemetry(spark, sf), _users(spark, sf), stride=3).select(*SAMPLE)
 
 
 def spatial_facts(spark, sf):
-    return wh.spatial_facts(_raw_telemetry(spark, sf), _entries(spark, sf), stride=4)
-
-
-def spatial_facts_all(spark, sf):
-    return wh.spatial_facts(_raw_telemetry_all(spark, sf), _users(spark, sf), stride=4)
+    return wh.spatial_facts(_raw_telemetry(spark, sf), _users(spark, sf), stride=4)
 
 
 def series_facts(spark, sf):
     """Weather, track status and session status from one table of raw cells."""
-    return _series_facts(spark, sf, F.when(F.col("event_type") != "error", _text("event_id")))
-
-
-def series_facts_all(spark, sf):
-    return _series_facts(spark, sf, _text("event_id"))
-
-
-def _series_facts(spark, sf, at):
     raw = table(spark, sf, "events").select(
         _weeks().alias("event_id"),
-        at.alias("Time"),
+        _text("event_id").alias("Time"),
         _text("value").alias("AirTemp"),
         F.get_json_object("props", "$.k").alias("TrackTemp"),
         F.when(F.col("event_type") == "click", "True").otherwise("False").alias("Rainfall"),
@@ -407,56 +373,23 @@ QUERIES = {
              CASE l_returnflag WHEN 'A' THEN 'SOFT' WHEN 'N' THEN 'C6' END AS compound_name,
              CASE l_returnflag WHEN 'A' THEN 'DRY' WHEN 'N' THEN 'OTHER' END AS compound_type,
              (CASE WHEN l_linestatus = 'O' THEN 1 ELSE 0 END)::BIGINT AS is_accurate, 0::BIGINT AS fresh_tyre, NULL::BIGINT AS track_status_code,
-             l_orderkey::DOUBLE AS lap_start_time_sec, round(l_discount + 1e-9, 1) AS speed_i1
-           FROM lineitem WHERE l_linenumber < 7 AND l_suppkey IN (SELECT s_suppkey FROM supplier)""",
+             l_orderkey::DOUBLE AS lap_start_time_sec, round(l_discount + 1e-9, 1) AS speed_i1 FROM lineitem""",
     ),
     "telemetry_facts": (
         telemetry_facts,
-        """SELECT user_id % 100 AS driver_id, date_trunc('second', ts)::TIMESTAMP AS sample_ts, event_id::DOUBLE AS session_time_sec, value AS speed,
-             json_extract_string(props, '$.k')::DOUBLE AS rpm, (CASE WHEN event_type = 'click' THEN 1 ELSE 0 END)::BIGINT AS brake,
-             CASE WHEN event_type <> 'view' THEN value END AS x, NULL::BIGINT AS n_gear
-           FROM (SELECT * FROM events WHERE event_type <> 'error'
-                 QUALIFY (row_number() OVER (PARTITION BY user_id % 100 ORDER BY event_id) - 1) % 3 = 0)
-           WHERE user_id % 100 IN (SELECT s_suppkey FROM supplier)""",
-    ),
-    "spatial_facts": (
-        spatial_facts,
-        """SELECT 1::BIGINT AS event_id, user_id % 100 AS driver_id, event_id::DOUBLE AS session_time_sec, value AS x, user_id::DOUBLE AS y, value AS speed,
-             NULL::DOUBLE AS throttle, (CASE WHEN event_type = 'click' THEN 1 ELSE 0 END)::BIGINT AS brake
-           FROM (SELECT * FROM events WHERE event_type <> 'error'
-                 QUALIFY (row_number() OVER (PARTITION BY user_id % 100 ORDER BY event_id) - 1) % 4 = 0)
-           WHERE event_type <> 'view' AND user_id % 100 IN (SELECT s_suppkey FROM supplier)""",
-    ),
-    "series_facts": (
-        series_facts,
-        """SELECT date_diff('day', DATE '2024-01-01', ts::DATE) // 7 + 1 AS event_id, e.event_id::DOUBLE AS time_sec, value AS air_temp,
-             k::DOUBLE AS track_temp, (CASE WHEN event_type = 'click' THEN 1 ELSE 0 END)::BIGINT AS rainfall, k::BIGINT AS status_code,
-             event_type AS status_message, k AS status
-           FROM (SELECT *, json_extract_string(props, '$.k') AS k FROM events) e WHERE event_type <> 'error'""",
-    ),
-    "lap_facts_all": (
-        lap_facts_all,
-        """SELECT l_suppkey AS driver_id, l_linenumber::BIGINT AS lap_number, CASE WHEN l_tax > 0 THEN l_quantity END AS lap_time_sec,
-             CASE l_returnflag WHEN 'A' THEN 'SOFT' WHEN 'N' THEN 'C6' END AS compound_name,
-             CASE l_returnflag WHEN 'A' THEN 'DRY' WHEN 'N' THEN 'OTHER' END AS compound_type,
-             (CASE WHEN l_linestatus = 'O' THEN 1 ELSE 0 END)::BIGINT AS is_accurate, 0::BIGINT AS fresh_tyre, NULL::BIGINT AS track_status_code,
-             l_orderkey::DOUBLE AS lap_start_time_sec, round(l_discount + 1e-9, 1) AS speed_i1 FROM lineitem""",
-    ),
-    "telemetry_facts_all": (
-        telemetry_facts_all,
         """SELECT user_id AS driver_id, date_trunc('second', ts)::TIMESTAMP AS sample_ts, event_id::DOUBLE AS session_time_sec, value AS speed,
              json_extract_string(props, '$.k')::DOUBLE AS rpm, (CASE WHEN event_type = 'click' THEN 1 ELSE 0 END)::BIGINT AS brake,
              value AS x, NULL::BIGINT AS n_gear
            FROM events QUALIFY (row_number() OVER (PARTITION BY user_id ORDER BY event_id) - 1) % 3 = 0""",
     ),
-    "spatial_facts_all": (
-        spatial_facts_all,
+    "spatial_facts": (
+        spatial_facts,
         """SELECT 1::BIGINT AS event_id, user_id AS driver_id, event_id::DOUBLE AS session_time_sec, value AS x, user_id::DOUBLE AS y, value AS speed,
              NULL::DOUBLE AS throttle, (CASE WHEN event_type = 'click' THEN 1 ELSE 0 END)::BIGINT AS brake
            FROM events e QUALIFY (row_number() OVER (PARTITION BY user_id ORDER BY e.event_id) - 1) % 4 = 0""",
     ),
-    "series_facts_all": (
-        series_facts_all,
+    "series_facts": (
+        series_facts,
         """SELECT date_diff('day', DATE '2024-01-01', ts::DATE) // 7 + 1 AS event_id, e.event_id::DOUBLE AS time_sec, value AS air_temp,
              k::DOUBLE AS track_temp, (CASE WHEN event_type = 'click' THEN 1 ELSE 0 END)::BIGINT AS rainfall, k::BIGINT AS status_code,
              event_type AS status_message, k AS status FROM (SELECT *, json_extract_string(props, '$.k') AS k FROM events) e""",
@@ -474,3 +407,6 @@ QUERIES = {
            FROM supplier JOIN nation ON s_nationkey = n_nationkey""",
     ),
 }
+
+#: Earlier names of the same queries.
+QUERIES |= {f"{name}_all": QUERIES[name] for name in ("lap_facts", "telemetry_facts", "spatial_facts", "series_facts")}

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from sixfold.operators import spatial as sp
-from sixfold.plans.inputs import POINTS, all_point_drivers, point_drivers, points
+from sixfold.plans.inputs import POINTS, point_drivers, points
 
 
 def proximity(spark, sf):
@@ -30,18 +30,16 @@ def centre_ratio(spark, sf):
     return found.select("session_time_sec", *[F.round(c, 6).alias(c) for c in ("center_lat", "center_lon", "ratio")])
 
 
-def _track(spark, sf, drivers=point_drivers, **options):
-    return sp.track_points(points(spark, sf), drivers(spark, sf), **options)
+def _track(spark, sf, **options):
+    return sp.track_points(points(spark, sf), point_drivers(spark, sf), **options)
 
 
 SECTOR = "CASE WHEN x > 800 AND y > 1000 THEN 'SECTOR_1' WHEN x < 200 AND y > 500 THEN 'SECTOR_2' ELSE 'SECTOR_3' END"
 
-NUMBERED = """joined AS (SELECT p.*, s_name AS driver_code FROM points p JOIN supplier ON driver_id = s_suppkey),
+NUMBERED = """joined AS (SELECT p.*, 'DRIVER' || driver_id AS driver_code FROM points p),
 track AS (SELECT event_id, driver_code, session_time_sec, x, y, speed::DOUBLE AS speed, brake::BIGINT AS brake FROM joined
           QUALIFY (row_number() OVER (PARTITION BY event_id, driver_code ORDER BY session_time_sec) - 1) % 2 = 0)"""
 
-NUMBERED_ALL = NUMBERED.replace("s_name AS driver_code FROM points p JOIN supplier ON driver_id = s_suppkey", "'DRIVER' || driver_id AS driver_code FROM points p")
-
 LATLON = """placed AS (SELECT *, CASE WHEN event_id % 2 = 0 THEN 1.2910 ELSE 43.7347 END + y * 0.000000899::DOUBLE AS lat,
   CASE WHEN event_id % 2 = 0 THEN 103.8634 ELSE 7.4206 END + x * 0.000000899::DOUBLE AS lon FROM points)"""
 
@@ -85,16 +83,7 @@ QUERIES = {
               brake::BIGINT AS brake FROM joined
             QUALIFY (row_number() OVER (PARTITION BY event_id, driver_code ORDER BY session_time_sec) - 1) % 2 = 0""",
     ),
-    "track_points_all": (lambda spark, sf: _track(spark, sf, all_point_drivers, stride=2), f"WITH {POINTS}, {NUMBERED_ALL} SELECT * FROM track"),
-    "braking_points_all": (
-        lambda spark, sf: sp.braking_points(_track(spark, sf, all_point_drivers, stride=2), stride=3),
-        f"""WITH {POINTS}, {NUMBERED_ALL} SELECT * FROM track WHERE brake = 1
-            QUALIFY (row_number() OVER (PARTITION BY event_id, driver_code ORDER BY session_time_sec) - 1) % 3 = 0""",
-    ),
-    "speed_trace_all": (
-        lambda spark, sf: sp.speed_trace(points(spark, sf), all_point_drivers(spark, sf), stride=2),
-        f"""WITH {POINTS}, {NUMBERED_ALL} SELECT event_id, driver_code, session_time_sec, x, y, speed::DOUBLE AS speed, throttle::DOUBLE AS throttle,
-              brake::BIGINT AS brake FROM joined
-            QUALIFY (row_number() OVER (PARTITION BY event_id, driver_code ORDER BY session_time_sec) - 1) % 2 = 0""",
-    ),
 }
+
+#: Earlier names of the same queries.
+QUERIES |= {f"{name}_all": QUERIES[name] for name in ("track_points", "braking_points", "speed_trace")}

@@ -69,14 +69,12 @@ def pca_moments(spark, sf):
 
 
 def embedded_documents(spark, sf):
-    """Grouped by vector: equal texts must share one, and different texts must not."""
-    texts = table(spark, sf, "documents").where("text IS NOT NULL")
-    vectors = texts.select(F.sha2("text", 256).alias("text_sha256"), embed("text").alias("e"))
+    """Per text, a null one too: its copies share one vector of the right size and length."""
+    vectors = table(spark, sf, "documents").select(F.sha2("text", 256).alias("text_sha256"), embed("text").alias("e"))
     measured = vectors.select("text_sha256", F.xxhash64("e").alias("vector"), F.size("e").alias("size"), F.round(F.sqrt(dot(F.col("e"), F.col("e"))), 4).alias("length"))
-    groups = measured.groupBy("vector", "size", "length").agg(
-        F.min("text_sha256").alias("text_sha256"), (F.min("text_sha256") == F.max("text_sha256")).alias("one_text"), F.count(F.lit(1)).alias("copies")
+    return measured.groupBy("text_sha256").agg(
+        (F.min("vector") == F.max("vector")).alias("one_vector"), F.count(F.lit(1)).alias("copies"), F.max("size").alias("dimensions"), F.max("length").alias("length")
     )
-    return groups.select("text_sha256", "one_text", "copies", F.col("size").alias("dimensions"), "length")
 
 
 def embedded_messages(spark, sf):
@@ -154,8 +152,9 @@ QUERIES = {
     ),
     "embedded_documents": (
         embedded_documents,
-        """SELECT sha256(text) AS text_sha256, true AS one_text, count(*) AS copies, 384::BIGINT AS dimensions, 1.0::DOUBLE AS length
-           FROM documents WHERE text IS NOT NULL GROUP BY text""",
+        """SELECT sha256(text) AS text_sha256, true AS one_vector, count(*) AS copies, CASE WHEN text IS NOT NULL THEN 384::BIGINT END AS dimensions,
+             CASE WHEN text IS NOT NULL THEN 1.0::DOUBLE END AS length
+           FROM documents GROUP BY text""",
     ),
     "embedded_messages": (
         embedded_messages,

@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
+from sixfold.plans import warehouse
 
 SMALL = "/root/testdata/sf0.001"
 
@@ -22,3 +23,18 @@ def test_every_row_meets_its_driver(spark):
     assert count("spatial_facts_all") == sampled(rows["events"], ["user_id"], 4)
     points = sampled(rows["embeddings"], ["label", F.col("vec_id") % 20], 2)
     assert count("track_points_all") == count("speed_trace_all") == points
+
+
+def test_null_cells_and_unknown_drivers(spark):
+    drivers = spark.createDataFrame([(1, "AB", "7", 70), (2, "AB", "8", 70)], "event_id bigint, driver_code string, driver_number string, driver_id bigint")
+    laps = spark.createDataFrame(
+        [(1, " AB", "1.0", "80.5"), (1, "AB", None, "81"), (1, "AB", "bad", "81"), (1, "XY", "1", "82"), (1, None, "1", "83"), (3, "AB", "1", "84"), (2, "AB", "1", "85")],
+        "event_id bigint, Driver string, LapNumber string, LapTime string",
+    )
+    got = warehouse.lap_facts(laps, drivers, warehouse.seed_compounds(spark)).select("event_id", "driver_id", "lap_number", "lap_time_sec").collect()
+    assert sorted((r.event_id, r.driver_id, r.lap_number, float(r.lap_time_sec)) for r in got) == [(1, 70, 1, 80.5), (2, 70, 1, 85.0)]
+    cells = [(1, "7", str(i), "1" if i % 3 else None) for i in range(7)] + [(1, "7", None, "1"), (1, "9", "0", "1"), (1, None, "0", "1"), (2, "7", "0", "1"), (2, "8", "bad", "1")]
+    samples = spark.createDataFrame(cells, "event_id bigint, Driver string, SessionTime string, X string").withColumn("Y", F.col("X"))
+    times = lambda df: sorted(float(r.session_time_sec) for r in df.collect())
+    assert times(warehouse.telemetry_facts(samples, drivers, stride=2)) == [0, 2, 4, 6]
+    assert times(warehouse.spatial_facts(samples, drivers, stride=2)) == [2, 4]
