@@ -12,7 +12,7 @@ from sixfold.operators import quality
 from sixfold.operators.keys import assign_keys, new_members, resolve
 from sixfold.plans import warehouse as wh
 from sixfold.plans.inputs import table
-from sixfold.sources.tables import absent, first_per_key
+from sixfold.sources.tables import absent, first_per_key, stored
 
 TABLES = (
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "embeddings", "pages",
@@ -161,7 +161,7 @@ def raw_results(spark, sf):
 def result_facts(spark, sf):
     names = raw_results(spark, sf).select(F.col("Status").alias("status_name"))
     seeds = wh.seed_statuses(spark)
-    statuses = seeds.unionByName(wh.status_members(names, seeds))
+    statuses = stored(seeds.unionByName(wh.status_members(names, seeds)))  # as in lap_facts
     facts = wh.result_facts(raw_results(spark, sf), _entries(spark, sf), statuses)
     return facts.join(statuses, "status_id", "left").select(
         "event_id", "driver_id", "grid_position", "final_position", "classified_position", "points", "laps_completed", "total_time_sec",
@@ -179,7 +179,8 @@ def _everyone(ids, code):
 def lap_facts(spark, sf):
     """Every order line as a raw lap; all suppliers that the lines name are the drivers of one event."""
     ids = table(spark, sf, "lineitem").select(F.col("l_suppkey").alias("id")).distinct()
-    entries = _everyone(ids, F.concat(F.lit("SUPPLIER#"), F.lpad(_text("id"), 9, "0")))
+    # Dimensions are written first, as in a load: of known size, the few compounds are broadcast and no lap is dealt by its compound.
+    entries = stored(_everyone(ids, F.concat(F.lit("SUPPLIER#"), F.lpad(_text("id"), 9, "0"))))
     lines = table(spark, sf, "lineitem").withColumn("_supplier", F.lpad(_text("l_suppkey"), 9, "0"))
     raw = lines.select(
         F.lit(1).cast("bigint").alias("event_id"),
@@ -194,7 +195,7 @@ def lap_facts(spark, sf):
     )
     names = raw.select(F.col("Compound").alias("compound_name"))
     seeds = wh.seed_compounds(spark)
-    compounds = seeds.unionByName(wh.compound_members(names, seeds))
+    compounds = stored(seeds.unionByName(wh.compound_members(names, seeds)))
     facts = wh.lap_facts(raw, entries, compounds).join(compounds, "compound_id", "left")
     return facts.select(
         "driver_id", "lap_number", "lap_time_sec", "compound_name", "compound_type", "is_accurate", "fresh_tyre", "track_status_code",

@@ -8,6 +8,7 @@ two loads that began at the same commit the second to end is refused.
 from __future__ import annotations
 
 import json
+import tempfile
 import uuid
 from collections.abc import Collection, Iterable, Mapping, Sequence
 from dataclasses import dataclass, field
@@ -173,6 +174,15 @@ def conform(df: DataFrame, table: str) -> DataFrame:
     return df.select(*[F.col(f.name).try_cast(f.dataType).alias(f.name) for f in _fields(table)])
 
 
+def stored(df: DataFrame) -> DataFrame:
+    """``df``, written to the folder that all executors share and read back: computed once and of known size, so a small table is broadcast."""
+    context = df.sparkSession.sparkContext
+    folder = context.getCheckpointDir() or context.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="sixfold-stored-")
+    path = f"{folder}/stored-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def first_per_key(df: DataFrame, key: Iterable[str], order: Iterable[str] = ()) -> DataFrame:
     """One row per key: the first along ``order``, then along the other columns.
 

@@ -38,3 +38,16 @@ def test_null_cells_and_unknown_drivers(spark):
     times = lambda df: sorted(float(r.session_time_sec) for r in df.collect())
     assert times(warehouse.telemetry_facts(samples, drivers, stride=2)) == [0, 2, 4, 6]
     assert times(warehouse.spatial_facts(samples, drivers, stride=2)) == [2, 4]
+
+
+@pytest.mark.parametrize("name, key", [("lap_facts", "compound"), ("result_facts", "status")])
+def test_no_fact_is_dealt_by_one_of_few_names(spark, tmp_path, name, key):
+    lines = [(i, i % 7, i % 3, i % 4, float(i), 1.0, 0.1, 0.02 * (i % 2), "ANR"[i % 3], "OF"[i % 2]) for i in range(40)]
+    names = "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string"
+    spark.createDataFrame(lines, names).write.parquet(f"{tmp_path}/lineitem.parquet")
+    spark.createDataFrame([(i, f"S{i}", i % 2) for i in range(5)], "s_suppkey bigint, s_name string, s_nationkey int").write.parquet(f"{tmp_path}/supplier.parquet")
+    spark.createDataFrame([(0, "A"), (1, "B")], "n_nationkey int, n_name string").write.parquet(f"{tmp_path}/nation.parquet")
+    made = entry.queries()[name](spark, str(tmp_path))
+    plan = made._jdf.queryExecution().executedPlan().toString()
+    assert f"hashpartitioning({key}_" not in plan and "BroadcastHashJoin" in plan
+    assert made.count() == {"lap_facts": 40, "result_facts": 5}[name]
