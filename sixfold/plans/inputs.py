@@ -5,10 +5,13 @@ All inputs are whole tables, or derived from whole tables by Spark.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sixfold.operators.ordered import with_ordered
+from sixfold.sources.tables import stored
 
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -76,7 +79,16 @@ POSITIONS = """positions AS (
 # --- the star: orders are events, suppliers drivers, nations teams, order lines laps --------------------------------------
 
 
-def star(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
+#: All columns of ``fact_result`` but its key.
+RESULT = ("grid_position", "final_position", "points", "status_id", "laps_completed")
+
+
+def star(spark: SparkSession, sf: str, results: Sequence[str] = ()) -> dict[str, DataFrame]:
+    """``results``: columns of ``fact_result``, for queries that join it to the bridge.
+
+    Both are made from one table then, aggregated once and written first, so that the join's tasks only sort and do not also aggregate
+    twice what they join.
+    """
     orders, supplier, nation, lines = (table(spark, sf, n) for n in ("orders", "supplier", "nation", "lineitem"))
     entered = lines.groupBy(F.col("l_orderkey").alias("event_id"), F.col("l_suppkey").alias("driver_id")).agg(
         F.min("l_linenumber").alias("grid_position"),
@@ -85,6 +97,8 @@ def star(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
         F.min(F.ascii("l_returnflag")).cast("bigint").alias("status_id"),
         F.count(F.lit(1)).alias("laps_completed"),
     )
+    if results:
+        entered = stored(entered.select("event_id", "driver_id", *results))
     return {
         "dim_event": orders.select(
             F.col("o_orderkey").alias("event_id"),

@@ -8,7 +8,7 @@ from sixfold.operators.ordered import with_ordered
 from sixfold.operators import graph
 from sixfold.operators import relational as rel
 from sixfold.plans import views
-from sixfold.plans.inputs import LAPS, POSITIONS, STAR, laps, positions, star
+from sixfold.plans.inputs import LAPS, POSITIONS, RESULT, STAR, laps, positions, star
 
 # A stint of the derived laps holds ten rows and a race as many as there are days: plain windows.
 BOUNDED = None
@@ -91,7 +91,7 @@ def graph_teammates(spark, sf):
 
 
 def graph_network(spark, sf):
-    return graph.driver_network(graph.racing_graph(star(spark, sf)))
+    return graph.driver_network(graph.racing_graph(star(spark, sf, RESULT)))
 
 
 CHANGES = f"""{POSITIONS}, changes AS (
@@ -219,7 +219,7 @@ QUERIES = {
             GROUP BY ALL""",
     ),
     "driver_event_results": (
-        lambda spark, sf: views.driver_event_results(star(spark, sf)),
+        lambda spark, sf: views.driver_event_results(star(spark, sf, RESULT)),
         f"""WITH {STAR} SELECT event_id, session_id, season, gp_name, session_code, session_name, circuit_name, driver_id, driver_code,
               driver_number, full_name AS driver_name, team_id, team_name, team_color, grid_position, final_position, points,
               status_name AS status, laps_completed
@@ -249,7 +249,7 @@ QUERIES = {
             JOIN dim_event USING (event_id)""",
     ),
     "driver_cards": (
-        lambda spark, sf: rel.driver_cards(star(spark, sf)),
+        lambda spark, sf: rel.driver_cards(star(spark, sf, ["final_position"])),
         f"""WITH {STAR} SELECT event_id, driver_id, driver_code, full_name AS driver_name, coalesce('#' || team_color, '#666666') AS color,
               final_position FROM bridge_driver_team JOIN dim_driver USING (driver_id) JOIN dim_team USING (team_id)
             LEFT JOIN fact_result USING (event_id, driver_id)""",
@@ -259,7 +259,7 @@ QUERIES = {
         f"WITH {STAR} SELECT *, grid_position - final_position AS places_gained FROM fact_result",
     ),
     "team_ranking": (
-        lambda spark, sf: rel.team_ranking(views.driver_event_results(star(spark, sf)), k=10),
+        lambda spark, sf: rel.team_ranking(views.driver_event_results(star(spark, sf, RESULT)), k=10),
         f"""WITH {STAR}, totals AS (
               SELECT team_name, sum(points) AS points, round(avg(final_position) + 1e-9, 3) AS avg_position, count(*) AS entries
               FROM fact_result JOIN bridge_driver_team USING (event_id, driver_id) JOIN dim_team USING (team_id) GROUP BY team_name)

@@ -51,3 +51,26 @@ def test_no_fact_is_dealt_by_one_of_few_names(spark, tmp_path, name, key):
     plan = made._jdf.queryExecution().executedPlan().toString()
     assert f"hashpartitioning({key}_" not in plan and "BroadcastHashJoin" in plan
     assert made.count() == {"lap_facts": 40, "result_facts": 5}[name]
+
+
+@pytest.mark.parametrize("name", ["driver_cards", "driver_event_results", "graph_network"])
+def test_bridge_and_results_are_aggregated_before_they_are_joined(spark, tmp_path, name):
+    lines = [(i // 2, i % 4, i % 3, float(i % 9), "ANR"[i % 3], "OF"[i % 2]) for i in range(30)] + [(7, 99, 1, 1.0, "A", "O")]  # 99: no supplier
+    spark.createDataFrame(lines, "l_orderkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, l_returnflag string, l_linestatus string").selectExpr(
+        "*", "1L AS l_partkey", "1D AS l_extendedprice", "1D AS l_discount", "1D AS l_tax"
+    ).write.parquet(f"{tmp_path}/lineitem.parquet")
+    spark.createDataFrame([(i, f"S{i}", i % 2) for i in range(4)], "s_suppkey bigint, s_name string, s_nationkey int").write.parquet(f"{tmp_path}/supplier.parquet")
+    spark.createDataFrame([(0, "A", 0), (1, "B", 1)], "n_nationkey int, n_name string, n_regionkey int").write.parquet(f"{tmp_path}/nation.parquet")
+    spark.createDataFrame([(i, "O", "5-LOW") for i in range(15)], "o_orderkey bigint, o_orderstatus string, o_orderpriority string").selectExpr(
+        "*", "timestamp_ntz '2024-01-01' AS o_orderdate"
+    ).write.parquet(f"{tmp_path}/orders.parquet")
+    made = entry.queries()[name](spark, str(tmp_path))
+    plan = made._jdf.queryExecution().executedPlan().toString()
+    assert "min(l_linenumber" not in plan
+    assert made.count() == len({(a, b) for a, b, *_ in lines if b < 99})
+    if name == "driver_cards":
+        got = {(r.event_id, r.driver_id): (r.driver_code, r.color, r.final_position) for r in made.collect()}
+        most = {}
+        for a, b, n, *_ in lines:
+            most[a, b] = max(most.get((a, b), 0), n)
+        assert got == {(a, b): (f"S{b}", ("#666666", "#1")[b % 2], n) for (a, b), n in most.items() if b < 99}
