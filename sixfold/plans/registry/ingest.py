@@ -69,8 +69,8 @@ def dimension_keys(spark, sf):
     """Two loads of the part brands: the keys of the first stay, the second's follow without a gap."""
     part = table(spark, sf, "part")
     named = part.select(F.col("p_brand").alias("brand"))
-    old = assign_keys(part.where("p_size <= 2").select(F.col("p_brand").alias("brand")).distinct(), ["brand"], "brand_id")
-    both = old.unionByName(new_members(old, named, "brand", "brand_id"))
+    old = stored(assign_keys(part.where("p_size <= 2").select(F.col("p_brand").alias("brand")).distinct(), ["brand"], "brand_id"))
+    both = stored(old.unionByName(new_members(old, named, "brand", "brand_id")))  # as in lap_facts
     kept = old.select("brand", F.col("brand_id").alias("_old_id"))
     members = both.agg(F.count(F.lit(1)).alias("_n")).scalar()
     checked = resolve(named, both, ["brand"], "brand_id").join(kept, "brand", "left")
@@ -270,7 +270,7 @@ def event_members(spark, sf):
 def bridge_rows(spark, sf):
     entry = wh.entries(raw_results(spark, sf))
     none = spark.createDataFrame([], "event_id bigint, driver_id bigint, team_id bigint, driver_code string, team_name string")
-    drivers, teams = wh.driver_members(entry, none), wh.team_members(entry, none)
+    drivers, teams = stored(wh.driver_members(entry, none)), stored(wh.team_members(entry, none))  # as in lap_facts
     linked = wh.bridge_rows(entry, drivers, teams, none)
     named = linked.join(drivers.select("driver_id", "driver_code", "driver_number"), "driver_id").join(teams.select("team_id", "team_name"), "team_id")
     return named.select("event_id", "driver_code", "driver_number", "team_name")

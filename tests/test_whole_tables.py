@@ -74,3 +74,20 @@ def test_bridge_and_results_are_aggregated_before_they_are_joined(spark, tmp_pat
         for a, b, n, *_ in lines:
             most[a, b] = max(most.get((a, b), 0), n)
         assert got == {(a, b): (f"S{b}", ("#666666", "#1")[b % 2], n) for (a, b), n in most.items() if b < 99}
+
+
+@pytest.mark.parametrize("name, key, rows", [("dimension_keys", "brand", 3), ("bridge_rows", "team_name", 5)])
+def test_no_row_is_dealt_by_one_of_few_names(spark, tmp_path, name, key, rows):
+    spark.range(200_000).selectExpr("id AS p_partkey", "concat('B', id % 3) AS p_brand", "cast(id % 9 AS int) AS p_size").write.parquet(f"{tmp_path}/part.parquet")
+    spark.createDataFrame([(i, f"S{i}", i % 2) for i in range(5)], "s_suppkey bigint, s_name string, s_nationkey int").write.parquet(f"{tmp_path}/supplier.parquet")
+    spark.createDataFrame([(0, "A"), (1, "B")], "n_nationkey int, n_name string").write.parquet(f"{tmp_path}/nation.parquet")
+    limit = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(limit)
+    spark.conf.set(limit, "64k")
+    try:
+        made = entry.queries()[name](spark, str(tmp_path))
+        plan = made._jdf.queryExecution().executedPlan().toString()
+        assert not [x for x in plan.splitlines() if "SortMergeJoin" in x and f"[{key}#" in x]
+        assert made.count() == rows
+    finally:
+        spark.conf.set(limit, before)
